@@ -70,6 +70,9 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
     if k == 1:
         # co-located stations are equally near to everything: only the lowest id can win
         S = S.groupBy("x", "y").agg(F.min("sid").alias("sid"))
+    # written once: every level re-reads these instead of re-deriving the dimensions
+    A = A.checkpoint()
+    S = S.checkpoint()
     segs = explode_segments(A, "aid", "g")
     A = A.drop("g")
 
@@ -88,7 +91,7 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
         c0 = extent / 64.0
     top = max(0, math.ceil(math.log2(extent / c0)) + 1)
 
-    pending = A.withColumn("lvl", F.lit(0)).checkpoint()
+    pending = A.withColumn("lvl", F.lit(0))
     done = []
     level = 0
     while True:
@@ -114,8 +117,7 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
         summary = ranked.groupBy("aid").agg(F.max("d2").alias("kd2"), F.count(F.lit(1)).alias("n"))
         at_top = F.lit(level >= top)
         state = (active.select("aid").join(summary, "aid", "left")
-                 .withColumn("ok", F.coalesce((F.col("n") >= k) & (F.col("kd2") <= F.lit(c * c)), F.lit(False)) | at_top)
-                 ).checkpoint()
+                 .withColumn("ok", F.coalesce((F.col("n") >= k) & (F.col("kd2") <= F.lit(c * c)), F.lit(False)) | at_top))
         done.append(ranked.join(state.filter("ok").select("aid"), "aid"))
         jump = F.when(F.col("kd2").isNotNull() & (F.col("n") >= k),
                       F.ceil(F.log2(F.sqrt(F.col("kd2")) / F.lit(c0)))).otherwise(F.lit(level + 1))

@@ -224,3 +224,91 @@ def with_ctes(*ctes: str) -> str:
 def final_select(src: str, cols, doubles=(), where: str = "") -> str:
     sel = ", ".join(r(c) if c in doubles else c for c in cols)
     return f"SELECT {sel} FROM {src}" + (f" WHERE {where}" if where else "")
+
+
+def union_checks(src: str, checks, cols: str = "*") -> str:
+    """The reference's check style: one SELECT per check glued with UNION ALL."""
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS check_name, {cols} FROM {src} WHERE {pred}" for name, pred in checks)
+
+
+def sql_outside(c: str, lo, hi) -> str:
+    return f"{c} IS NOT NULL AND ({c} < {lo} OR {c} > {hi})"
+
+
+def sql_negative(c: str) -> str:
+    return f"{c} IS NOT NULL AND {c} < 0"
+
+
+OBSERVED_CHECKS_SQL = [
+    ("temperature_out_of_range", sql_outside("temperature", -50, 50)),
+    ("negative_precipitation", sql_negative("precipitation")),
+    ("negative_wind_speed", sql_negative("wind_speed")),
+    ("wind_direction_out_of_range", sql_outside("wind_direction", 0, 360)),
+    ("humidity_out_of_range", sql_outside("relative_humidity", 0, 100)),
+    ("pressure_out_of_range", sql_outside("pressure_msl", 800, 1100)),
+    ("confidence_score_out_of_range", sql_outside("confidence_score", 0, 1)),
+]
+FORECAST_CHECKS_SQL = OBSERVED_CHECKS_SQL + [
+    ("precipitation_probability_out_of_range", sql_outside("precipitation_probability", 0, 100)),
+    ("precipitation_probability_6h_out_of_range", sql_outside("precipitation_probability_6h", 0, 100)),
+]
+
+
+def _mm(a: str, b: str) -> str:
+    return f"{a} IS NOT NULL AND {b} IS NOT NULL AND {a} > {b}"
+
+
+MART_CHECKS_SQL = [
+    ("non_positive_station_count", "station_count <= 0"),
+    ("temperature_min_greater_than_max", _mm("temperature_min", "temperature_max")),
+    ("negative_precipitation_sum", sql_negative("precipitation_sum")),
+    ("negative_wind_speed_max", sql_negative("wind_speed_max")),
+    ("pressure_min_greater_than_max", _mm("pressure_msl_min", "pressure_msl_max")),
+    ("humidity_min_greater_than_max", _mm("relative_humidity_min", "relative_humidity_max")),
+    ("visibility_min_greater_than_max", _mm("visibility_min", "visibility_max")),
+    ("negative_solar_max", sql_negative("solar_max")),
+    ("negative_sunshine_max", sql_negative("sunshine_max")),
+    ("negative_wind_gust_speed_max", sql_negative("wind_gust_speed_max")),
+    ("negative_outlier_count", sql_negative("outlier_count")),
+    ("invalid_postal_code_format", "plz IS NOT NULL AND (length(plz) != 5 OR NOT regexp_full_match(plz, '[0-9]{5}'))"),
+    ("confidence_score_avg_out_of_range", sql_outside("confidence_score_avg", 0, 1)),
+]
+
+STATION_CHECKS_SQL = [
+    ("null_geometry", "lat IS NULL OR lon IS NULL"),
+    ("null_wmo_station_id", "wmo_station_id IS NULL"),
+    ("null_station_name", "station_name IS NULL"),
+    ("invalid_wmo_station_id_format", "wmo_station_id IS NOT NULL AND NOT regexp_full_match(wmo_station_id, '[0-9]+')"),
+]
+
+POSTAL_CHECKS_SQL = [
+    ("null_geometry", "wkt IS NULL"),
+    ("null_postal_codes", "plz IS NULL"),
+    ("invalid_postal_code_format", "plz IS NOT NULL AND (length(plz) != 5 OR NOT regexp_full_match(plz, '[0-9]{5}'))"),
+    ("postal_codes_out_of_range", "plz IS NOT NULL AND (TRY_CAST(plz AS INTEGER) < 1000 OR TRY_CAST(plz AS INTEGER) > 99999)"),
+]
+
+LINK_SUITE_SQL = """SELECT 'null_station_ids' AS check_name, postal_area_id, station_id, created_at FROM link WHERE station_id IS NULL
+UNION ALL SELECT 'null_postal_area_ids', postal_area_id, station_id, created_at FROM link WHERE postal_area_id IS NULL
+UNION ALL SELECT 'invalid_station_ids', l.postal_area_id, l.station_id, l.created_at FROM link l
+  LEFT JOIN dim_station s ON l.station_id = s.id WHERE s.id IS NULL
+UNION ALL SELECT 'invalid_postal_area_ids', l.postal_area_id, l.station_id, l.created_at FROM link l
+  LEFT JOIN dim_postal_area p ON l.postal_area_id = p.id WHERE p.id IS NULL
+UNION ALL SELECT 'null_created_at', postal_area_id, station_id, created_at FROM link WHERE created_at IS NULL"""
+
+INTEGRITY_SQL = """SELECT 'weather_observed_invalid_station_ids' AS check_name, wo.wmo_station_id AS key1, CAST(wo.timestamp_utc AS VARCHAR) AS key2
+  FROM stg_observed wo LEFT JOIN stg_station s ON wo.wmo_station_id = s.wmo_station_id WHERE s.wmo_station_id IS NULL
+UNION ALL SELECT 'weather_forecast_invalid_station_ids', wf.wmo_station_id, CAST(wf.timestamp_utc AS VARCHAR)
+  FROM stg_forecast_batches wf LEFT JOIN stg_station s ON wf.wmo_station_id = s.wmo_station_id WHERE s.wmo_station_id IS NULL
+UNION ALL SELECT 'aggregated_invalid_postal_codes', ma.plz, CAST(ma.timestamp_utc AS VARCHAR)
+  FROM mart_forecast ma LEFT JOIN dim_postal_area pa ON ma.plz = pa.plz WHERE pa.plz IS NULL
+UNION ALL SELECT 'link_table_invalid_postal_area_ids', CAST(l.postal_area_id AS VARCHAR), CAST(l.station_id AS VARCHAR)
+  FROM link l LEFT JOIN dim_postal_area pa ON l.postal_area_id = pa.id WHERE pa.id IS NULL
+UNION ALL SELECT 'link_table_invalid_station_ids', CAST(l.station_id AS VARCHAR), CAST(l.postal_area_id AS VARCHAR)
+  FROM link l LEFT JOIN dim_station s ON l.station_id = s.id WHERE s.id IS NULL
+UNION ALL SELECT 'forecast_timestamps_too_far_future', wmo_station_id, CAST(timestamp_utc AS VARCHAR)
+  FROM stg_forecast_batches WHERE timestamp_utc > TIMESTAMP '2024-02-01 00:00:00' + INTERVAL 7 DAY
+UNION ALL SELECT 'observed_timestamps_too_old', wmo_station_id, CAST(timestamp_utc AS VARCHAR)
+  FROM stg_observed WHERE timestamp_utc < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 30 DAY
+UNION ALL SELECT 'aggregated_unreasonable_station_counts', plz, CAST(timestamp_utc AS VARCHAR)
+  FROM mart_forecast WHERE station_count < 1 OR station_count > 100"""

@@ -121,3 +121,91 @@ register("mart_forecast_outlier_any",
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["mart_forecast"](spark, sf_dir)
+
+
+# ------------------------------------------------------------------------------------------ quality
+from stratus.operators import quality as Q  # noqa: E402
+
+_STG_OBS = (O.raw_weather_cte("observed"), O.stg_weather_cte("observed"))
+_STG_FC = (O.raw_weather_cte("forecast"), O.stg_weather_cte("forecast", True))
+_STAGED_OUT = ", ".join(spec.STAGED_COLUMNS)
+_STAGED_OUT_ROUNDED = ["check_name"] + list(spec.STAGED_COLUMNS)
+
+
+def _suite_sql(ctes, src, checks, cols, doubles=()):
+    body = O.union_checks(src, checks, ", ".join(cols))
+    return O.with_ctes(*ctes, f"failures AS (\n{body}\n)") + O.final_select("failures", ["check_name"] + list(cols), doubles)
+
+
+register("check_suite_observed", _suite_sql(_STG_OBS, "stg_observed", O.OBSERVED_CHECKS_SQL, spec.STAGED_COLUMNS,
+                                            STAGED_DOUBLES))(
+    lambda spark, d: round_doubles(Q.check_suite(warehouse(spark, d).stg("observed"), Q.observed_checks())))
+
+register("check_suite_forecast", _suite_sql(_STG_FC, "stg_forecast_batches", O.FORECAST_CHECKS_SQL,
+                                            spec.STAGED_COLUMNS + ("batch_id",), STAGED_DOUBLES))(
+    lambda spark, d: round_doubles(Q.check_suite(warehouse(spark, d).stg("forecast"), Q.forecast_checks())))
+
+_ST_COLS = ["wmo_station_id", "station_name", "lat", "lon", "properties", "record_source", "load_dts"]
+register("check_suite_station", _suite_sql((O.STATION_CTES,), "stg_station", O.STATION_CHECKS_SQL, _ST_COLS,
+                                           {"lat", "lon"}))(
+    lambda spark, d: round_doubles(Q.check_suite(warehouse(spark, d).stg_station(), Q.station_checks(), _ST_COLS)))
+
+_PA_COLS = ["plz", "wkt", "record_source", "load_dts"]
+register("check_suite_postal", _suite_sql((O.POSTAL_CTES,), "stg_postal_area", O.POSTAL_CHECKS_SQL, _PA_COLS))(
+    lambda spark, d: Q.check_suite(warehouse(spark, d).stg_postal_area(), Q.postal_checks(), _PA_COLS))
+
+register("check_suite_mart", _suite_sql(_STG_FC + _FACT_BASE + (O.fact_cte("forecast", "stg_forecast_batches"),
+                                                                 O.mart_cte("forecast")),
+                                        "mart_forecast", O.MART_CHECKS_SQL, MART_COLS, MART_DOUBLES))(
+    lambda spark, d: round_doubles(Q.check_suite(warehouse(spark, d).mart("forecast"), Q.mart_checks())))
+
+register("check_suite_link", O.with_ctes(*_FACT_BASE) + O.LINK_SUITE_SQL)(
+    lambda spark, d: Q.link_suite(warehouse(spark, d).link, warehouse(spark, d).dim_station(),
+                                  warehouse(spark, d).dim_postal_area()))
+
+
+def _integrity(spark, d):
+    wh = warehouse(spark, d)
+    return Q.integrity_suite(wh.stg("observed"), wh.stg("forecast"), wh.stg_station(), wh.mart("forecast"),
+                             wh.link, wh.dim_station(), wh.dim_postal_area(), wh.as_of)
+
+
+register("check_suite_integrity", O.with_ctes(*_STG_OBS, *_STG_FC, *_FACT_BASE,
+                                              O.fact_cte("forecast", "stg_forecast_batches"), O.mart_cte("forecast"))
+         + O.INTEGRITY_SQL)(_integrity)
+
+register("check_suite_integrity_summary",
+         O.with_ctes(*_STG_OBS, *_STG_FC, *_FACT_BASE, O.fact_cte("forecast", "stg_forecast_batches"),
+                     O.mart_cte("forecast"), f"failures AS ({O.INTEGRITY_SQL})")
+         + "SELECT check_name, COUNT(*) AS failures FROM failures GROUP BY check_name")(
+    lambda spark, d: Q.suite_summary(_integrity(spark, d)))
+
+register("no_duplicates", """SELECT l_orderkey, l_linenumber, COUNT(*) AS record_count FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""")(
+    lambda spark, d: Q.check_no_duplicates(warehouse(spark, d).table("lineitem"), ["l_orderkey", "l_linenumber"]))
+
+register("check_unique", """SELECT o_custkey, COUNT(*) AS n_records FROM orders WHERE o_custkey IS NOT NULL
+GROUP BY o_custkey HAVING COUNT(*) > 1""")(
+    lambda spark, d: Q.check_unique(warehouse(spark, d).table("orders"), "o_custkey"))
+
+register("accepted_range", """SELECT * FROM lineitem WHERE l_discount IS NOT NULL AND (l_discount < 0 OR l_discount > 0.05)""")(
+    lambda spark, d: Q.check_accepted_range(warehouse(spark, d).table("lineitem"), "l_discount", 0, 0.05))
+
+register("completeness_check", O.with_ctes(*_STG_OBS) + """SELECT ROUND(CAST(COUNT(precipitation) AS DOUBLE) / COUNT(*), 6) + 0.0
+AS completeness_ratio FROM stg_observed HAVING CAST(COUNT(precipitation) AS DOUBLE) / COUNT(*) < 0.95""")(
+    lambda spark, d: round_doubles(Q.check_completeness(warehouse(spark, d).stg("observed"), "precipitation", 0.95)))
+
+register("timestamp_continuity", """WITH d AS (SELECT DISTINCT ts FROM events WHERE ts IS NOT NULL),
+g AS (SELECT ts, lag(ts) OVER (ORDER BY ts) AS prev_timestamp FROM d)
+SELECT ts, prev_timestamp, ROUND((epoch_us(ts) - epoch_us(prev_timestamp)) / 1e6, 6) + 0.0 AS gap_seconds
+FROM g WHERE prev_timestamp IS NOT NULL AND (epoch_us(ts) - epoch_us(prev_timestamp)) / 1e6 > 900""")(
+    lambda spark, d: round_doubles(Q.check_timestamp_continuity(warehouse(spark, d).table("events"), "ts", 900)))
+
+register("timestamp_continuity_per_station", O.with_ctes(*_STG_OBS) + """, g AS (
+  SELECT wmo_station_id, timestamp_utc, lag(timestamp_utc) OVER (PARTITION BY wmo_station_id ORDER BY timestamp_utc) AS prev_timestamp
+  FROM (SELECT DISTINCT wmo_station_id, timestamp_utc FROM stg_observed) t)
+SELECT wmo_station_id, timestamp_utc, prev_timestamp,
+       ROUND((epoch_us(timestamp_utc) - epoch_us(prev_timestamp)) / 1e6, 6) + 0.0 AS gap_seconds
+FROM g WHERE prev_timestamp IS NOT NULL AND (epoch_us(timestamp_utc) - epoch_us(prev_timestamp)) / 1e6 > 3600""")(
+    lambda spark, d: round_doubles(Q.check_timestamp_continuity(warehouse(spark, d).stg("observed"), "timestamp_utc",
+                                                                3600, partition_by=["wmo_station_id"])))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from stratus.functions.geometry import geom_from_wkt
 from stratus.plans import models
+from stratus.session import checkpoint_dir
 from stratus.sources import standins
 from stratus.sources.tables import read_table
 
@@ -61,11 +62,23 @@ class Warehouse:
         return models.stg_postal_area(self.postal_raw())
 
     # dims / link / facts / marts (gold)
+    # dimension tables are materialised once (as the reference's table models are), written to the
+    # shared checkpoint folder; link, facts and marts all read the written copy
+    @cached_property
+    def _dim_station(self) -> DataFrame:
+        checkpoint_dir(self.spark)
+        return models.dim_station(self.stg_station()).checkpoint()
+
+    @cached_property
+    def _dim_postal_area(self) -> DataFrame:
+        checkpoint_dir(self.spark)
+        return models.dim_postal_area(self.stg_postal_area()).checkpoint()
+
     def dim_station(self) -> DataFrame:
-        return models.dim_station(self.stg_station())
+        return self._dim_station
 
     def dim_postal_area(self) -> DataFrame:
-        return models.dim_postal_area(self.stg_postal_area())
+        return self._dim_postal_area
 
     @cached_property
     def link(self) -> DataFrame:
