@@ -209,3 +209,85 @@ SELECT wmo_station_id, timestamp_utc, prev_timestamp,
 FROM g WHERE prev_timestamp IS NOT NULL AND (epoch_us(timestamp_utc) - epoch_us(prev_timestamp)) / 1e6 > 3600""")(
     lambda spark, d: round_doubles(Q.check_timestamp_continuity(warehouse(spark, d).stg("observed"), "timestamp_utc",
                                                                 3600, partition_by=["wmo_station_id"])))
+
+
+# ------------------------------------------------------------------------------------------ single operators
+from stratus.functions.circular import circular_mean  # noqa: E402
+from stratus.operators import clean as C  # noqa: E402
+from stratus.operators.dedup import desc_nulls_first, distinct_on, latest_per_key  # noqa: E402
+from stratus.operators.joins import anti_check  # noqa: E402
+
+register("json_field_present", O.with_ctes(O.raw_weather_cte("observed"))
+         + "SELECT wmo_station_id, timestamp_utc, load_dts FROM raw_observed WHERE temperature IS NOT NULL")(
+    lambda spark, d: C.json_field_present(warehouse(spark, d).raw_weather("observed")).select(
+        "wmo_station_id", "timestamp_utc", "load_dts"))
+
+_NIO_COLS = ["wmo_station_id", "load_dts"] + list(spec.MEASURE_NAMES)
+register("null_if_outlier", O.with_ctes(O.raw_weather_cte("observed"), "staged_all AS (\n  "
+                                        + O.staged_select("raw_observed") + "\n)")
+         + O.final_select("staged_all", _NIO_COLS, set(spec.MEASURE_NAMES)))(
+    lambda spark, d: round_doubles(C.standardize(warehouse(spark, d).raw_weather("observed")).select(*_NIO_COLS)))
+
+register("outlier_flag", O.with_ctes(O.raw_weather_cte("observed"), "staged_all AS (\n  "
+                                     + O.staged_select("raw_observed") + "\n)")
+         + "SELECT outlier_flag, COUNT(*) AS n FROM staged_all GROUP BY outlier_flag")(
+    lambda spark, d: C.standardize(warehouse(spark, d).raw_weather("observed")).groupBy("outlier_flag").agg(
+        F.count(F.lit(1)).alias("n")))
+
+register("confidence_score", O.with_ctes(O.raw_weather_cte("forecast"), "staged_all AS (\n  "
+                                         + O.staged_select("raw_forecast") + "\n)")
+         + "SELECT confidence_score, COUNT(*) AS n FROM staged_all GROUP BY confidence_score")(
+    lambda spark, d: C.standardize(warehouse(spark, d).raw_weather("forecast")).groupBy("confidence_score").agg(
+        F.count(F.lit(1)).alias("n")))
+
+register("distinct_on", O.with_ctes(O.raw_weather_cte("observed"))
+         + """SELECT DISTINCT ON (wmo_station_id, timestamp_utc) wmo_station_id, timestamp_utc, load_dts
+FROM raw_observed ORDER BY wmo_station_id, timestamp_utc, load_dts DESC NULLS FIRST""")(
+    lambda spark, d: distinct_on(warehouse(spark, d).raw_weather("observed"), ["wmo_station_id", "timestamp_utc"],
+                                 "load_dts", ["raw"]).select("wmo_station_id", "timestamp_utc", "load_dts"))
+
+_LI_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LI_COLS = ["l_orderkey", "l_linenumber", "l_shipdate"] + _LI_ORDER
+register("latest_per_key", f"""SELECT {', '.join(_LI_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate DESC NULLS FIRST, {', '.join(_LI_ORDER)}) AS rn
+  FROM lineitem) t WHERE rn = 1""")(
+    lambda spark, d: latest_per_key(warehouse(spark, d).table("lineitem"), ["l_orderkey", "l_linenumber"],
+                                    [desc_nulls_first("l_shipdate")] + [F.col(c) for c in _LI_ORDER]).select(*_LI_COLS))
+
+_CIRC = "AVG(SIN(RADIANS(wind_direction)))"
+_CIRC_C = "AVG(COS(RADIANS(wind_direction)))"
+register("circular_mean", O.with_ctes(*_STG_OBS) + f"""SELECT wmo_station_id,
+  ROUND(CASE WHEN {_CIRC} >= 0 THEN DEGREES(ATAN2({_CIRC}, {_CIRC_C}))
+       ELSE DEGREES(ATAN2({_CIRC}, {_CIRC_C})) + 360 END, 6) + 0.0 AS wind_direction_avg
+FROM stg_observed GROUP BY wmo_station_id""")(
+    lambda spark, d: round_doubles(warehouse(spark, d).stg("observed").groupBy("wmo_station_id").agg(
+        circular_mean("wind_direction").alias("wind_direction_avg"))))
+
+register("agg_mode", O.with_ctes(*_STG_OBS) + """, stations AS (SELECT DISTINCT wmo_station_id FROM stg_observed),
+ranked AS (
+  SELECT wmo_station_id, weather_icon,
+         row_number() OVER (PARTITION BY wmo_station_id ORDER BY count(*) DESC, weather_icon) AS rn
+  FROM stg_observed WHERE weather_icon IS NOT NULL GROUP BY wmo_station_id, weather_icon)
+SELECT s.wmo_station_id, r.weather_icon AS weather_icon_mode
+FROM stations s LEFT JOIN ranked r ON r.wmo_station_id = s.wmo_station_id AND r.rn = 1""")(
+    lambda spark, d: warehouse(spark, d).stg("observed").groupBy("wmo_station_id").agg(
+        F.mode("weather_icon", deterministic=True).alias("weather_icon_mode")))
+
+register("completeness_ratio", O.with_ctes(*_STG_OBS) + """SELECT wmo_station_id,
+  ROUND(CAST(COUNT(precipitation) AS DOUBLE) / COUNT(*), 6) + 0.0 AS data_completeness
+FROM stg_observed GROUP BY wmo_station_id""")(
+    lambda spark, d: round_doubles(warehouse(spark, d).stg("observed").groupBy("wmo_station_id").agg(
+        (F.count("precipitation").cast("double") / F.count(F.lit(1))).alias("data_completeness"))))
+
+register("high_water_mark", O.with_ctes(*_STG_OBS) + "SELECT MAX(load_dts) AS hwm FROM stg_observed")(
+    lambda spark, d: warehouse(spark, d).stg("observed").agg(F.max("load_dts").alias("hwm")))
+
+register("anti_check", O.with_ctes(*_STG_OBS, *_FACT_BASE) + """SELECT so.wmo_station_id, so.timestamp_utc
+FROM stg_observed so LEFT JOIN (SELECT ds.wmo_station_id FROM dim_station ds JOIN link l ON l.station_id = ds.id) linked
+  ON so.wmo_station_id = linked.wmo_station_id
+WHERE linked.wmo_station_id IS NULL""")(
+    lambda spark, d: anti_check(
+        warehouse(spark, d).stg("observed"),
+        warehouse(spark, d).dim_station().join(warehouse(spark, d).link.select(F.col("station_id").alias("id")), "id"),
+        "wmo_station_id").select("wmo_station_id", "timestamp_utc"))
