@@ -34,9 +34,9 @@ def geom_from_wkt(wkt: Column | str) -> Column:
 
     def ring_points(ring_txt):
         pts = F.split(F.trim(ring_txt), r"\s*,\s*")
-        return F.transform(pts, lambda p: F.struct(
-            F.split(F.trim(p), r"\s+").getItem(0).try_cast("double").alias("x"),
-            F.split(F.trim(p), r"\s+").getItem(1).try_cast("double").alias("y")))
+        return F.transform(pts, lambda p: F.named_struct(
+            F.lit("x"), F.split(F.trim(p), r"\s+").getItem(0).try_cast("double"),
+            F.lit("y"), F.split(F.trim(p), r"\s+").getItem(1).try_cast("double")))
 
     geom = F.transform(polys, lambda ptxt: F.transform(F.regexp_extract_all(ptxt, F.lit(_RING_RE), 1), ring_points))
     ok = w.rlike(r"^\s*(?i)(MULTI)?POLYGON\s*\(") & (F.size(geom) > 0)
@@ -74,7 +74,7 @@ def explode_segments(df: DataFrame, id_col: str, geom_col: str) -> DataFrame:
     rings = df.select(id_col, F.explode(F.flatten(F.col(geom_col))).alias("_ring"))
     edges = rings.select(id_col, F.explode(F.transform(
         F.sequence(F.lit(0), F.size("_ring") - 1),
-        lambda i: F.struct(F.col("_ring")[i].alias("a"), F.col("_ring")[(i + 1) % F.size("_ring")].alias("b")))).alias("_e"))
+        lambda i: F.named_struct(F.lit("a"), F.col("_ring")[i], F.lit("b"), F.col("_ring")[(i + 1) % F.size("_ring")]))).alias("_e"))
     return edges.select(id_col, F.col("_e.a.x").alias("x1"), F.col("_e.a.y").alias("y1"),
                         F.col("_e.b.x").alias("x2"), F.col("_e.b.y").alias("y2"))
 

@@ -291,3 +291,193 @@ WHERE linked.wmo_station_id IS NULL""")(
         warehouse(spark, d).stg("observed"),
         warehouse(spark, d).dim_station().join(warehouse(spark, d).link.select(F.col("station_id").alias("id")), "id"),
         "wmo_station_id").select("wmo_station_id", "timestamp_utc"))
+
+
+# ------------------------------------------------------------------------------------------ incremental / streaming
+import uuid  # noqa: E402
+
+from stratus.operators.incremental import VersionedTable  # noqa: E402
+from stratus.plans import models as M  # noqa: E402
+from stratus.session import scratch_path  # noqa: E402
+from stratus.streaming import feed as FEED  # noqa: E402
+
+BATCH_DAYS = 10  # load days per simulated incremental run
+
+
+def _batch_index(raw: DataFrame, first_day) -> DataFrame:
+    return raw.withColumn("_run", F.floor(F.datediff(F.to_date("load_dts"), F.lit(first_day)) / BATCH_DAYS).cast("int"))
+
+
+def _runs(raw: DataFrame):
+    """Simulated hourly-pipeline runs: raw rows grouped by load date into consecutive runs. Returns the
+    raw frame tagged with its run index and the ordered run indices (one small aggregate to the driver)."""
+    first_day = raw.agg(F.min(F.to_date("load_dts"))).first()[0]
+    tagged = _batch_index(raw, first_day)
+    last = tagged.agg(F.max("_run")).first()[0]
+    return tagged, list(range(0, (last or 0) + 1))
+
+
+@register("replace_by_key", O.with_ctes(*_STG_OBS) + O.final_select("stg_observed", spec.STAGED_COLUMNS, STAGED_DOUBLES))
+def _replace_by_key(spark, d):
+    """Incremental staging runs (high-water filter + keyed delete/insert) end equal to one full build."""
+    raw, runs = _runs(warehouse(spark, d).raw_weather("observed"))
+    table = VersionedTable(spark, scratch_path(spark, "stratus", f"stg_observed_{uuid.uuid4().hex[:8]}"))
+    for i in runs:
+        target = table.read()
+        batch = M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "observed", since=target)
+        table.replace_by_key(batch, ["wmo_station_id", "timestamp_utc"])
+    return round_doubles(table.read().select(*spec.STAGED_COLUMNS))
+
+
+_RUN_SQL = f"CAST(floor(datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(load_dts AS DATE)) / {BATCH_DAYS}) AS INTEGER)"
+
+
+@register("append_versions", O.with_ctes(O.raw_weather_cte("forecast"), f"""runs AS (
+  SELECT DISTINCT ON (wmo_station_id, timestamp_utc, run) * FROM (SELECT *, {_RUN_SQL} AS run FROM raw_forecast) t
+  WHERE temperature IS NOT NULL ORDER BY wmo_station_id, timestamp_utc, run, load_dts DESC NULLS FIRST
+),
+staged AS (
+  {O.staged_select('runs', 'CAST(run AS BIGINT) AS batch_id')}
+)""") + O.final_select("staged", spec.STAGED_COLUMNS + ("batch_id",), STAGED_DOUBLES))
+def _append_versions(spark, d):
+    """Forecast history: each run keeps its newest version per (station, hour) and adds it as a version."""
+    raw, runs = _runs(warehouse(spark, d).raw_weather("forecast").drop("batch_id"))
+    table = VersionedTable(spark, scratch_path(spark, "stratus", f"stg_forecast_{uuid.uuid4().hex[:8]}"))
+    for i in runs:
+        batch = M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "forecast")
+        batch = batch.withColumn("batch_id", F.lit(i).cast("long"))
+        cur = table.read()
+        from stratus.operators.incremental import append_versions
+        table.write(batch if cur is None else append_versions(cur, batch, ["wmo_station_id", "timestamp_utc"]))
+    return round_doubles(table.read().select(*spec.STAGED_COLUMNS, "batch_id"))
+
+
+@register("hourly_feed", O.with_ctes(*_STG_OBS) + O.final_select("stg_observed", spec.STAGED_COLUMNS, STAGED_DOUBLES))
+def _hourly_feed(spark, d):
+    """Land raw rows, run the Structured Streaming feed over them (several micro-batches), read the
+    current staged table: equals the batch build."""
+    root = scratch_path(spark, "stratus", f"feed_{uuid.uuid4().hex[:8]}")
+    FEED.land(warehouse(spark, d).raw_weather("observed"), f"{root}/landing")
+    q = FEED.start_hourly_feed(spark, f"{root}/landing", f"{root}/log", f"{root}/checkpoint", "observed",
+                               max_files_per_trigger=16)
+    q.awaitTermination()
+    return round_doubles(FEED.current_state(spark, f"{root}/log").select(*spec.STAGED_COLUMNS))
+
+
+# ------------------------------------------------------------------------------------------ landing readers
+from stratus.functions.geometry import geom_from_wkt, geom_to_wkt  # noqa: E402
+from stratus.sources import landing as LD  # noqa: E402
+from stratus.sources import landing_fixtures as LF  # noqa: E402
+
+_LAT = "CAST(4700 + (c_custkey * 37) % 800 AS DOUBLE) / CAST(100 AS DOUBLE)"
+_LON = "CAST(600 + (c_custkey * 53) % 900 AS DOUBLE) / CAST(100 AS DOUBLE)"
+_STATION_LIST_SQL = f"""SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS station_id, c_name AS station_name,
+  lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS wmo_station_id, ROUND({_LAT}, 6) + 0.0 AS lat, ROUND({_LON}, 6) + 0.0 AS lon,
+  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE ROUND(c_acctbal, 6) + 0.0 END AS height, c_mktsegment AS country,
+  'station_list' AS record_source
+FROM customer
+WHERE c_custkey % 23 != 0 AND c_custkey % 19 != 0 AND c_custkey % 13 != 0 AND c_custkey % 17 != 0"""
+
+
+@register("read_station_list", _STATION_LIST_SQL)
+def _read_station_list(spark, d):
+    path = LF.write_station_list(warehouse(spark, d).table("customer"), LF.scratch(spark, "stations"))
+    return round_doubles(LD.read_station_list(spark, path))
+
+
+@register("station_raw", f"""SELECT wmo_station_id, CASE WHEN trim(station_name) = '' THEN NULL ELSE station_name END AS station_name,
+  lat, lon, record_source, TIMESTAMP '2024-01-01 00:00:00' AS load_dts FROM ({_STATION_LIST_SQL}) t""")
+def _station_raw(spark, d):
+    path = LF.write_station_list(warehouse(spark, d).table("customer"), LF.scratch(spark, "stations"))
+    recs = LD.read_station_list(spark, path)
+    return round_doubles(LD.station_raw(recs, "2024-01-01 00:00:00").drop("properties"))
+
+
+_RESP_SQL = """FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e
+WHERE k % 50 NOT IN (7, 8) AND user_id % 17 != 0"""
+
+
+@register("explode_weather_response", f"""SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS wmo_station_id, ts AS timestamp_utc,
+  ROUND(value - CAST(60.0 AS DOUBLE), 6) + 0.0 AS temperature, 'station-' || CAST(user_id AS VARCHAR) AS station_name,
+  'weather_api' AS record_source {_RESP_SQL}""")
+def _explode_weather_response(spark, d):
+    path = LF.write_weather_responses(warehouse(spark, d).table("events"), LF.scratch(spark, "responses"))
+    rows = LD.explode_weather_response(spark.read.text(path))
+    return round_doubles(rows.select("wmo_station_id", "timestamp_utc",
+                                     F.get_json_object("raw", "$.temperature").cast("double").alias("temperature"),
+                                     F.get_json_object("bright_sky_source_mapping", "$.station_name").alias("station_name"),
+                                     "record_source"))
+
+
+@register("no_data_split", """SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS _station_id, CAST(404 AS BIGINT) AS _http_status
+FROM events WHERE user_id % 17 = 0 GROUP BY user_id, floor(event_id / 16)""")
+def _no_data_split(spark, d):
+    path = LF.write_weather_responses(warehouse(spark, d).table("events"), LF.scratch(spark, "responses"))
+    _, markers = LD.no_data_split(LD.parse_responses(spark.read.text(path)))
+    return markers.select("_station_id", "_http_status")
+
+
+def _sq_sql(dx: int = 0) -> str:
+    def p(sx, sy):
+        return f"CAST(cx {sx} 40 + {dx} AS VARCHAR) || ' ' || CAST(cy {sy} 40 AS VARCHAR)"
+    return ("'((' || " + " || ', ' || ".join([p('-', '-'), p('+', '-'), p('+', '+'), p('-', '+'), p('-', '-')])
+            + " || '))'")
+
+
+_SUPP = """(SELECT s_suppkey, 600 + (s_suppkey * 71) % 900 AS cx, 4700 + (s_suppkey * 29) % 800 AS cy FROM supplier) s"""
+
+
+@register("read_postal_polygons", f"""SELECT CAST(CASE WHEN s_suppkey % 5 = 0 THEN 20000 ELSE 10000 END + s_suppkey AS VARCHAR) AS plz,
+  CASE WHEN s_suppkey % 3 = 1 THEN 'MULTIPOLYGON (' || {_sq_sql()} || ', ' || {_sq_sql(100)} || ')'
+       ELSE 'MULTIPOLYGON (' || {_sq_sql()} || ')' END AS wkt,
+  'geojson' AS record_source
+FROM {_SUPP}
+WHERE s_suppkey % 11 != 0 AND s_suppkey % 13 != 0 AND s_suppkey % 5 != 0""")
+def _read_postal_polygons(spark, d):
+    path = LF.write_postal_features(warehouse(spark, d).table("supplier"), LF.scratch(spark, "features"))
+    return LD.read_postal_geojson(spark, path, prefix="10").drop("geometry")
+
+
+@register("stitch_topology_arcs", f"""SELECT CAST(10000 + s_suppkey AS VARCHAR) AS feature, 'MULTIPOLYGON (' || {_sq_sql()} || ')' AS wkt
+FROM {_SUPP}""")
+def _stitch(spark, d):
+    arcs, refs = LF.topology_from_suppliers(warehouse(spark, d).table("supplier"))
+    return LD.stitch_topology_arcs(arcs, refs, LF.TOPO_SCALE, LF.TOPO_TRANSLATE).select("feature", "wkt")
+
+
+register("geom_wkt_roundtrip", O.with_ctes(O.POSTAL_CTES)
+         + "SELECT plz, replace(wkt, 'MULTIPOLYGON(((', 'MULTIPOLYGON (((') AS wkt FROM dim_postal_area")(
+    lambda spark, d: warehouse(spark, d).dim_postal_area().select("plz", geom_to_wkt(geom_from_wkt("wkt")).alias("wkt")))
+
+register("request_window_observed", O.with_ctes(O.raw_weather_cte("observed"))
+         + """SELECT wmo_station_id, timestamp_utc, load_dts FROM raw_observed
+WHERE timestamp_utc >= TIMESTAMP '2024-01-15 09:00:00' AND timestamp_utc <= TIMESTAMP '2024-01-15 09:59:00'""")(
+    lambda spark, d: LD.in_request_window(warehouse(spark, d).raw_weather("observed"), "observed",
+                                          "2024-01-15 10:20:00").select("wmo_station_id", "timestamp_utc", "load_dts"))
+
+register("request_window_forecast", O.with_ctes(O.raw_weather_cte("forecast"))
+         + """SELECT wmo_station_id, timestamp_utc, load_dts FROM raw_forecast
+WHERE timestamp_utc >= TIMESTAMP '2024-02-01 05:01:00' AND timestamp_utc <= TIMESTAMP '2024-02-02 05:01:00'""")(
+    lambda spark, d: LD.in_request_window(warehouse(spark, d).raw_weather("forecast"), "forecast",
+                                          "2024-02-01 05:10:00").select("wmo_station_id", "timestamp_utc", "load_dts"))
+
+register("prefix_scope", O.with_ctes(O.POSTAL_CTES) + "SELECT plz, wkt FROM postal_raw WHERE starts_with(plz, '100')")(
+    lambda spark, d: LD.prefix_scope(warehouse(spark, d).postal_raw(), "100").select("plz", "wkt"))
+
+register("station_scope", O.with_ctes(O.STATION_CTES)
+         + "SELECT DISTINCT wmo_station_id FROM station_raw WHERE lower(station_name) LIKE 'customer#0000001%'")(
+    lambda spark, d: LD.station_scope(warehouse(spark, d).station_raw(), "customer#0000001%"))
+
+register("station_scope_all", O.with_ctes(O.STATION_CTES) + "SELECT DISTINCT wmo_station_id FROM station_raw")(
+    lambda spark, d: LD.station_scope(warehouse(spark, d).station_raw()))
+
+
+@register("append_raw", O.with_ctes(O.STATION_CTES) + """SELECT wmo_station_id, TIMESTAMP '2024-01-05 00:00:00' AS load_dts
+FROM stg_station WHERE CAST(wmo_station_id AS BIGINT) % 2 = 0
+UNION ALL SELECT wmo_station_id, TIMESTAMP '2024-01-06 00:00:00' FROM stg_station""")
+def _append_raw(spark, d):
+    st = warehouse(spark, d).stg_station().select("wmo_station_id", "station_name", "lat", "lon")
+    path = LF.scratch(spark, "station_raw")
+    LD.append_raw(st.filter(F.col("wmo_station_id").cast("long") % 2 == 0), path, "2024-01-05 00:00:00")
+    LD.append_raw(st, path, "2024-01-06 00:00:00")
+    return spark.read.parquet(path).select("wmo_station_id", "load_dts")
