@@ -359,7 +359,7 @@ def _hourly_feed(spark, d):
     root = scratch_path(spark, "stratus", f"feed_{uuid.uuid4().hex[:8]}")
     FEED.land(warehouse(spark, d).raw_weather("observed"), f"{root}/landing")
     q = FEED.start_hourly_feed(spark, f"{root}/landing", f"{root}/log", f"{root}/checkpoint", "observed",
-                               max_files_per_trigger=16)
+                               max_files_per_trigger=64)
     q.awaitTermination()
     return round_doubles(FEED.current_state(spark, f"{root}/log").select(*spec.STAGED_COLUMNS))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from stratus.functions.geometry import geom_from_wkt
 from stratus.plans import models
-from stratus.session import checkpoint_dir
+from stratus.session import checkpoint_dir, scratch_path
 from stratus.sources import standins
 from stratus.sources.tables import read_table
 
@@ -35,13 +36,23 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = models.DEFAULT_AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self._raw: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    # raw (bronze)
+    # raw (bronze): written once per run as parquet in the shared scratch folder, as the reference's raw
+    # layer is a stored table; sorted by load stamp so the incremental high-water filter skips row groups
     def raw_weather(self, kind: str) -> DataFrame:
-        return standins.weather_raw_from_events(self.table("events"), kind)
+        if kind not in self._raw:
+            path = scratch_path(self.spark, "stratus", "raw", f"weather_{kind}_{uuid.uuid4().hex[:10]}")
+            # several files, as landed raw data arrives; round-robin so one hot station cannot make
+            # one file (and later one scan task) hold a large share of the rows
+            files = max(2, self.spark.sparkContext.defaultParallelism)
+            (standins.weather_raw_from_events(self.table("events"), kind).repartition(files)
+             .sortWithinPartitions("load_dts").write.parquet(path))
+            self._raw[kind] = self.spark.read.parquet(path)
+        return self._raw[kind]
 
     def station_raw(self) -> DataFrame:
         return standins.station_raw_from_customers(self.table("customer"), self.table("events"))
