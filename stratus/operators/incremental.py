@@ -125,3 +125,61 @@ class VersionedTable:
 
 def local_or_shared(path: str) -> str:
     return path if "://" in path else os.path.abspath(path)
+
+
+class KeyedLog:
+    """Keyed table kept as an append-only log of runs plus a view (merge-on-read).
+
+    ``append(batch, run)`` writes only the batch (O(batch) per run, never O(table)); files become visible
+    at job commit, so a failed run leaves nothing behind. ``current()`` is the table: per key, the rows
+    of its newest load; among equal loads the latest run, then the latest attempt — so a retried run
+    replaces its earlier attempt instead of duplicating it. With several rows per key (fact rows fanned
+    out per area) the whole group of the winning load is kept, which is the delete+insert semantics.
+    ``compact`` rewrites the view as a fresh log.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition_by: Sequence[str] = ("load_date",),
+                 merge_schema: bool = False):
+        self.spark, self.root, self.keys, self.partition_by = spark, root, list(keys), list(partition_by)
+        self.merge_schema = merge_schema  # set when runs may add columns (append_new_columns)
+
+    def _exists(self) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = p.getFileSystem(conf)
+        return fs.exists(p) and any(st.getPath().getName().startswith(("_SUCCESS", "load_date=", "part-"))
+                                    for st in fs.listStatus(p))
+
+    def append(self, batch: DataFrame, run: int) -> None:
+        attempt = uuid.uuid4().hex
+        out = batch.withColumn("_run", F.lit(run).cast("long")).withColumn("_attempt", F.lit(attempt))
+        if "load_date" in self.partition_by and "load_date" not in batch.columns:
+            out = out.withColumn("load_date", F.to_date("load_dts"))
+        out.write.mode("append").partitionBy(*self.partition_by).parquet(self.root)
+
+    def log(self) -> DataFrame | None:
+        if not self._exists():
+            return None
+        return self.spark.read.option("mergeSchema", str(self.merge_schema).lower()).parquet(self.root)
+
+    def current(self) -> DataFrame | None:
+        log = self.log()
+        if log is None:
+            return None
+        from pyspark.sql import Window
+        version = F.struct(F.col("load_dts"), F.col("_run"), F.col("_attempt"))
+        w = Window.partitionBy(*self.keys)
+        return (log.withColumn("_v", version).withColumn("_max", F.max("_v").over(w))
+                .filter(F.col("_v") == F.col("_max")).drop("_v", "_max", "_run", "_attempt", *self.partition_by))
+
+    def high_water_mark(self):
+        log = self.log()
+        return None if log is None else high_water_mark(log)
+
+    def compact(self, new_root: str) -> "KeyedLog":
+        cur = self.current()
+        nxt = KeyedLog(self.spark, new_root, self.keys, self.partition_by)
+        if cur is not None:
+            nxt.append(cur, 0)
+        return nxt

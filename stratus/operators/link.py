@@ -52,10 +52,12 @@ def _kth_smallest(df: DataFrame, key: str, val: str, k: int, out: str) -> DataFr
 
 def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id", area_geom: str = "geometry",
                  station_id: str = "id", station_geom: str = "geometry", k: int = 1,
-                 cell_size: float | None = None, prune: bool = True) -> DataFrame:
+                 cell_size: float | None = None, prune: bool = True,
+                 materialize_inputs: bool = True) -> DataFrame:
     """Return (postal_area_id, station_id, distance, rank) for the k nearest stations of every area.
 
     Areas without any station get no row (inner LATERAL semantics). Ties break on the lower station id.
+    ``materialize_inputs=False`` when both inputs are already written tables (saves two writes).
     """
     spark = areas.sparkSession
     checkpoint_dir(spark)
@@ -71,8 +73,9 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
         # co-located stations are equally near to everything: only the lowest id can win
         S = S.groupBy("x", "y").agg(F.min("sid").alias("sid"))
     # written once: every level re-reads these instead of re-deriving the dimensions
-    A = A.checkpoint()
-    S = S.checkpoint()
+    if materialize_inputs:
+        A = A.checkpoint()
+        S = S.checkpoint()
     segs = explode_segments(A, "aid", "g")
     A = A.drop("g")
 
@@ -124,7 +127,10 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
         nxt = (state.filter(~F.col("ok"))
                .select("aid", F.least(F.greatest(jump.cast("int"), F.lit(level + 1)), F.lit(top)).alias("lvl"))
                .join(active.drop("lvl"), "aid"))
-        pending = pending.filter(F.col("lvl") != level).unionByName(nxt).checkpoint()
+        rest = pending.filter(F.col("lvl") != level).unionByName(nxt)
+        if rest.isEmpty():
+            break
+        pending = rest.checkpoint()
         nxt_level = pending.agg(F.min("lvl")).first()[0]
         if nxt_level is None:
             break

@@ -89,26 +89,23 @@ def check_no_duplicates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def check_timestamp_continuity(df: DataFrame, ts: str, max_gap_seconds: float = 3600.0,
                                partition_by: Sequence[str] = ()) -> DataFrame:
-    """Timestamps whose distance to the previous distinct timestamp exceeds the allowed gap.
+    """Timestamps whose distance to the previous distinct timestamp (per ``partition_by`` group) exceeds
+    the allowed gap. Output: (partition cols..., ts, prev_timestamp, gap_seconds).
 
-    Output: (partition cols..., ts, prev_timestamp, gap_seconds). Duplicate timestamps change no gap,
-    so the work runs on distinct values. Without ``partition_by`` there is no natural partition, so the
-    lag is taken per time bucket (distributed) and the bucket boundaries are closed with a lag over
-    one row per bucket (its size is bounded by the time span / bucket width, not by the data).
+    Duplicate timestamps change no gap, so the work runs on distinct values. The lag is taken inside
+    (group, day) buckets, so no task holds a whole group's history (a station with a third of all rows
+    is spread over its days); bucket boundaries are closed by a lag over one summary row per
+    (group, day), whose size is bounded by the time span, not by the data.
     """
     keys = list(partition_by)
-    d = df.select(*keys, F.col(ts).alias("_t")).filter(F.col("_t").isNotNull()).distinct()
-    if keys:
-        w = Window.partitionBy(*keys).orderBy("_t")
-        g = d.withColumn("_p", F.lag("_t").over(w))
-    else:
-        d = d.withColumn("_b", F.to_date(F.col("_t")))  # day buckets, no time zone involved
-        w = Window.partitionBy("_b").orderBy("_t")
-        inner = d.withColumn("_p", F.lag("_t").over(w))
-        edges = d.groupBy("_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-        edges = edges.select("_b", "_first", F.lag("_last").over(Window.orderBy("_b")).alias("_prev_last"))
-        g = (inner.join(edges.select("_b", "_first", "_prev_last"), "_b", "left")
-             .withColumn("_p", F.when(F.col("_t") == F.col("_first"), F.col("_prev_last")).otherwise(F.col("_p"))))
+    d = (df.select(*keys, F.col(ts).alias("_t")).filter(F.col("_t").isNotNull()).distinct()
+         .withColumn("_b", F.to_date(F.col("_t"))))  # day buckets, no time zone involved
+    inner = d.withColumn("_p", F.lag("_t").over(Window.partitionBy(*keys, "_b").orderBy("_t")))
+    edges = d.groupBy(*keys, "_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    edge_w = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
+    edges = edges.select(*keys, "_b", "_first", F.lag("_last").over(edge_w).alias("_prev_last"))
+    g = (inner.join(edges, [*keys, "_b"], "left")
+         .withColumn("_p", F.when(F.col("_t") == F.col("_first"), F.col("_prev_last")).otherwise(F.col("_p"))))
     gap = seconds_between(F.col("_t"), F.col("_p"))
     return (g.filter(F.col("_p").isNotNull() & (gap > F.lit(float(max_gap_seconds))))
             .select(*keys, F.col("_t").alias(ts), F.col("_p").alias("prev_timestamp"), gap.alias("gap_seconds")))

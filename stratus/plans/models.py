@@ -69,11 +69,12 @@ def dim_postal_area(stg: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------------------------- link
 def link_postcode_station(dim_area: DataFrame, dim_st: DataFrame, *, as_of: str = DEFAULT_AS_OF, k: int = 1,
-                          prune: bool = True, cell_size: float | None = None) -> DataFrame:
+                          prune: bool = True, cell_size: float | None = None,
+                          materialize_inputs: bool = True) -> DataFrame:
     """Nearest station per postal area; ``created_at`` is the run's ``as_of`` stamp."""
     areas = dim_area.filter(F.col("plz").isNotNull())
     st = dim_st.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    res = nearest_link(areas, st, k=k, prune=prune, cell_size=cell_size)
+    res = nearest_link(areas, st, k=k, prune=prune, cell_size=cell_size, materialize_inputs=materialize_inputs)
     cols = [F.col("postal_area_id").cast("long"), F.col("station_id").cast("long"), ntz(as_of).alias("created_at")]
     if k > 1:
         cols += [F.col("rank"), F.col("distance")]

@@ -78,7 +78,8 @@ register("nearest_link", O.with_ctes(O.STATION_CTES, O.POSTAL_CTES, O.link_cte(1
 def _nearest_k3(spark, d):
     from stratus.plans import models
     wh = warehouse(spark, d)
-    return round_doubles(models.link_postcode_station(wh.dim_postal_area(), wh.dim_station(), as_of=wh.as_of, k=3))
+    return round_doubles(models.link_postcode_station(wh.dim_postal_area(), wh.dim_station(), as_of=wh.as_of, k=3,
+                                                      materialize_inputs=False))
 
 
 @register("nearest_link_unpruned", O.with_ctes(O.STATION_CTES, O.POSTAL_CTES, O.link_cte(1))
@@ -86,7 +87,8 @@ def _nearest_k3(spark, d):
 def _nearest_unpruned(spark, d):
     from stratus.plans import models
     wh = warehouse(spark, d)
-    return models.link_postcode_station(wh.dim_postal_area(), wh.dim_station(), as_of=wh.as_of, prune=False)
+    return models.link_postcode_station(wh.dim_postal_area(), wh.dim_station(), as_of=wh.as_of, prune=False,
+                                        materialize_inputs=False)
 
 
 # ------------------------------------------------------------------------------------------ facts
@@ -296,7 +298,7 @@ WHERE linked.wmo_station_id IS NULL""")(
 # ------------------------------------------------------------------------------------------ incremental / streaming
 import uuid  # noqa: E402
 
-from stratus.operators.incremental import VersionedTable  # noqa: E402
+from stratus.operators.incremental import KeyedLog, VersionedTable  # noqa: E402
 from stratus.plans import models as M  # noqa: E402
 from stratus.session import scratch_path  # noqa: E402
 from stratus.streaming import feed as FEED  # noqa: E402
@@ -319,9 +321,24 @@ def _runs(raw: DataFrame):
 
 @register("replace_by_key", O.with_ctes(*_STG_OBS) + O.final_select("stg_observed", spec.STAGED_COLUMNS, STAGED_DOUBLES))
 def _replace_by_key(spark, d):
-    """Incremental staging runs (high-water filter + keyed delete/insert) end equal to one full build."""
+    """Incremental staging runs (high-water filter + keyed replacement into a keyed log) end equal to
+    one full build."""
     raw, runs = _runs(warehouse(spark, d).raw_weather("observed"))
-    table = VersionedTable(spark, scratch_path(spark, "stratus", f"stg_observed_{uuid.uuid4().hex[:8]}"))
+    table = KeyedLog(spark, scratch_path(spark, "stratus", f"stg_observed_{uuid.uuid4().hex[:8]}"),
+                     ["wmo_station_id", "timestamp_utc"])
+    for i in runs:
+        batch = M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "observed", since=table.log())
+        table.append(batch, i)
+    return round_doubles(table.current().select(*spec.STAGED_COLUMNS))
+
+
+@register("replace_by_key_versioned", O.with_ctes(*_STG_OBS)
+          + O.final_select("stg_observed", spec.STAGED_COLUMNS, STAGED_DOUBLES))
+def _replace_by_key_versioned(spark, d):
+    """The same runs as delete+insert rewrites of a versioned table (for small tables; each run
+    rewrites the table, so large incremental tables use the keyed log above)."""
+    raw, runs = _runs(warehouse(spark, d).raw_weather("observed"))
+    table = VersionedTable(spark, scratch_path(spark, "stratus", f"stg_observed_v_{uuid.uuid4().hex[:8]}"))
     for i in runs:
         target = table.read()
         batch = M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "observed", since=target)
@@ -340,16 +357,15 @@ staged AS (
   {O.staged_select('runs', 'CAST(run AS BIGINT) AS batch_id')}
 )""") + O.final_select("staged", spec.STAGED_COLUMNS + ("batch_id",), STAGED_DOUBLES))
 def _append_versions(spark, d):
-    """Forecast history: each run keeps its newest version per (station, hour) and adds it as a version."""
+    """Forecast history: each run keeps its newest version per (station, hour) and adds it as a version
+    (the run id is part of the key)."""
     raw, runs = _runs(warehouse(spark, d).raw_weather("forecast").drop("batch_id"))
-    table = VersionedTable(spark, scratch_path(spark, "stratus", f"stg_forecast_{uuid.uuid4().hex[:8]}"))
+    table = KeyedLog(spark, scratch_path(spark, "stratus", f"stg_forecast_{uuid.uuid4().hex[:8]}"),
+                     ["wmo_station_id", "timestamp_utc", "batch_id"])
     for i in runs:
         batch = M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "forecast")
-        batch = batch.withColumn("batch_id", F.lit(i).cast("long"))
-        cur = table.read()
-        from stratus.operators.incremental import append_versions
-        table.write(batch if cur is None else append_versions(cur, batch, ["wmo_station_id", "timestamp_utc"]))
-    return round_doubles(table.read().select(*spec.STAGED_COLUMNS, "batch_id"))
+        table.append(batch.withColumn("batch_id", F.lit(i).cast("long")), i)
+    return round_doubles(table.current().select(*spec.STAGED_COLUMNS, "batch_id"))
 
 
 @register("hourly_feed", O.with_ctes(*_STG_OBS) + O.final_select("stg_observed", spec.STAGED_COLUMNS, STAGED_DOUBLES))

@@ -93,7 +93,9 @@ class Warehouse:
 
     @cached_property
     def link(self) -> DataFrame:
-        return models.link_postcode_station(self.dim_postal_area(), self.dim_station(), as_of=self.as_of)
+        # the dimensions are written tables already (see above)
+        return models.link_postcode_station(self.dim_postal_area(), self.dim_station(), as_of=self.as_of,
+                                            materialize_inputs=False)
 
     def fact(self, kind: str) -> DataFrame:
         return models.fact_weather(self.stg(kind), self.dim_station(), self.link, self.dim_postal_area())

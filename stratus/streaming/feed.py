@@ -1,9 +1,8 @@
 """The hourly feed as a Structured Streaming job.
 
 ``readStream`` over the landing zone (raw weather rows as parquet, partitioned by load date) ->
-``foreachBatch``: stage the micro-batch (presence filter, newest per key, cleaning) and append it to the
-staged log with its epoch id. The current table is a view: newest load per key over the log (a window
-with a partial top-1 before its shuffle).
+``foreachBatch``: stage the micro-batch (presence filter, newest per key, cleaning) and append it to a
+``KeyedLog`` with the epoch as run id. The current table is the log's view: newest load per key.
 
 Why a log plus a view instead of rewriting the table each micro-batch:
 * each micro-batch writes O(batch) data, never O(table);
@@ -15,13 +14,11 @@ Compaction (rewriting the log as its view into a new folder) is ``compact``.
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.operators.dedup import desc_nulls_first, latest_per_key
+from stratus.operators.incremental import KeyedLog
 from stratus.plans import models
 
 RAW_SCHEMA = T.StructType([
@@ -48,26 +45,20 @@ def start_hourly_feed(spark: SparkSession, landing: str, log_path: str, checkpoi
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(landing)
+    log = KeyedLog(spark, log_path, KEYS[kind])
 
     def process(batch: DataFrame, epoch: int) -> None:
-        staged = models.stg_weather(batch.drop("load_date"), kind)
-        (staged.withColumn("epoch", F.lit(epoch).cast("long"))
-         .withColumn("load_date", F.to_date("load_dts"))
-         .write.mode("append").partitionBy("load_date").parquet(log_path))
+        log.append(models.stg_weather(batch.drop("load_date"), kind), epoch)
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
 
 
-def current_state(spark: SparkSession, log_path: str, keys: Sequence[str] = KEYS["observed"]) -> DataFrame:
-    """Newest staged row per key over the log (epoch breaks ties between identical retried rows)."""
-    log = spark.read.parquet(log_path)
-    latest = latest_per_key(log, keys, [desc_nulls_first("load_dts"), F.col("epoch").desc()])
-    return latest.drop("epoch", "load_date")
+def current_state(spark: SparkSession, log_path: str, kind: str = "observed") -> DataFrame:
+    """The staged table: newest load per key over the log (a retried epoch's rows replace its first attempt)."""
+    return KeyedLog(spark, log_path, KEYS[kind]).current()
 
 
-def compact(spark: SparkSession, log_path: str, out_path: str, keys: Sequence[str] = KEYS["observed"]) -> None:
-    (current_state(spark, log_path, keys).withColumn("epoch", F.lit(-1).cast("long"))
-     .withColumn("load_date", F.to_date("load_dts"))
-     .write.mode("errorifexists").partitionBy("load_date").parquet(out_path))
+def compact(spark: SparkSession, log_path: str, out_path: str, kind: str = "observed") -> KeyedLog:
+    return KeyedLog(spark, log_path, KEYS[kind]).compact(out_path)
