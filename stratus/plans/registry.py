@@ -497,3 +497,41 @@ def _append_raw(spark, d):
     LD.append_raw(st.filter(F.col("wmo_station_id").cast("long") % 2 == 0), path, "2024-01-05 00:00:00")
     LD.append_raw(st, path, "2024-01-06 00:00:00")
     return spark.read.parquet(path).select("wmo_station_id", "load_dts")
+
+
+# ------------------------------------------------------------------------------------------ end-to-end run
+from stratus.plans.pipeline import hourly_run  # noqa: E402
+
+
+def _pipeline(spark, d):
+    wh = warehouse(spark, d)
+    root = scratch_path(spark, "stratus", f"warehouse_{uuid.uuid4().hex[:8]}")
+    return hourly_run(spark, root, 0, wh.raw_weather("observed"), wh.raw_weather("forecast"), wh.station_raw(),
+                      wh.postal_raw(), wh.as_of)
+
+
+_MART_FC_RUN_SQL = O.with_ctes(O.raw_weather_cte("forecast"), f"""runs AS (
+  SELECT DISTINCT ON (wmo_station_id, timestamp_utc) * FROM raw_forecast WHERE temperature IS NOT NULL
+  ORDER BY wmo_station_id, timestamp_utc, load_dts DESC NULLS FIRST
+),
+stg_forecast AS (
+  {O.staged_select('runs')}
+)""", *_FACT_BASE, O.fact_cte("forecast", "stg_forecast"), O.mart_cte("forecast"))
+
+
+@register("hourly_pipeline_mart", _MART_FC_RUN_SQL + O.final_select("mart_forecast", MART_COLS, MART_DOUBLES))
+def _pipeline_mart(spark, d):
+    """One full hourly run writing every layer; the written forecast mart (one run = one version per
+    station-hour)."""
+    return round_doubles(_pipeline(spark, d).tables["mart_forecast"].select(*MART_COLS))
+
+
+@register("store_failures", O.with_ctes(*_STG_OBS, *_STG_FC, *_FACT_BASE,
+                                        O.fact_cte("forecast", "stg_forecast_batches"), O.mart_cte("forecast"),
+                                        f"failures AS ({O.INTEGRITY_SQL})")
+          + "SELECT check_name, key1, key2 FROM failures")
+def _store_failures(spark, d):
+    """Integrity failures written partitioned by check and read back."""
+    path = scratch_path(spark, "stratus", f"failures_{uuid.uuid4().hex[:8]}")
+    Q.store_failures(_integrity(spark, d), path)
+    return spark.read.parquet(path).select("check_name", "key1", "key2")
