@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.functions.geometry import bbox_cols, explode_segments, point_bbox_dist2, ray_crosses, segment_dist2
-from stratus.session import checkpoint_dir
+from stratus.session import checkpoint_dir, materialize
 
 
 def _cells_for_areas(active: DataFrame, c: float) -> DataFrame:
@@ -74,8 +74,8 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
         S = S.groupBy("x", "y").agg(F.min("sid").alias("sid"))
     # written once: every level re-reads these instead of re-deriving the dimensions
     if materialize_inputs:
-        A = A.checkpoint()
-        S = S.checkpoint()
+        A = materialize(A, "link_areas")
+        S = materialize(S, "link_stations")
     segs = explode_segments(A, "aid", "g")
     A = A.drop("g")
 
@@ -115,8 +115,8 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
             F.sum(ray_crosses(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).cast("int")).alias("nx"))
         per = per.select("aid", "sid", F.when(F.col("nx") % 2 == 1, F.lit(0.0)).otherwise(F.col("e2")).alias("d2"))
         w = Window.partitionBy("aid").orderBy(F.col("d2").asc(), F.col("sid").asc())
-        # eager checkpoint: this level's search runs once; everything below reads the written result
-        ranked = per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).checkpoint()
+        # written once: this level's search runs once; everything below reads the written result
+        ranked = materialize(per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k), "link_ranked")
         summary = ranked.groupBy("aid").agg(F.max("d2").alias("kd2"), F.count(F.lit(1)).alias("n"))
         at_top = F.lit(level >= top)
         state = (active.select("aid").join(summary, "aid", "left")
@@ -130,7 +130,7 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
         rest = pending.filter(F.col("lvl") != level).unionByName(nxt)
         if rest.isEmpty():
             break
-        pending = rest.checkpoint()
+        pending = materialize(rest, "link_pending")
         nxt_level = pending.agg(F.min("lvl")).first()[0]
         if nxt_level is None:
             break

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from stratus.functions.geometry import geom_from_wkt
 from stratus.plans import models
-from stratus.session import checkpoint_dir, scratch_path
+from stratus.session import materialize, scratch_path
 from stratus.sources import standins
 from stratus.sources.tables import read_table
 
@@ -37,9 +37,12 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = models.DEFAULT_AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self._raw: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # raw (bronze): written once per run as parquet in the shared scratch folder, as the reference's raw
     # layer is a stored table; sorted by load stamp so the incremental high-water filter skips row groups
@@ -49,9 +52,9 @@ class Warehouse:
             # several files, as landed raw data arrives; round-robin so one hot station cannot make
             # one file (and later one scan task) hold a large share of the rows
             files = max(2, self.spark.sparkContext.defaultParallelism)
-            (standins.weather_raw_from_events(self.table("events"), kind).repartition(files)
-             .sortWithinPartitions("load_dts").write.parquet(path))
-            self._raw[kind] = self.spark.read.parquet(path)
+            raw = standins.weather_raw_from_events(self.table("events"), kind)
+            raw.repartition(files).sortWithinPartitions("load_dts").write.parquet(path)
+            self._raw[kind] = self.spark.read.schema(raw.schema).parquet(path)
         return self._raw[kind]
 
     def station_raw(self) -> DataFrame:
@@ -77,13 +80,11 @@ class Warehouse:
     # shared checkpoint folder; link, facts and marts all read the written copy
     @cached_property
     def _dim_station(self) -> DataFrame:
-        checkpoint_dir(self.spark)
-        return models.dim_station(self.stg_station()).checkpoint()
+        return materialize(models.dim_station(self.stg_station()), "dim_station")
 
     @cached_property
     def _dim_postal_area(self) -> DataFrame:
-        checkpoint_dir(self.spark)
-        return models.dim_postal_area(self.stg_postal_area()).checkpoint()
+        return materialize(models.dim_postal_area(self.stg_postal_area()), "dim_postal_area")
 
     def dim_station(self) -> DataFrame:
         return self._dim_station

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library relies on. They are applied to sessions we build; jobs that
 # receive a foreign session only depend on the NTZ-typed columns, so they do not need them.
@@ -56,3 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A location under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder and reading it
+    back. One job (an RDD ``checkpoint()`` computes the plan twice unless cached), and later reads get
+    column pruning and filter pushdown. Each call writes a fresh folder, so a retried caller never sees
+    a partial table."""
+    import uuid
+
+    path = scratch_path(df.sparkSession, "stratus", "materialized", f"{name}_{uuid.uuid4().hex[:12]}")
+    df.write.mode("errorifexists").parquet(path)
+    # the schema is known: no footer-reading job on the way back
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from stratus.functions.geometry import geom_from_wkt, geom_to_wkt
 from stratus.functions.timeutil import hour_floor
+from stratus.session import materialize
 
 # A number as Python's float() accepts it in these files (plain decimal / exponent, nan, inf).
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i)nan|(?i)inf(inity)?)$"
@@ -33,8 +34,8 @@ def drop_file_headers(lines: DataFrame) -> DataFrame:
     within it, it has the smallest row id. One small (file -> id) aggregate locates them all."""
     tagged = lines.select("value", F.input_file_name().alias("_file"), F.input_file_block_start().alias("_blk"),
                           F.monotonically_increasing_id().alias("_rid"))
-    # written once (reliable checkpoint) so both uses below see the same row ids
-    tagged = tagged.checkpoint()
+    # written once so both uses below see the same row ids
+    tagged = materialize(tagged, "lines")
     heads = tagged.filter(F.col("_blk") == 0).groupBy("_file").agg(F.min("_rid").alias("_rid"))
     return tagged.join(heads.select("_rid"), "_rid", "left_anti").select("value")
 
