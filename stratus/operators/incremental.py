@@ -28,9 +28,11 @@ def high_water_mark(target: DataFrame, col: str = "load_dts"):
 
 
 def incremental_filter(raw: DataFrame, target: DataFrame | None, col: str = "load_dts") -> DataFrame:
+    """Rows loaded after the target's newest load. The mark travels as NTZ text (no time-zone shift
+    between driver and session) and becomes a literal predicate that reaches the parquet scan."""
     if target is None:
         return raw
-    hwm = high_water_mark(target, col)
+    hwm = target.agg(F.date_format(F.max(col), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("hwm")).first()["hwm"]
     if hwm is None:
         return raw
     return raw.filter(F.col(col) > F.lit(hwm).cast(raw.schema[col].dataType))
