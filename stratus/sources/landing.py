@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from stratus.functions.geometry import geom_from_wkt, geom_to_wkt
 from stratus.functions.timeutil import hour_floor
-from stratus.session import materialize
 
 # A number as Python's float() accepts it in these files (plain decimal / exponent, nan, inf).
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i)nan|(?i)inf(inity)?)$"
@@ -31,11 +30,11 @@ STATION_LIST_FIELDS = ("wmo_station_id", "station_name", "lat", "lon", "height",
 
 def drop_file_headers(lines: DataFrame) -> DataFrame:
     """Drop the first line of every file. The first line lives in the split that starts at byte 0;
-    within it, it has the smallest row id. One small (file -> id) aggregate locates them all."""
+    within it, it has the smallest row id. One small (file -> id) aggregate, one row per file, locates
+    them all. Both uses of the ids read the same file listing, whose split packing and in-split row order
+    are fixed, so a recomputed task yields the same ids (no extra copy of the input is written)."""
     tagged = lines.select("value", F.input_file_name().alias("_file"), F.input_file_block_start().alias("_blk"),
                           F.monotonically_increasing_id().alias("_rid"))
-    # written once so both uses below see the same row ids
-    tagged = materialize(tagged, "lines")
     heads = tagged.filter(F.col("_blk") == 0).groupBy("_file").agg(F.min("_rid").alias("_rid"))
     return tagged.join(heads.select("_rid"), "_rid", "left_anti").select("value")
 
