@@ -17,6 +17,9 @@ from stratus.sources.tables import read_table
 
 ROUND_DIGITS = 6
 
+# raw stand-in tables already landed in this session: (application id, sf dir, kind) -> DataFrame
+_LANDED: dict = {}
+
 
 def round_doubles(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     """Round double columns for cross-engine comparison (summation order differs between engines);
@@ -44,9 +47,13 @@ class Warehouse:
             self._tables[name] = read_table(self.spark, self.sf_dir, name)
         return self._tables[name]
 
-    # raw (bronze): written once per run as parquet in the shared scratch folder, as the reference's raw
-    # layer is a stored table; sorted by load stamp so the incremental high-water filter skips row groups
+    # raw (bronze): landed once per session and sf directory as parquet in the shared scratch folder (the
+    # reference's raw layer is a stored input table); sorted by load stamp so the incremental high-water
+    # filter skips row groups. Everything downstream is rebuilt by each query.
     def raw_weather(self, kind: str) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, kind)
+        if key in _LANDED:
+            return _LANDED[key]
         if kind not in self._raw:
             path = scratch_path(self.spark, "stratus", "raw", f"weather_{kind}_{uuid.uuid4().hex[:10]}")
             # several files, as landed raw data arrives; round-robin so one hot station cannot make
@@ -55,6 +62,7 @@ class Warehouse:
             raw = standins.weather_raw_from_events(self.table("events"), kind)
             raw.repartition(files).sortWithinPartitions("load_dts").write.parquet(path)
             self._raw[kind] = self.spark.read.schema(raw.schema).parquet(path)
+            _LANDED[key] = self._raw[kind]
         return self._raw[kind]
 
     def station_raw(self) -> DataFrame:
