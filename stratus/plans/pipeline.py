@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from stratus.operators import quality as Q
 from stratus.operators.incremental import KeyedLog, VersionedTable
 from stratus.plans import models
+from stratus.sources.raw_tables import materialize_view
 
 
 @dataclass
@@ -66,7 +67,8 @@ def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame
         t[f"mart_{kind}"] = vt.read()
 
     # checks: warn only, failures stored per check
-    failures = Q.integrity_suite(stg_obs, stg_fc, models.stg_station(station_raw), t["mart_forecast"], link,
+    stg_station = materialize_view(models.stg_station(station_raw), "stg_dim_station")  # a view model
+    failures = Q.integrity_suite(stg_obs, stg_fc, stg_station, t["mart_forecast"], link,
                                  dims["dim_station"], dims["dim_postal_area"], as_of)
     Q.store_failures(failures, f"{root}/quality_failures/run={run}")
     t.update(dims)

@@ -535,3 +535,33 @@ def _store_failures(spark, d):
     path = scratch_path(spark, "stratus", f"failures_{uuid.uuid4().hex[:8]}")
     Q.store_failures(_integrity(spark, d), path)
     return spark.read.parquet(path).select("check_name", "key1", "key2")
+
+
+# ------------------------------------------------------------------------------------------ raw scans, schema evolution
+from stratus.sources.raw_tables import scan_raw  # noqa: E402
+
+
+@register("scan_raw", O.with_ctes(O.raw_weather_cte("observed"))
+          + "SELECT wmo_station_id, timestamp_utc, record_source, load_dts FROM raw_observed")
+def _scan_raw(spark, d):
+    """The raw observed table written to a raw-layer folder and scanned with its declared schema."""
+    root = scratch_path(spark, "stratus", f"rawlayer_{uuid.uuid4().hex[:8]}")
+    warehouse(spark, d).raw_weather("observed").write.parquet(f"{root}/weather_hourly_observed_raw")
+    return scan_raw(spark, root, "weather_hourly_observed_raw").select(
+        "wmo_station_id", "timestamp_utc", "record_source", "load_dts")
+
+
+@register("evolve_schema", O.with_ctes(*_STG_OBS) + f""", tagged AS (
+  SELECT *, {_RUN_SQL} AS run FROM stg_observed)
+SELECT wmo_station_id, timestamp_utc, load_dts,
+       CASE WHEN run = 0 THEN NULL ELSE ROUND(confidence_score, 6) + 0.0 END AS confidence_score FROM tagged""")
+def _evolve_schema(spark, d):
+    """The first run writes staging without ``confidence_score``; later runs add it
+    (append_new_columns): rows of the first run read back with NULL."""
+    raw, runs = _runs(warehouse(spark, d).raw_weather("observed"))
+    table = KeyedLog(spark, scratch_path(spark, "stratus", f"stg_evolve_{uuid.uuid4().hex[:8]}"),
+                     ["wmo_station_id", "timestamp_utc"], merge_schema=True)
+    for i in runs:
+        batch = M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "observed", since=table.log())
+        table.append(batch.drop("confidence_score") if i == 0 else batch, i)
+    return round_doubles(table.current().select("wmo_station_id", "timestamp_utc", "load_dts", "confidence_score"))
