@@ -100,3 +100,23 @@ def test_no_stations_no_rows(spark):
     areas, _ = _fixture(3, 3, 1)
     a, s = _frames(spark, areas, [(1, 0.0, 0.0)])
     assert nearest_link(a, s.filter(F.lit(False))).count() == 0
+
+
+def _star(rnd, cx, cy, n, rmin, rmax):
+    pts = []
+    for i in range(n):
+        a = 2 * math.pi * i / n
+        r = rnd.uniform(rmin, rmax)
+        pts.append((round(cx + r * math.cos(a), 3), round(cy + r * math.sin(a), 3)))
+    return pts
+
+
+def test_non_convex_polygons_match_brute_force(spark):
+    rnd = random.Random(11)
+    areas = [(a, [[_star(rnd, rnd.uniform(0, 500), rnd.uniform(0, 500), rnd.randint(5, 12), 5, 40)]])
+             for a in range(30)]
+    stations = [(s, rnd.uniform(-50, 550), rnd.uniform(-50, 550)) for s in range(80)]
+    a, s = _frames(spark, areas, stations)
+    got = {r.postal_area_id: [r.station_id] for r in nearest_link(a, s).collect()}
+    want = _expected(areas, stations, 1)
+    assert got == want
