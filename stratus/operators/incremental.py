@@ -28,14 +28,28 @@ def high_water_mark(target: DataFrame, col: str = "load_dts"):
 
 
 def incremental_filter(raw: DataFrame, target: DataFrame | None, col: str = "load_dts") -> DataFrame:
-    """Rows loaded after the target's newest load. The mark travels as NTZ text (no time-zone shift
-    between driver and session) and becomes a literal predicate that reaches the parquet scan."""
+    """Rows loaded after the target's newest load.
+
+    The mark is read from the target's newest ``load_date`` partition only (when the target is
+    partitioned that way), travels as NTZ text (no time-zone shift between driver and session), and
+    becomes a literal predicate: pushed into the parquet scan (row-group statistics) and, when the raw
+    layer is partitioned by ``load_date``, a partition filter too.
+    """
     if target is None:
         return raw
+    if "load_date" in target.columns:
+        last = target.agg(F.max("load_date")).first()[0]
+        if last is None:
+            return raw
+        target = target.filter(F.col("load_date") == F.lit(last))
     hwm = target.agg(F.date_format(F.max(col), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("hwm")).first()["hwm"]
     if hwm is None:
         return raw
-    return raw.filter(F.col(col) > F.lit(hwm).cast(raw.schema[col].dataType))
+    mark = F.lit(hwm).cast(raw.schema[col].dataType)
+    out = raw.filter(F.col(col) > mark)
+    if "load_date" in raw.columns:
+        out = out.filter(F.col("load_date") >= F.to_date(mark))
+    return out
 
 
 def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
