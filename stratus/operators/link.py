@@ -4,7 +4,7 @@ cross join.
 Exact search over a multi-level grid:
 
 1. Stations are keyed by grid cell ``(floor(x/c), floor(y/c))``; each pending area lists the cells that
-   cover its bounding box grown by one cell (radius ``r = c``). An equi-join on the cell yields
+   cover its bounding box grown by the search radius ``r`` (half a cell by default). An equi-join on the cell yields
    candidate (area, station) pairs — no pair of far-apart objects is ever formed.
 2. Candidates are pruned without touching polygon edges: a station whose distance to the area's bbox
    exceeds the k-th smallest distance (over candidates) to the area's first vertex cannot be among the
@@ -12,7 +12,7 @@ Exact search over a multi-level grid:
 3. Survivors are joined with the area's edges: distance = 0 inside (even-odd crossings, which handles
    holes and parts), else the minimum edge distance. Top k by (distance, station id).
 4. An area is resolved when it has k candidates and the k-th distance is <= r: any station outside the
-   searched cells is farther than r. Otherwise it moves to a coarser level (cell doubled, or directly to
+   searched window is farther than r. Otherwise it moves to a coarser level (cell doubled, or directly to
    the level whose radius covers the k-th distance found). The top level spans all data, so the search
    always ends, and it ends exactly.
 
@@ -32,8 +32,7 @@ from stratus.functions.geometry import bbox_cols, explode_segments, point_bbox_d
 from stratus.session import checkpoint_dir, materialize
 
 
-def _cells_for_areas(active: DataFrame, c: float) -> DataFrame:
-    r = c
+def _cells_for_areas(active: DataFrame, c: float, r: float) -> DataFrame:
     ix = F.sequence(F.floor((F.col("xmin") - r) / c), F.floor((F.col("xmax") + r) / c))
     iy = F.sequence(F.floor((F.col("ymin") - r) / c), F.floor((F.col("ymax") + r) / c))
     return (active.select("aid", "xmin", "xmax", "ymin", "ymax", "vx", "vy", F.explode(ix).alias("ix"), iy.alias("_iy"))
@@ -53,7 +52,7 @@ def _kth_smallest(df: DataFrame, key: str, val: str, k: int, out: str) -> DataFr
 def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id", area_geom: str = "geometry",
                  station_id: str = "id", station_geom: str = "geometry", k: int = 1,
                  cell_size: float | None = None, prune: bool = True,
-                 materialize_inputs: bool = True) -> DataFrame:
+                 materialize_inputs: bool = True, radius_cells: float = 0.5) -> DataFrame:
     """Return (postal_area_id, station_id, distance, rank) for the k nearest stations of every area.
 
     Areas without any station get no row (inner LATERAL semantics). Ties break on the lower station id.
@@ -92,7 +91,8 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
     c0 = float(cell_size or stats["med"] or 0.0)
     if not c0 > 0:
         c0 = extent / 64.0
-    top = max(0, math.ceil(math.log2(extent / c0)) + 1)
+    # at the top level the radius covers the whole extent, so every station is a candidate there
+    top = max(0, math.ceil(math.log2(extent / (radius_cells * c0))) + 1)
 
     pending = A.withColumn("lvl", F.lit(0))
     done = []
@@ -100,7 +100,8 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
     while True:
         active = pending.filter(F.col("lvl") == level)
         c = c0 * (2 ** level)
-        cells = _cells_for_areas(active, c)
+        r = radius_cells * c
+        cells = _cells_for_areas(active, c, r)
         sc = S.select("sid", "x", "y", F.floor(F.col("x") / c).alias("ix"), F.floor(F.col("y") / c).alias("iy"))
         pairs = cells.join(sc, ["ix", "iy"]).drop("ix", "iy")
         pairs = pairs.withColumn("lb2", point_bbox_dist2(F.col("x"), F.col("y"), F.col("xmin"), F.col("xmax"),
@@ -120,10 +121,10 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
         summary = ranked.groupBy("aid").agg(F.max("d2").alias("kd2"), F.count(F.lit(1)).alias("n"))
         at_top = F.lit(level >= top)
         state = (active.select("aid").join(summary, "aid", "left")
-                 .withColumn("ok", F.coalesce((F.col("n") >= k) & (F.col("kd2") <= F.lit(c * c)), F.lit(False)) | at_top))
+                 .withColumn("ok", F.coalesce((F.col("n") >= k) & (F.col("kd2") <= F.lit(r * r)), F.lit(False)) | at_top))
         done.append(ranked.join(state.filter("ok").select("aid"), "aid"))
         jump = F.when(F.col("kd2").isNotNull() & (F.col("n") >= k),
-                      F.ceil(F.log2(F.sqrt(F.col("kd2")) / F.lit(c0)))).otherwise(F.lit(level + 1))
+                      F.ceil(F.log2(F.sqrt(F.col("kd2")) / F.lit(radius_cells * c0)))).otherwise(F.lit(level + 1))
         nxt = (state.filter(~F.col("ok"))
                .select("aid", F.least(F.greatest(jump.cast("int"), F.lit(level + 1)), F.lit(top)).alias("lvl"))
                .join(active.drop("lvl"), "aid"))
