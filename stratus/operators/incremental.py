@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from typing import Sequence
 
@@ -139,10 +138,6 @@ class VersionedTable:
         return self.write(new)
 
 
-def local_or_shared(path: str) -> str:
-    return path if "://" in path else os.path.abspath(path)
-
-
 class KeyedLog:
     """Keyed table kept as an append-only log of runs plus a view (merge-on-read).
 
