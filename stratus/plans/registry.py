@@ -565,3 +565,17 @@ def _evolve_schema(spark, d):
         batch = M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "observed", since=table.log())
         table.append(batch.drop("confidence_score") if i == 0 else batch, i)
     return round_doubles(table.current().select("wmo_station_id", "timestamp_utc", "load_dts", "confidence_score"))
+
+
+@register("incremental_filter", O.with_ctes(O.raw_weather_cte("observed"), f"""first_run AS (
+  SELECT DISTINCT ON (wmo_station_id, timestamp_utc) * FROM raw_observed
+  WHERE temperature IS NOT NULL AND {_RUN_SQL} = 0
+  ORDER BY wmo_station_id, timestamp_utc, load_dts DESC NULLS FIRST
+)""") + """SELECT wmo_station_id, timestamp_utc, load_dts FROM raw_observed
+WHERE load_dts > (SELECT max(load_dts) FROM first_run)""")
+def _incremental_filter(spark, d):
+    """Raw rows a second run would take: loaded after the high-water mark of a target built by the first run."""
+    from stratus.operators.incremental import incremental_filter
+    raw, _ = _runs(warehouse(spark, d).raw_weather("observed"))
+    target = M.stg_weather(raw.filter(F.col("_run") == 0).drop("_run"), "observed")
+    return incremental_filter(raw.drop("_run"), target).select("wmo_station_id", "timestamp_utc", "load_dts")
