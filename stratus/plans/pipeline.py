@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from stratus.operators import quality as Q
 from stratus.operators.incremental import KeyedLog, VersionedTable
 from stratus.plans import models
+from stratus.sources.landing import station_scope
 from stratus.sources.raw_tables import materialize_view
 
 
@@ -28,8 +29,15 @@ class RunResult:
 
 
 def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame, raw_forecast: DataFrame,
-               station_raw: DataFrame, postal_raw: DataFrame, as_of: str) -> RunResult:
+               station_raw: DataFrame, postal_raw: DataFrame, as_of: str,
+               station_pattern: str | None = None) -> RunResult:
+    """``station_pattern``: the run's station scope (a LIKE pattern on the lower-cased name; None = all
+    stations); raw rows of other stations are not taken into this run."""
     t = {}
+    if station_pattern is not None:
+        scope = station_scope(station_raw, station_pattern)
+        raw_observed = raw_observed.join(scope, "wmo_station_id", "left_semi")
+        raw_forecast = raw_forecast.join(scope, "wmo_station_id", "left_semi")
     # staging: observed replaces by (station, hour); forecast adds the run as a version
     stg_obs_log = KeyedLog(spark, f"{root}/stg_weather_observed", ["wmo_station_id", "timestamp_utc"])
     stg_obs_log.append(models.stg_weather(raw_observed, "observed", since=stg_obs_log.log()), run)

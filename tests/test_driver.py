@@ -51,3 +51,14 @@ def test_parity(spark, duck, name):
     idx = {c: i for i, c in enumerate(ocols)}
     orows = sorted(tuple(str(_norm(r[idx[c]])) for c in sorted(cols)) for r in res.fetchall())
     assert srows == orows
+
+
+def test_hourly_run_with_station_scope(spark, tmp_dir):
+    from stratus.plans.pipeline import hourly_run
+    from stratus.plans.warehouse import Warehouse
+    wh = Warehouse(spark, SF)
+    res = hourly_run(spark, tmp_dir + "/wh", 0, wh.raw_weather("observed"), wh.raw_weather("forecast"),
+                     wh.station_raw(), wh.postal_raw(), wh.as_of, station_pattern="customer#00000001%")
+    ids = {r.wmo_station_id for r in res.tables["stg_observed"].select("wmo_station_id").distinct().collect()}
+    assert ids and all(i.startswith("0001") for i in ids)
+    assert res.tables["mart_forecast"].count() > 0
