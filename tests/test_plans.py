@@ -28,8 +28,8 @@ def test_link_search_has_no_cartesian_product(spark):
     captured = []
     orig = link._cells_for_areas
 
-    def spy(active, c):
-        out = orig(active, c)
+    def spy(*args):
+        out = orig(*args)
         captured.append(out)
         return out
 
