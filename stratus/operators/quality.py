@@ -12,7 +12,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.functions.timeutil import seconds_between
+from stratus.functions.timeutil import hour_floor, seconds_between
 from stratus.operators.dedup import duplicate_keys
 from stratus.operators.joins import anti_check
 
@@ -88,18 +88,25 @@ def check_no_duplicates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def check_timestamp_continuity(df: DataFrame, ts: str, max_gap_seconds: float = 3600.0,
-                               partition_by: Sequence[str] = ()) -> DataFrame:
+                               partition_by: Sequence[str] = (), bucket: str = "day") -> DataFrame:
     """Timestamps whose distance to the previous distinct timestamp (per ``partition_by`` group) exceeds
     the allowed gap. Output: (partition cols..., ts, prev_timestamp, gap_seconds).
 
     Duplicate timestamps change no gap, so the work runs on distinct values. The lag is taken inside
-    (group, day) buckets, so no task holds a whole group's history (a station with a third of all rows
-    is spread over its days); bucket boundaries are closed by a lag over one summary row per
-    (group, day), whose size is bounded by the time span, not by the data.
+    (group, bucket) buckets — ``bucket`` "day" or "hour" — so no task holds a whole group's history (a
+    station with a third of all rows is spread over its days or hours); bucket boundaries are closed
+    by a lag over one summary row per (group, bucket), whose size is bounded by the time span, not by
+    the data.
     """
     keys = list(partition_by)
-    d = (df.select(*keys, F.col(ts).alias("_t")).filter(F.col("_t").isNotNull()).distinct()
-         .withColumn("_b", F.to_date(F.col("_t"))))  # day buckets, no time zone involved
+    if bucket == "day":
+        b = F.to_date(F.col("_t"))
+    elif bucket == "hour":
+        b = hour_floor(F.col("_t").cast("timestamp_ntz"))
+    else:
+        raise ValueError(bucket)
+    # buckets are computed on the NTZ wall clock: no time zone involved
+    d = df.select(*keys, F.col(ts).alias("_t")).filter(F.col("_t").isNotNull()).distinct().withColumn("_b", b)
     inner = d.withColumn("_p", F.lag("_t").over(Window.partitionBy(*keys, "_b").orderBy("_t")))
     edges = d.groupBy(*keys, "_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     edge_w = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
