@@ -25,6 +25,7 @@ def with_parsed_measures(df: DataFrame, raw_col: str = "raw", prefix: str = "_v_
     out = df.withColumn("_doc", doc)
     cols = [to_double(F.col("_doc").getField(m)).alias(prefix + m) for m in spec.MEASURE_NAMES]
     cols += [F.col("_doc").getField(k).alias("_t_" + k) for k, _ in spec.TEXT_FIELDS]
+    cols.append(F.col("_doc").getField(spec.REQUIRED_FIELD).isNotNull().alias("_t_present"))
     return out.select("*", *cols).drop("_doc")
 
 
@@ -52,8 +53,9 @@ def confidence_score(values: dict[str, Column]) -> Column:
             .otherwise(F.lit(spec.CONFIDENCE_OK)))
 
 
-def standardize(df: DataFrame, raw_col: str = "raw") -> DataFrame:
-    """Raw document rows -> the staged shape: nulled outliers, text fields, flag and confidence score.
+def standardize(df: DataFrame, raw_col: str = "raw", extra_cols=("batch_id",)) -> DataFrame:
+    """Raw document rows -> the staged shape: nulled outliers, text fields, flag and confidence score,
+    plus ``_present`` (the document has a non-null temperature) when asked for in ``extra_cols``.
 
     The document is parsed once per row; every CASE below reads the parsed struct.
     """
@@ -64,8 +66,14 @@ def standardize(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     out += [F.col("_t_" + k).alias(c) for k, c in spec.TEXT_FIELDS]
     out += [F.col("bright_sky_source_mapping"), F.col("record_source"), F.col("load_dts")]
     out += [outlier_flag(v).alias("outlier_flag"), confidence_score(v).alias("confidence_score")]
-    extra = [c for c in df.columns if c in ("batch_id",)]
-    return parsed.select(*out, *[F.col(c) for c in extra])
+    for c in extra_cols:
+        if c == "_present":
+            # the raw text is present and non-null (a present-but-unparseable value still counts, as in
+            # ``raw->>'temperature' IS NOT NULL``)
+            out.append(F.col("_t_present").alias("_present"))
+        elif c in df.columns:
+            out.append(F.col(c))
+    return parsed.select(*out)
 
 
 def quarantine_unparseable(df: DataFrame, raw_col: str = "raw") -> DataFrame:

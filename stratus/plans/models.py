@@ -15,7 +15,7 @@ from stratus.functions.circular import circular_mean
 from stratus.functions.geometry import make_point
 from stratus.functions.timeutil import ntz
 from stratus.operators.clean import standardize
-from stratus.operators.dedup import desc_nulls_first, distinct_on, latest_per_key
+from stratus.operators.dedup import desc_nulls_first, latest_per_key
 from stratus.operators.joins import sized_broadcast
 from stratus.operators.keys import surrogate_key
 from stratus.operators.link import nearest_link
@@ -26,19 +26,28 @@ DEFAULT_AS_OF = "2024-02-01 00:00:00"
 # ------------------------------------------------------------------------------------------- staging
 def stg_weather(raw: DataFrame, kind: str = "observed", *, batch_key: bool = False,
                 since: DataFrame | None = None) -> DataFrame:
-    """Staged weather rows: presence filter -> newest load per (station, hour[, batch]) -> cleaned measures.
+    """Staged weather rows: newest load per (station, hour[, batch]) among rows whose document has a
+    temperature, with cleaned measures, flag and confidence.
+
+    The document is parsed once per row, before the shuffle, so the dedup exchange carries typed columns
+    instead of JSON text. The presence filter is folded into the dedup order (rows with a temperature
+    first, newest first; a winner without one is dropped), which equals filtering before the dedup and
+    keeps Catalyst from re-parsing the document in a pushed-down filter. Equal load stamps are broken by
+    a 64-bit hash of the document (the reference leaves that order undefined).
 
     ``batch_key``: keep one version per batch (``batch_id`` column) — forecast history semantics.
     ``since``: a target table; only raw rows loaded after its high-water mark are taken (incremental run).
     """
-    df = raw.filter(F.get_json_object("raw", f"$.{spec.REQUIRED_FIELD}").isNotNull())
+    df = raw
     if since is not None:
         from stratus.operators.incremental import incremental_filter
         df = incremental_filter(df, since)
     keys = ["wmo_station_id", "timestamp_utc"] + (["batch_id"] if batch_key else [])
-    df = distinct_on(df, keys, "load_dts", tiebreak=["raw"])
-    out = standardize(df)
-    return out if batch_key else out.drop("batch_id")
+    extra = ["batch_id"] if batch_key else []
+    staged = standardize(df.withColumn("_h", F.xxhash64("raw")), extra_cols=["_present", "_h"] + extra)
+    order = [F.col("_present").desc(), desc_nulls_first("load_dts"), F.col("_h").asc()]
+    out = latest_per_key(staged, keys, order).filter(F.col("_present")).drop("_present", "_h")
+    return out
 
 
 def stg_station(raw: DataFrame) -> DataFrame:
