@@ -124,7 +124,7 @@ def no_data_split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def explode_weather_response(docs: DataFrame, record_source: str = "weather_api", doc_col: str = "value",
-                             keep_unknown_sources: bool = False) -> DataFrame:
+                             keep_unknown_sources: bool = False, load_dts: str | None = None) -> DataFrame:
     """Response documents -> one raw row per observation: (wmo_station_id, timestamp_utc, raw,
     bright_sky_source_mapping, record_source).
 
@@ -145,6 +145,8 @@ def explode_weather_response(docs: DataFrame, record_source: str = "weather_api"
                      F.col("w").alias("raw"), src.alias("bright_sky_source_mapping"),
                      F.lit(record_source).alias("record_source"))
     out = out.filter(F.col("timestamp_utc").isNotNull())
+    if load_dts is not None:  # the batch's load stamp, as the raw insert sets it
+        out = out.withColumn("load_dts", F.lit(load_dts).cast("timestamp_ntz"))
     return out if keep_unknown_sources else out.filter(F.col("wmo_station_id").isNotNull())
 
 
@@ -221,7 +223,7 @@ def geojson_to_multipolygon(geom_json: Column) -> Column:
 
 
 def read_postal_features(features: DataFrame, prefix: str | None = "10", feature_col: str = "value",
-                         record_source: str = "geojson") -> DataFrame:
+                         record_source: str = "geojson", load_dts: str | None = None) -> DataFrame:
     """GeoJSON features (one per row) -> postal_area_raw rows (plz, wkt, geometry, record_source).
 
     Features without ``postcode`` are dropped; the code is trimmed; the prefix scope is always applied
@@ -233,17 +235,21 @@ def read_postal_features(features: DataFrame, prefix: str | None = "10", feature
     if prefix:
         out = prefix_scope(out, prefix)
     out = out.filter(F.col("geometry").isNotNull())
-    return out.select("plz", geom_to_wkt("geometry").alias("wkt"), "geometry", F.lit(record_source).alias("record_source"))
+    out = out.select("plz", geom_to_wkt("geometry").alias("wkt"), "geometry", F.lit(record_source).alias("record_source"))
+    if load_dts is not None:  # the batch's load stamp, as the raw insert sets it
+        out = out.withColumn("load_dts", F.lit(load_dts).cast("timestamp_ntz"))
+    return out
 
 
-def read_postal_geojson(spark: SparkSession, path: str, prefix: str | None = "10", lines: bool = True) -> DataFrame:
+def read_postal_geojson(spark: SparkSession, path: str, prefix: str | None = "10", lines: bool = True,
+                        load_dts: str | None = None) -> DataFrame:
     """GeoJSON-seq (one feature per line, splittable) or a FeatureCollection document per file."""
     if lines:
         feats = spark.read.text(path)
     else:
         docs = spark.read.text(path, wholetext=True)
         feats = docs.select(F.explode(F.from_json("value", "struct<features:array<string>>").features).alias("value"))
-    return read_postal_features(feats, prefix)
+    return read_postal_features(feats, prefix, load_dts=load_dts)
 
 
 def wkt_to_raw(df: DataFrame, wkt_col: str = "wkt") -> DataFrame:

@@ -93,3 +93,15 @@ def test_topology_shared_reversed_arcs(spark):
     got = {r.feature: r.wkt for r in L.stitch_topology_arcs(arcs, refs).collect()}
     assert got == {"A": "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 1, 0 0)))",
                    "B": "MULTIPOLYGON (((1 0, 2 0, 2 1, 1 1, 1 0)))"}
+
+
+def test_readers_feed_the_models(spark):
+    """Reader output goes straight into staging and the postal dimension."""
+    from stratus.plans import models
+    rows = L.explode_weather_response(_docs(spark, {"weather": [OBS], "sources": [SRC]}), load_dts="2024-01-01 00:00:00")
+    stg = models.stg_weather(rows).collect()
+    assert len(stg) == 1 and stg[0].temperature == 15.5 and stg[0].outlier_flag is None
+    sq = [[[0, 0], [1, 0], [1, 1], [0, 0]]]
+    feats = _docs(spark, {"properties": {"postcode": "10115"}, "geometry": {"type": "Polygon", "coordinates": sq}})
+    dim = models.dim_postal_area(models.stg_postal_area(L.read_postal_features(feats, load_dts="2024-01-01 00:00:00")))
+    assert [(r.id, r.plz) for r in dim.collect()] == [(1, "10115")]
