@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stratus.functions import spec
 from stratus.plans import oracle as O
 from stratus.plans.warehouse import Warehouse, round_doubles
+from stratus.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -168,7 +169,9 @@ register("check_suite_link", O.with_ctes(*_FACT_BASE) + O.LINK_SUITE_SQL)(
 
 def _integrity(spark, d):
     wh = warehouse(spark, d)
-    return Q.integrity_suite(wh.stg("observed"), wh.stg("forecast"), wh.stg_station(), wh.mart("forecast"),
+    # forecast staging feeds both a check and the forecast mart: written once, read twice
+    stg_fc = materialize(wh.stg("forecast"), "stg_forecast")
+    return Q.integrity_suite(wh.stg("observed"), stg_fc, wh.stg_station(), wh.mart("forecast", stg=stg_fc),
                              wh.link, wh.dim_station(), wh.dim_postal_area(), wh.as_of)
 
 

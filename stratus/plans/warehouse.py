@@ -106,8 +106,9 @@ class Warehouse:
         return models.link_postcode_station(self.dim_postal_area(), self.dim_station(), as_of=self.as_of,
                                             materialize_inputs=False)
 
-    def fact(self, kind: str) -> DataFrame:
-        return models.fact_weather(self.stg(kind), self.dim_station(), self.link, self.dim_postal_area())
+    def fact(self, kind: str, stg: DataFrame | None = None) -> DataFrame:
+        s = self.stg(kind) if stg is None else stg
+        return models.fact_weather(s, self.dim_station(), self.link, self.dim_postal_area())
 
-    def mart(self, kind: str, outlier_rule: str = "faithful") -> DataFrame:
-        return models.mart_weather(self.fact(kind), self.dim_postal_area(), outlier_rule=outlier_rule)
+    def mart(self, kind: str, outlier_rule: str = "faithful", stg: DataFrame | None = None) -> DataFrame:
+        return models.mart_weather(self.fact(kind, stg), self.dim_postal_area(), outlier_rule=outlier_rule)
