@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import chat
+from stratus.llm import chat, neardup
 from stratus.llm.tables import table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -44,5 +44,11 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-QUERIES = {"op1_prefix_target": op1_prefix_target}
+
+
+def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+QUERIES = {"op1_prefix_target": op1_prefix_target, "op2_superminhash": op2_superminhash}
 ORACLES = {"op1_prefix_target": OP1_SQL}

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import stratus
 from stratus.session import materialize
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from the folder the driver has it in (on a cluster that does
+    not share the folder: install it, or pass it with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(stratus.__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
