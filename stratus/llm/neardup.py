@@ -4,11 +4,14 @@
    size, a 128-bit digest of the set and the band hashes of its SuperMinHash signature.
 2. Documents with equal sets form a class; its smallest id stands for it from here on, so copies are
    never paired. A document without words is linked with nothing.
-3. Representatives that share a band meet in a bucket. A bucket is not expanded into all its pairs: each
-   member is paired with the bucket's first member, and the pairs are verified on the full sets. Where
-   members of a bucket are then still in different components, further rounds pair the next members
-   with those of other components, four times as many each round, until every two members of the bucket
-   have been compared or are known to be connected. So no link between components is lost.
+3. Representatives that share a band meet in a bucket. A bucket is not expanded into its pairs. Its most
+   popular member (most meetings over all bands: the likely original) is paired with each other member,
+   and these pairs are verified on the full sets and grouped. Where a bucket's members are then still in
+   different components, its members outside the bucket's largest component are compared with all
+   members of other components, block against block inside tasks: blocks are bounded in bytes, the
+   signatures rule out pairs five standard errors below the threshold, the rest are decided on the full
+   sets, a pair in the first band it shares only, and a task passes on a spanning forest of the links.
+   So every two members of a bucket are compared or known to be connected; none is dropped.
 4. Union-find grouping over the verified links, joined back to all documents.
 
 Defaults: 25 bands of 5 rows find a pair at similarity 0.85 but for a chance of 4e-7, at 0.8 of 5e-5.
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.components import components
+from stratus.llm.components import UnionFind, components
 from stratus.llm.superminhash import bands as band_hashes
 from stratus.llm.superminhash import signatures
 from stratus.llm.tables import written
@@ -63,7 +66,8 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray,
         yield chunk.first, np.array([len(s) for s in sets], dtype=np.int64), np.concatenate(sets)
 
 
-SIGNED = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>"
+SIGNED = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>, signature binary"
+BLOCK_BYTES = 4 << 20
 
 
 def _signer(size: int, n_bands: int, rows: int):
@@ -75,12 +79,15 @@ def _signer(size: int, n_bands: int, rows: int):
                 for salt in (np.uint64(0), _STEP):
                     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes + salt), dtype=np.uint64)))
                     digests.append((total[ends] - total[ends - sizes]).view(np.int64))
-                banded = band_hashes(signatures(hashes, sizes, n_bands * rows), n_bands, rows).view(np.int64)
+                signature = signatures(hashes, sizes, n_bands * rows)
+                banded = band_hashes(signature, n_bands, rows).view(np.int64)
+                short = mix(signature).astype(np.uint8)
                 offsets = np.concatenate(([0], np.cumsum(np.where(sizes > 0, n_bands, 0)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, len(sizes)), pa.array(sizes), pa.array(digests[0]), pa.array(digests[1]),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(banded[sizes > 0].reshape(-1))),
-                ], ["doc_id", "n_shingles", "digest_a", "digest_b", "bands"])
+                    pa.array([row.tobytes() for row in short], pa.binary()),
+                ], ["doc_id", "n_shingles", "digest_a", "digest_b", "bands", "signature"])
     return sign
 
 
@@ -96,61 +103,93 @@ def _setter(size: int):
     return sets
 
 
+def _linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    at = np.searchsorted(left, right)
+    both = int((left[np.minimum(at, len(left) - 1)] == right).sum())
+    return 100 * both >= percent * (len(left) + len(right) - both)
+
+
 def _verifier(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, last, left = [], None, None
-            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if a != last:
-                    last, left = a, np.frombuffer(x.as_buffer(), dtype=np.uint64)
-                right = np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                at = np.searchsorted(left, right)
-                both = int((left[np.minimum(at, len(left) - 1)] == right).sum())
-                keep.append(100 * both >= percent * (len(left) + len(right) - both))
-            mask = pa.array(keep, pa.bool_())
+            mask = pa.array([_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                             for x, y in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
     return verify
 
 
+def _block_comparer(percent: int, positions: int):
+    """Links between the members of a block outside the largest component and those of a block of all."""
+    likely = percent / 100
+    least = (likely - 5 * (likely * (1 - likely) / positions) ** 0.5) * positions
+
+    def compare(key: tuple, block: pa.Table) -> pa.Table:
+        band = key[0].as_py()
+        n = block.num_rows
+        doc, component, outside = (block[c].to_numpy() for c in ("doc_id", "component", "outside"))
+        signature = np.frombuffer(b"".join(block["signature"].to_pylist()), np.uint8).reshape(n, positions)
+        shared = np.stack(block["bands"].to_pylist()).astype(np.int64)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in block["shingles"].chunks for x in c]
+        size = np.array([len(x) for x in sets])
+        forest = UnionFind()
+        for d, c in zip((-1 - doc).tolist(), (-1 - component).tolist(), strict=True):
+            forest.union(d, c)  # below zero: not a link found here
+        links = []
+        right = np.flatnonzero(~outside)
+        for u in np.flatnonzero(outside):
+            alike = (signature[right] == signature[u]).sum(axis=1)
+            near = (alike >= least) & (component[right] != component[u]) & (
+                100 * np.minimum(size[right], size[u]) >= percent * np.maximum(size[right], size[u]))
+            for x in right[near][np.argsort(-alike[near], kind="stable")]:
+                a, b = int(doc[u]), int(doc[x])
+                if forest.find(-1 - a) == forest.find(-1 - b):
+                    continue
+                if shared[u][np.argmax(shared[u] == shared[x])] != band:
+                    continue  # they meet in an earlier band
+                if _linked(sets[u], sets[x], percent):
+                    forest.union(-1 - a, -1 - b)
+                    links.append((min(a, b), max(a, b)))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+    return compare
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, n_bands: int = 25, rows: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``; links are pairs with
     ``100 * intersection >= percent * union``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = written(docs.mapInArrow(_signer(shingle, n_bands, rows), SIGNED), "signed")
     sets = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = sets.groupBy("n_shingles", "digest_a", "digest_b").agg(F.min("doc_id").alias("rep"))
-    copies = written(sets.select("doc_id", "n_shingles", "digest_a", "digest_b")
-                     .join(classes, ["n_shingles", "digest_a", "digest_b"])
+    whole = ["n_shingles", "digest_a", "digest_b"]
+    classes = sets.groupBy(*whole).agg(F.min("doc_id").alias("rep"))
+    copies = written(sets.select("doc_id", *whole).join(classes, whole)
                      .select("doc_id", "rep").where("doc_id <> rep").distinct(), "copies")
-    reps = sets.select("doc_id", "n_shingles", "bands", "digest_a", "digest_b") \
-        .join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "n_shingles", "digest_a", "digest_b"], "left_semi")
+    reps = sets.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *whole], "left_semi")
     members = reps.select(F.explode("bands").alias("band"), "doc_id", "n_shingles")
-    hubs = members.groupBy("band").agg(F.min(F.struct("doc_id", "n_shingles")).alias("hub"),
-                                       F.count("*").alias("size")).where("size > 1")
-    met = written(members.join(hubs, "band").select(
-        "band", "doc_id", "n_shingles", "size", F.col("hub.doc_id").alias("hub"), F.col("hub.n_shingles").alias("hub_n")), "met")
+    sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    met = written(members.join(sizes, "band"), "met")
+    popular = met.groupBy("doc_id").agg(F.sum("size").alias("meetings"))
+    ranked = met.join(popular, "doc_id")
+    first = F.max(F.struct("meetings", (-F.col("doc_id")).alias("least"), "n_shingles"))
+    hubs = ranked.groupBy("band").agg(first.alias("hub")) \
+        .select("band", (-F.col("hub.least")).alias("hub"), F.col("hub.n_shingles").alias("hub_n"))
+    starred = written(met.join(hubs, "band"), "starred")
     possible = 100 * F.least("n_shingles", "hub_n") >= percent * F.greatest("n_shingles", "hub_n")
-    pairs = met.where(F.col("hub") != F.col("doc_id")).where(possible) \
-        .select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = [copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))]
-    links.append(written(_verified(docs, pairs, shingle, percent), "links"))
-    left = met.where("size > 2 AND doc_id <> hub").select("band", "doc_id", "n_shingles")
-    compare = 4
-    while True:
-        labels = written(components(_all(links)), "labels")
-        left = written(_unsettled(left, labels), "left")
-        if left.isEmpty():
-            break
-        place = F.row_number().over(Window.partitionBy("band").orderBy("doc_id"))
-        left = left.withColumn("place", place)
-        first = left.where(F.col("place") <= compare).select(
-            "band", F.col("doc_id").alias("a"), F.col("n_shingles").alias("hub_n"), F.col("component").alias("of"),
-            F.col("place").alias("hub_place"))
-        pairs = left.join(first, "band").where("component <> of AND place > hub_place").where(possible) \
-            .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-        links.append(written(_verified(docs, pairs, shingle, percent), "links"))
-        left = left.where(F.col("place") > compare).select("band", "doc_id", "n_shingles")
-        compare *= 4
+    pairs = written(starred.where(F.col("hub") != F.col("doc_id")).where(possible)
+                    .select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct(), "pairs")
+    payload = written(docs.where("doc_id IS NOT NULL").join(met.select("doc_id").distinct(), "doc_id", "left_semi")
+                      .mapInArrow(_setter(shingle), "doc_id long, shingles binary").where("length(shingles) > 0"), "sets")
+    verified = pairs.join(payload.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right")), "b") \
+        .join(payload.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left")), "a") \
+        .select("a", "b", "left", "right").mapInArrow(_verifier(percent), "a long, b long")
+    links = written(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).union(verified).distinct(), "links")
+    labels = written(components(links), "labels")
+    left = _unsettled(starred.where("doc_id <> hub").select("band", "doc_id"), labels)
+    blocks = _blocks(left, reps.select("doc_id", "bands", "signature"), payload)
+    more = written(blocks.groupBy("band", "i", "j").applyInArrow(
+        _block_comparer(percent, n_bands * rows), "a long, b long").distinct(), "more")
+    if not more.isEmpty():
+        roots = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        labels = components(roots.union(more))
     found = signed.select("doc_id", "n_shingles").join(
         labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
@@ -158,30 +197,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, n_band
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _all(links: list[DataFrame]) -> DataFrame:
-    out = links[0]
-    for more in links[1:]:
-        out = out.union(more)
-    return out
-
-
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component, with their component."""
-    named = members.select("band", "doc_id", "n_shingles").join(
-        labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left") \
-        .withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo <> hi").select("band")
-    return named.join(mixed, "band")
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are links, each confirmed on both full shingle sets. Only the texts of documents
-    in a pair are read into sets again."""
-    pairs = written(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(docs.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi")
-                   .mapInArrow(_setter(shingle), "doc_id long, shingles binary").where("length(shingles) > 0"), "sets")
-    return pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right")), "b") \
-        .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left")), "a") \
-        .select("a", "b", "left", "right").mapInArrow(_verifier(percent), "a long, b long").distinct()
+    """Members of buckets that hold more than one component: ``band, doc_id, component, outside`` (not of the
+    bucket's largest component)."""
+    named = members.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left") \
+        .select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    counts = named.groupBy("band", "component").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")) \
+        .where("parts > 1").select("band", F.col("most.component").alias("most"))
+    return written(named.join(mixed, "band").select(
+        "band", "doc_id", "component", (F.col("component") != F.col("most")).alias("outside")), "left")
+
+
+def _blocks(left: DataFrame, signed: DataFrame, payload: DataFrame) -> DataFrame:
+    """Each bucket's outside members (blocks i) against all its members (blocks j); a block holds
+    ``BLOCK_BYTES`` of sets and one document more at most."""
+    bytes_of = payload.select("doc_id", F.length("shingles").alias("bytes")).groupBy("doc_id").agg(F.max("bytes").alias("bytes"))
+    sized = left.join(bytes_of, "doc_id")
+    u = sized.where("outside")
+    both = u.union(sized.withColumn("outside", F.lit(False)))
+    upto = Window.partitionBy("band", "outside").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = both.withColumn("block", F.floor((F.sum("bytes").over(upto) - F.col("bytes")) / BLOCK_BYTES))
+    last = both.groupBy("band").agg(F.max(F.when(F.col("outside"), F.col("block"))).alias("last_i"),
+                                    F.max(F.when(~F.col("outside"), F.col("block"))).alias("last_j"))
+    placed = both.join(last, "band").select(
+        "band", "doc_id", "component", "outside", F.explode(F.when(
+            F.col("outside"), F.transform(F.sequence(F.lit(0), F.col("last_j")), lambda j: F.struct(F.col("block").alias("i"), j.alias("j"))))
+            .otherwise(F.transform(F.sequence(F.lit(0), F.col("last_i")), lambda i: F.struct(i.alias("i"), F.col("block").alias("j"))))
+        ).alias("at")).select("band", "doc_id", "component", "outside", "at.i", "at.j")
+    return placed.join(signed, "doc_id").join(payload, "doc_id")
