@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import chat, neardup
-from stratus.llm.tables import table
+from stratus.llm import block_ann, block_topk, chat, langid, linkgraph, mixing, neardup, packing, quality, templates
+from stratus.llm.tables import held_out, table
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -50,5 +50,85 @@ def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
-QUERIES = {"op1_prefix_target": op1_prefix_target, "op2_superminhash": op2_superminhash}
-ORACLES = {"op1_prefix_target": OP1_SQL}
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=4096, end_id=2)
+
+
+def op6_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id", quality.FOLDS, quality.HELD_FOLD).alias("held_out"), "score", "predicted")
+
+
+def op8_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return predicted.select("doc_id", held_out("doc_id", langid.FOLDS, langid.HELD_FOLD).alias("held_out"),
+                            "lang_pred", "score", "rejected")
+
+
+# verdict, host, path
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op4_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract(table(spark, sf_dir, "pages"))
+
+
+# production targets: languages as given, sources and topics flattened
+LANGUAGE_SHARES = {"en": 0.45, "de": 0.2, "fr": 0.2, "es": 0.15}
+
+
+def op10_proportional_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), {"lang": LANGUAGE_SHARES})
+
+
+EVERY_50TH = "pmod(vec_id, 50) = 0"
+
+
+def op5_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_topk.top_k(table(spark, sf_dir, "embeddings"), EVERY_50TH, k=5)
+
+
+def op7_block_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_ann.nearest(table(spark, sf_dir, "embeddings"), EVERY_50TH, k=5)
+
+
+_FINITE = """
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)"""
+
+OP5_SQL = f"""
+WITH f AS ({_FINITE}), e AS (SELECT vec_id, list_transform(v, lambda x: floor(256 * x)) AS w FROM f),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.w, d.w) AS BIGINT) AS score
+      FROM e q JOIN e d ON q.vec_id <> d.vec_id AND len(q.w) = len(d.w) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP7_SQL = f"""
+WITH f AS ({_FINITE}), e AS (SELECT * FROM f WHERE list_dot_product(v, v) > 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id,
+        list_dot_product(q.v, d.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(d.v, d.v))) AS score
+      FROM e q JOIN e d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+QUERIES = {"op1_prefix_target": op1_prefix_target, "op2_superminhash": op2_superminhash,
+           "op3_karmarkar_karp": op3_karmarkar_karp, "op5_block_topk": op5_block_topk, "op7_block_ann": op7_block_ann,
+           "op6_subword_quality": op6_subword_quality, "op8_subword_langid": op8_subword_langid,
+           "op4_link_graph": op4_link_graph, "op9_site_templates": op9_site_templates,
+           "op10_proportional_mix": op10_proportional_mix}
+ORACLES = {"op1_prefix_target": OP1_SQL, "op5_block_topk": OP5_SQL, "op7_block_ann": OP7_SQL}
