@@ -12,6 +12,7 @@ needs only the average of its features' rows, a few array passes over its bytes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -120,9 +121,10 @@ def sample_features(rows: DataFrame, features: Features) -> list[tuple[str, np.n
                 pa.array([c.tobytes() for _, _, c in found], pa.binary())], ["label", "buckets", "counts"])
 
     got = rows.selectExpr("cast(label AS string) AS label", "text").mapInArrow(count, SAMPLE).toArrow()
-    out = [(label, np.frombuffer(b, np.int32), np.frombuffer(c, np.float32))
-           for label, b, c in zip(got["label"].to_pylist(), got["buckets"].to_pylist(), got["counts"].to_pylist(), strict=True)]
-    return sorted(out, key=lambda x: (x[0], len(x[1]), x[1].tobytes(), x[2].tobytes()))
+    # views of the table, not copies; the order is fixed by what a row holds
+    out = [(label, np.frombuffer(b.as_buffer(), np.int32), np.frombuffer(c.as_buffer(), np.float32))
+           for label, b, c in zip(got["label"].to_pylist(), got["buckets"], got["counts"], strict=True)]
+    return sorted(out, key=lambda x: (x[0], len(x[1]), zlib.crc32(x[1]), zlib.crc32(x[2])))
 
 
 def train(sample: list, classes: tuple, features: Features, dim: int = 12, epochs: int = 8, rate: float = 0.5,

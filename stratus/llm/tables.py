@@ -11,9 +11,13 @@ import stratus
 from stratus.session import materialize
 
 
+BATCH_ROWS = 1000  # rows of an Arrow batch: texts are long, and a batch lies in memory more than once
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from the folder the driver has it in (on a cluster that does
-    not share the folder: install it, or pass it with --py-files)."""
+    not share the folder: install it, or pass it with --py-files), and keep Arrow batches small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.abspath(stratus.__file__)))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]

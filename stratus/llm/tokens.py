@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 from stratus.llm.textbytes import chunks
 
-MOST_WORDS = 2_000_000  # known words of a worker; the table is begun anew beyond
+MOST_WORDS = 1_000_000  # known words of a worker; the table is begun anew beyond
 WHOLE = r"<\|"  # begins each special string of the tokenizer files
 
 
@@ -32,7 +32,7 @@ class WordIds:
 
     def clear(self) -> None:
         self.hashes = np.empty(0, np.uint64)
-        self.at = self.count = np.empty(0, np.int64)
+        self.at, self.count = np.empty(0, np.int64), np.empty(0, np.int32)
         self.ids = np.empty(0, np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
@@ -40,9 +40,9 @@ class WordIds:
 
     def learn(self, hashes: np.ndarray, words: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        count = np.array([len(x) for x in found], dtype=np.int64)
+        count = np.array([len(x) for x in found], dtype=np.int32)
         flat = np.array([i for x in found for i in x], dtype=np.uint32)
-        at = len(self.ids) + np.cumsum(count) - count
+        at = len(self.ids) + np.cumsum(count, dtype=np.int64) - count
         self.ids = np.concatenate((self.ids, flat))
         where = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, where, hashes)
@@ -51,7 +51,7 @@ class WordIds:
     def of(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each chunk: its first row, the ids of its documents one after another, their numbers of ids."""
         odd = pc.match_substring_regex(column.cast(pa.large_string()).fill_null(""), WHOLE)
-        for chunk in chunks(column, lower=True, chunk_bytes=4 << 20):
+        for chunk in chunks(column, lower=True):
             if len(self.hashes) > MOST_WORDS:
                 self.clear()
             starts, ends, first = chunk.words(split_punct=True)
