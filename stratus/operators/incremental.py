@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from typing import Sequence
 
@@ -150,21 +151,26 @@ class KeyedLog:
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition_by: Sequence[str] = ("load_date",),
-                 merge_schema: bool = False):
+                 merge_schema: bool = True):
         self.spark, self.root, self.keys, self.partition_by = spark, root, list(keys), list(partition_by)
-        self.merge_schema = merge_schema  # set when runs may add columns (append_new_columns)
+        self.merge_schema = merge_schema  # columns that a later run adds stay (append_new_columns)
 
     def _exists(self) -> bool:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = p.getFileSystem(conf)
-        return fs.exists(p) and any(st.getPath().getName().startswith(("_SUCCESS", "load_date=", "part-"))
-                                    for st in fs.listStatus(p))
+        if not fs.exists(p):
+            return False
+        files = fs.listFiles(p, True)  # a run without rows leaves no data file, or none in a partition
+        while files.hasNext():
+            if files.next().getPath().getName().startswith("part-"):
+                return True
+        return False
 
     def append(self, batch: DataFrame, run: int) -> None:
-        attempt = uuid.uuid4().hex
-        out = batch.withColumn("_run", F.lit(run).cast("long")).withColumn("_attempt", F.lit(attempt))
+        # attempts are ordered by their write stamp, so the latest one of a run wins
+        out = batch.withColumn("_run", F.lit(run).cast("long")).withColumn("_attempt", F.lit(time.time_ns()))
         if "load_date" in self.partition_by and "load_date" not in batch.columns:
             out = out.withColumn("load_date", F.to_date("load_dts"))
         out.write.mode("append").partitionBy(*self.partition_by).parquet(self.root)
@@ -178,11 +184,13 @@ class KeyedLog:
         log = self.log()
         if log is None:
             return None
-        from pyspark.sql import Window
-        version = F.struct(F.col("load_dts"), F.col("_run"), F.col("_attempt"))
-        w = Window.partitionBy(*self.keys)
-        return (log.withColumn("_v", version).withColumn("_max", F.max("_v").over(w))
-                .filter(F.col("_v") == F.col("_max")).drop("_v", "_max", "_run", "_attempt", *self.partition_by))
+        # the maximum is aggregated with partial sums per key, then met again with the log; a missing load
+        # stamp counts as newest, as in staging
+        version = F.struct(F.col("load_dts").isNull().alias("none"), "load_dts", "_run", "_attempt")
+        log = log.withColumn("_v", version)
+        newest = log.groupBy(*(F.col(k).alias(f"_key_{k}") for k in self.keys)).agg(F.max("_v").alias("_newest"))
+        same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in self.keys] + [F.col("_v").eqNullSafe(F.col("_newest"))]
+        return log.join(newest, same, "left_semi").drop("_v", "_run", "_attempt", *self.partition_by)
 
     def high_water_mark(self):
         log = self.log()

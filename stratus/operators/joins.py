@@ -25,5 +25,5 @@ def anti_check(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     NULL child keys are reported too, as in the LEFT JOIN form.
     """
     pk = parent_key or child_key
-    keys = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull()).distinct()
+    keys = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull())
     return child.join(keys, F.col(child_key) == F.col("_pk"), "left_anti")

@@ -1,7 +1,8 @@
 """Dense surrogate keys equal to ``ROW_NUMBER() OVER (ORDER BY k)`` without a single-task window.
 
-Plan: range-partition on ``k`` and sort inside partitions; ``monotonically_increasing_id`` then carries
-(partition index, position in partition). A per-partition row count (one row per partition, so its
+Plan: range-partition on ``k``, sort inside partitions, and write the rows once with (partition index,
+position in partition) from ``monotonically_increasing_id``. Counts and rows are read from that one copy:
+planned twice, the range exchange would sample its bounds twice and the two would disagree. A per-partition row count (one row per partition, so its
 size is bounded by the partition count, not the data) gives each partition its starting offset, which is
 broadcast back. Ids are identical to the global window's for unique ``k``.
 """
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratus.session import materialize
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -20,8 +23,8 @@ def surrogate_key(df: DataFrame, order_col: str, id_col: str = "id", num_partiti
     ranged = (df.repartitionByRange(n, F.col(order_col).asc_nulls_first())
               .sortWithinPartitions(F.col(order_col).asc_nulls_first())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
-        "_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
+    ranged = materialize(ranged.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
+        "_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))), "ranked")
     # one row per non-empty partition: bounded by n, so the single-partition running sum and the
     # broadcast below are size-safe at any data volume
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -237,8 +237,13 @@ def integrity_suite(stg_obs: DataFrame, stg_fc: DataFrame, stg_st: DataFrame, ma
 
 
 def store_failures(failures: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Persist failing rows partitioned by check (dynamic partition overwrite replaces only the checks
-    present in this run)."""
-    (failures.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    """Persist failing rows partitioned by check; the rows of all checks of an earlier write are replaced. Without
+    any failure the folder holds no data file: read it with ``read_failures``."""
+    (failures.write.mode(mode).option("partitionOverwriteMode", "static")
      .partitionBy("check_name").parquet(path))
     return os.path.abspath(path) if "://" not in path else path
+
+
+def read_failures(failures: DataFrame, path: str) -> DataFrame:
+    """What ``store_failures`` wrote of ``failures``, also where that is no row."""
+    return failures.sparkSession.read.schema(failures.schema).parquet(path).select(*failures.columns)

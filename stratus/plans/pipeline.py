@@ -82,5 +82,5 @@ def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame
     t.update(dims)
     t.update({"link": link, "stg_observed": stg_obs, "stg_forecast": stg_fc, "fact_observed": facts["observed"],
               "fact_forecast": facts["forecast"],
-              "quality_failures": spark.read.parquet(f"{root}/quality_failures/run={run}")})
+              "quality_failures": Q.read_failures(failures, f"{root}/quality_failures/run={run}")})
     return RunResult(run, t)

@@ -43,6 +43,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext._conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         path = tempfile.mkdtemp(prefix="stratus-ckpt-")

@@ -76,8 +76,9 @@ def station_raw(records: DataFrame, load_dts: str, record_source: str | None = N
         present = [F.col(n) for n in names if n in cols]
         return F.coalesce(*present) if len(present) > 1 else (present[0] if present else F.lit(None))
 
-    name = pick("station_name", "name")
-    name = F.when(F.trim(name.cast("string")) == "", F.lit(None)).otherwise(name.cast("string"))
+    # a blank name is no name: each column is blanked before the fallback
+    names = [F.when(F.trim(F.col(n).cast("string")) != "", F.col(n).cast("string")) for n in ("station_name", "name") if n in cols]
+    name = F.coalesce(*names) if names else F.lit(None).cast("string")
     rs = F.lit(record_source) if record_source else pick("record_source")
     out = records.select(pick("wmo_station_id").cast("string").alias("wmo_station_id"), name.alias("station_name"),
                          pick("lat", "latitude").cast("double").alias("lat"),
@@ -175,8 +176,8 @@ def in_request_window(df: DataFrame, kind: str, now: str, ts_col: str = "timesta
 
 
 # ------------------------------------------------------------------------------------------ scopes
-def prefix_scope(df: DataFrame, prefix: str = "10", col: str = "plz") -> DataFrame:
-    return df.filter(F.col(col).startswith(prefix))
+def prefix_scope(df: DataFrame, prefix: str | None = None, col: str = "plz") -> DataFrame:
+    return df.filter(F.col(col).startswith(prefix)) if prefix else df
 
 
 def station_scope(station_raw_df: DataFrame, name_pattern: str | None = None) -> DataFrame:
@@ -222,7 +223,7 @@ def geojson_to_multipolygon(geom_json: Column) -> Column:
     return F.when(F.size(g) > 0, g)
 
 
-def read_postal_features(features: DataFrame, prefix: str | None = "10", feature_col: str = "value",
+def read_postal_features(features: DataFrame, prefix: str | None = None, feature_col: str = "value",
                          record_source: str = "geojson", load_dts: str | None = None) -> DataFrame:
     """GeoJSON features (one per row) -> postal_area_raw rows (plz, wkt, geometry, record_source).
 
@@ -241,7 +242,7 @@ def read_postal_features(features: DataFrame, prefix: str | None = "10", feature
     return out
 
 
-def read_postal_geojson(spark: SparkSession, path: str, prefix: str | None = "10", lines: bool = True,
+def read_postal_geojson(spark: SparkSession, path: str, prefix: str | None = None, lines: bool = True,
                         load_dts: str | None = None) -> DataFrame:
     """GeoJSON-seq (one feature per line, splittable) or a FeatureCollection document per file."""
     if lines:

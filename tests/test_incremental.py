@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from stratus.operators.incremental import (VersionedTable, append_versions, evolve_schema, incremental_filter,
+from stratus.operators.incremental import (KeyedLog, VersionedTable, append_versions, evolve_schema, incremental_filter,
                                            replace_by_key)
 
 
@@ -58,3 +58,20 @@ def test_keyed_log_retry_and_group_replace(spark, tmp_dir):
     assert sorted((r.k, r.v) for r in log.current().collect()) == [("a", 9.0), ("b", 3.0)]
     log.append(_df(spark, [("b", 1, 0.5, T0 - dt.timedelta(days=1))]), 2)  # an older load never wins
     assert sorted((r.k, r.v) for r in log.current().collect()) == [("a", 9.0), ("b", 3.0)]
+
+
+def test_log_empty_first_run_and_latest_attempt(spark, tmp_dir):
+    log = KeyedLog(spark, tmp_dir + "/log2", ["k", "h"])
+    log.append(_df(spark, [("a", 1, 1.0, T0)]).limit(0), 0)
+    assert log.log() is None and log.current() is None
+    for value in (1.0, 5.0, 3.0):  # attempts of one run: the last one wins
+        log.append(_df(spark, [("a", 1, value, T0)]), 1)
+    assert [r[2] for r in log.current().select("k", "h", "v").collect()] == [3.0]
+
+
+def test_surrogate_key_many_partitions(spark):
+    from stratus.operators.keys import surrogate_key
+    n = 1_000_000
+    keys = spark.range(n).selectExpr("format_string('%012d', (id * 7919) % 1000000) AS k")
+    got = surrogate_key(keys, "k", num_partitions=200)
+    assert got.selectExpr("sum(CASE WHEN id = cast(k AS long) + 1 THEN 0 ELSE 1 END)", "count(*)").first() == (0, n)
