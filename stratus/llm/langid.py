@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.subword import Features, Model, calibrated, probabilities, sample_features, train
+from stratus.llm.subword import Features, Model, calibrated, learned, probabilities, train
 from stratus.llm.tables import held_out
 
 FOLDS, HELD_FOLD = 4, 2
@@ -41,7 +41,10 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, float]
     near = known.select("lang", "text", F.xxhash64("doc_id").alias("h")).join(last, "lang").where("h <= last")
     order = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
     rows = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
-    sample = sample_features(rows.select(F.col("lang").alias("label"), "text"), FEATURES)
+    return learned(rows.select(F.col("lang").alias("label"), "text"), FEATURES, _learn)
+
+
+def _learn(sample: list) -> tuple[Model, float]:
     classes = tuple(sorted({label for label, _, _ in sample}))
     kept_out = [x for i, x in enumerate(sample) if i % 5 == 4]
     model = calibrated(train([x for i, x in enumerate(sample) if i % 5 != 4], classes, FEATURES), kept_out)

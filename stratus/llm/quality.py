@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.subword import Features, Model, sample_features, train
+from stratus.llm.subword import Features, Model, learned, train
 from stratus.llm.tables import held_out
 
 FOLDS, HELD_FOLD = 5, 0
@@ -41,13 +41,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
     chosen = F.broadcast(parts[0].union(parts[1]))  # at most 2 * per_label ids
     texts = docs.select("doc_id", "text").join(chosen, "doc_id") \
         .orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(2 * per_label).select("label", "text")
-    sample = sample_features(texts, FEATURES)
-    n = [sum(label == x for label, _, _ in sample) for x in ("0", "1")]
-    if not all(n):
-        return 0.0 if not n[1] and n[0] else 1.0
-    model = train(sample, ("0", "1"), FEATURES)
-    prior = math.log(counts[1] / counts[0]) - math.log(n[1] / n[0])
-    return replace(model, bias=model.bias + np.array([0.0, prior]))
+    odds = math.log(counts[1] / counts[0])
+
+    def learn(sample: list) -> Model | float:
+        n = [sum(label == x for label, _, _ in sample) for x in ("0", "1")]
+        if not all(n):
+            return 0.0 if not n[1] and n[0] else 1.0
+        model = train(sample, ("0", "1"), FEATURES)
+        return replace(model, bias=model.bias + np.array([0.0, odds - math.log(n[1] / n[0])]))
+
+    return learned(texts, FEATURES, learn)
 
 
 def score(docs: DataFrame, model: Model | float, threshold: float = THRESHOLD) -> DataFrame:

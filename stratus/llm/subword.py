@@ -5,15 +5,16 @@ text, blanks included), each hashed to one of 2**bits buckets of its own kind, a
 for) for each word whether it repeats the word before it, a word pair with two buckets. The document vector is the
 average of the learned vectors of all its features; a linear layer and a softmax give the classes.
 
-Training reads a bounded sample on the driver, as bucket counts of whole texts. Scoring runs in Spark
+Training reads a bounded sample, as bucket counts of whole texts, in one task; the driver gets the model only. Scoring runs in Spark
 tasks: by linearity a bucket's vector times the output layer is a short row of logits, so a document
 needs only the average of its features' rows, a few array passes over its bytes.
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -110,8 +111,9 @@ def softmax(z: np.ndarray) -> np.ndarray:
 SAMPLE = "label string, buckets binary, counts binary"
 
 
-def sample_features(rows: DataFrame, features: Features) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """``rows(label, text)``, a bounded sample, as label and bucket counts, in a fixed order."""
+def learned(rows: DataFrame, features: Features, learn: Callable[[list], object]) -> object:
+    """``learn(sample)`` for ``rows(label, text)``, a bounded sample, as label and bucket counts in a fixed order.
+    Learning runs in one task (repeated alike if its executor is lost); only what it returns comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,11 +122,16 @@ def sample_features(rows: DataFrame, features: Features) -> list[tuple[str, np.n
                 batch.column(0), pa.array([b.tobytes() for _, b, _ in found], pa.binary()),
                 pa.array([c.tobytes() for _, _, c in found], pa.binary())], ["label", "buckets", "counts"])
 
-    got = rows.selectExpr("cast(label AS string) AS label", "text").mapInArrow(count, SAMPLE).toArrow()
-    # views of the table, not copies; the order is fixed by what a row holds
-    out = [(label, np.frombuffer(b.as_buffer(), np.int32), np.frombuffer(c.as_buffer(), np.float32))
-           for label, b, c in zip(got["label"].to_pylist(), got["buckets"], got["counts"], strict=True)]
-    return sorted(out, key=lambda x: (x[0], len(x[1]), zlib.crc32(x[1]), zlib.crc32(x[2])))
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # views of the batches, not copies; the order is fixed by what a row holds
+        sample = [(label, np.frombuffer(b.as_buffer(), np.int32), np.frombuffer(c.as_buffer(), np.float32))
+                  for batch in batches for label, b, c in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True)]
+        sample.sort(key=lambda x: (x[0], len(x[1]), zlib.crc32(x[1]), zlib.crc32(x[2])))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(sample))], pa.binary())], ["model"])
+
+    counted = rows.selectExpr("cast(label AS string) AS label", "text").mapInArrow(count, SAMPLE)
+    got = counted.repartition(1).mapInArrow(fit, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else learn([])
 
 
 def train(sample: list, classes: tuple, features: Features, dim: int = 12, epochs: int = 8, rate: float = 0.5,
