@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratus.llm.tables import written
@@ -81,7 +81,6 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
                            F.col(name).eqNullSafe(F.col(f"_{name}"))).drop(f"_{name}")
     cells = written(cells, "cells")
     for _ in range(sweeps):
-        error = F.lit(0.0)
         new = cells
         for name in MARGINS:
             sums = new.groupBy(F.col(name).alias(f"_{name}")).agg(F.sum("weight").alias("have"))
@@ -89,9 +88,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
             new = new.withColumn(f"off_{name}", F.abs(F.col("have") - F.col(f"goal_{name}"))) \
                 .withColumn("weight", F.when(F.col("have") > 0, F.col("weight") * F.col(f"goal_{name}") / F.col("have")).otherwise(0.0)) \
                 .drop("have", f"_{name}")
-        error = F.greatest(*(F.max(f"off_{name}") for name in MARGINS))
-        new = written(new, "cells")
-        off = new.agg(error).first()[0] or 0.0
+        seen = Observation()
+        new = written(new.observe(seen, F.greatest(*(F.max(f"off_{name}") for name in MARGINS)).alias("off")), "cells")
+        off = seen.get.get("off") or 0.0
         cells = new.drop(*(f"off_{name}" for name in MARGINS))
         if off <= settled:
             break
