@@ -1,24 +1,10 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a dimension-like side is broadcast. Above it the join stays a shuffle join
-# (and AQE may still pick a broadcast at runtime from measured sizes).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably holds at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check counts at most ``max_rows + 1`` rows, so it stays cheap even when the side is large.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def anti_check(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
     """Rows of ``child`` whose key has no match in ``parent`` (``LEFT JOIN ... WHERE parent.key IS NULL``).
 

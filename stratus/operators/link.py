@@ -12,7 +12,7 @@ Exact search over a multi-level grid:
 3. Survivors are joined with the area's edges: distance = 0 inside (even-odd crossings, which handles
    holes and parts), else the minimum edge distance. Top k by (distance, station id).
 4. An area is resolved when it has k candidates and the k-th distance is <= r: any station outside the
-   searched window is farther than r. Otherwise it moves to a coarser level (cell doubled, or directly to
+   searched window is farther than r. An area starts at the level whose cell is as wide as it is. Otherwise it moves to a coarser level (cell doubled, or directly to
    the level whose radius covers the k-th distance found). The top level spans all data, so the search
    always ends, and it ends exactly.
 
@@ -94,7 +94,9 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
     # at the top level the radius covers the whole extent, so every station is a candidate there
     top = max(0, math.ceil(math.log2(extent / (radius_cells * c0))) + 1)
 
-    pending = A.withColumn("lvl", F.lit(0))
+    # an area wider than the base cell starts at the level whose cell holds it, so it lists a few cells only
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    pending = A.withColumn("lvl", F.when(side > c0, F.least(F.ceil(F.log2(side / F.lit(c0))).cast("int"), F.lit(top))).otherwise(0))
     done = []
     level = 0
     while True:

@@ -2,7 +2,7 @@
 
 Every function is pure (DataFrame in, DataFrame out); load stamps and "now" are parameters.
 Shuffle boundaries: the (station, hour) dedup, the link search, and the (plz, hour) aggregation.
-Dimension-sized inputs are joined by size-checked broadcast.
+Dimension-sized inputs carry no hint: adaptive execution broadcasts them by their measured bytes.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from stratus.functions.geometry import make_point
 from stratus.functions.timeutil import ntz
 from stratus.operators.clean import standardize
 from stratus.operators.dedup import desc_nulls_first, latest_per_key
-from stratus.operators.joins import sized_broadcast
 from stratus.operators.keys import surrogate_key
 from stratus.operators.link import nearest_link
 
@@ -105,8 +104,7 @@ def fact_weather(stg: DataFrame, dim_st: DataFrame, link: DataFrame, dim_area: D
                  bridge: DataFrame | None = None) -> DataFrame:
     """Staged rows fanned out to every postal area their station serves (inner joins: unlinked rows drop)."""
     b = bridge if bridge is not None else area_bridge(dim_st, link, dim_area)
-    b = sized_broadcast(b.drop("plz"))
-    return stg.join(b, "wmo_station_id").select(*spec.FACT_COLUMNS)
+    return stg.join(b.drop("plz"), "wmo_station_id").select(*spec.FACT_COLUMNS)
 
 
 # ------------------------------------------------------------------------------------------- marts
@@ -154,7 +152,7 @@ def mart_weather(fact: DataFrame, dim_area: DataFrame, *, outlier_rule: str = "f
                  sort: bool = True) -> DataFrame:
     """Per (plz, hour) statistics of the fact rows with a temperature; one aggregation pass with map-side
     partial aggregates (mode's value counts combine partially too)."""
-    ar = sized_broadcast(dim_area.select(F.col("id").alias("postal_area_id"), "plz"))
+    ar = dim_area.select(F.col("id").alias("postal_area_id"), "plz")
     df = fact.join(ar, "postal_area_id").filter(F.col(spec.MART_REQUIRED_MEASURE).isNotNull())
     out = df.groupBy("plz", "timestamp_utc").agg(*mart_aggregates(outlier_rule))
     out = out.select(*spec.mart_columns())

@@ -95,21 +95,18 @@ def stg_weather_cte(kind: str, batch_key: bool = False) -> str:
 )"""
 
 
-STATION_CTES = """cust_scoped AS (
-  SELECT * FROM customer WHERE c_custkey IN (SELECT user_id FROM events)
-),
-station_raw AS (
+STATION_CTES = """station_raw AS (
   SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS wmo_station_id, c_name AS station_name,
          CAST(4700 + (c_custkey * 37) % 800 AS DOUBLE) AS lat, CAST(600 + (c_custkey * 53) % 900 AS DOUBLE) AS lon,
          '{"c_custkey":' || CAST(c_custkey AS VARCHAR) || ',"segment":"' || c_mktsegment || '"}' AS properties,
          'customer' AS record_source, TIMESTAMP '2023-12-31 00:00:00' AS load_dts
-  FROM cust_scoped
+  FROM customer
   UNION ALL
   SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0'), c_name || ' (reloaded)',
          CAST(4700 + (c_custkey * 37) % 800 AS DOUBLE), CAST(600 + (c_custkey * 53) % 900 AS DOUBLE),
          '{"c_custkey":' || CAST(c_custkey AS VARCHAR) || ',"segment":"' || c_mktsegment || '"}',
          'customer', TIMESTAMP '2024-01-01 00:00:00'
-  FROM cust_scoped WHERE c_mktsegment = 'BUILDING'
+  FROM customer WHERE c_mktsegment = 'BUILDING'
 ),
 stg_station AS (
   SELECT wmo_station_id, station_name, lat, lon, properties, record_source, load_dts FROM (
@@ -159,15 +156,15 @@ link AS (
 
 
 def fact_cte(kind: str, stg: str) -> str:
-    cols = ", ".join(f"sf.{c}" if c not in ("station_id", "postal_area_id") else
-                     ("ds.id AS station_id" if c == "station_id" else "lps.postal_area_id")
-                     for c in spec.FACT_COLUMNS)
+    """Staged rows once per served area; ``served`` looks the station's code up per link."""
+    cols = ", ".join(f"served.{c}" if c in ("station_id", "postal_area_id") else c for c in spec.FACT_COLUMNS)
     return f"""fact_{kind} AS (
-  SELECT {cols}
-  FROM {stg} sf
-  JOIN dim_station ds ON ds.wmo_station_id = sf.wmo_station_id
-  JOIN link lps ON lps.station_id = ds.id
-  JOIN dim_postal_area pa ON pa.id = lps.postal_area_id
+  WITH served AS (
+    SELECT postal_area_id, station_id,
+           (SELECT any_value(wmo_station_id) FROM dim_station WHERE dim_station.id = link.station_id) AS code
+    FROM link WHERE postal_area_id IN (SELECT id FROM dim_postal_area)
+  )
+  SELECT {cols} FROM served, {stg} WHERE code = wmo_station_id
 )"""
 
 
@@ -288,27 +285,45 @@ POSTAL_CHECKS_SQL = [
     ("postal_codes_out_of_range", "plz IS NOT NULL AND (TRY_CAST(plz AS INTEGER) < 1000 OR TRY_CAST(plz AS INTEGER) > 99999)"),
 ]
 
-LINK_SUITE_SQL = """SELECT 'null_station_ids' AS check_name, postal_area_id, station_id, created_at FROM link WHERE station_id IS NULL
-UNION ALL SELECT 'null_postal_area_ids', postal_area_id, station_id, created_at FROM link WHERE postal_area_id IS NULL
-UNION ALL SELECT 'invalid_station_ids', l.postal_area_id, l.station_id, l.created_at FROM link l
-  LEFT JOIN dim_station s ON l.station_id = s.id WHERE s.id IS NULL
-UNION ALL SELECT 'invalid_postal_area_ids', l.postal_area_id, l.station_id, l.created_at FROM link l
-  LEFT JOIN dim_postal_area p ON l.postal_area_id = p.id WHERE p.id IS NULL
-UNION ALL SELECT 'null_created_at', postal_area_id, station_id, created_at FROM link WHERE created_at IS NULL"""
-
-INTEGRITY_SQL = """SELECT 'weather_observed_invalid_station_ids' AS check_name, wo.wmo_station_id AS key1, CAST(wo.timestamp_utc AS VARCHAR) AS key2
-  FROM stg_observed wo LEFT JOIN stg_station s ON wo.wmo_station_id = s.wmo_station_id WHERE s.wmo_station_id IS NULL
-UNION ALL SELECT 'weather_forecast_invalid_station_ids', wf.wmo_station_id, CAST(wf.timestamp_utc AS VARCHAR)
-  FROM stg_forecast_batches wf LEFT JOIN stg_station s ON wf.wmo_station_id = s.wmo_station_id WHERE s.wmo_station_id IS NULL
-UNION ALL SELECT 'aggregated_invalid_postal_codes', ma.plz, CAST(ma.timestamp_utc AS VARCHAR)
-  FROM mart_forecast ma LEFT JOIN dim_postal_area pa ON ma.plz = pa.plz WHERE pa.plz IS NULL
-UNION ALL SELECT 'link_table_invalid_postal_area_ids', CAST(l.postal_area_id AS VARCHAR), CAST(l.station_id AS VARCHAR)
-  FROM link l LEFT JOIN dim_postal_area pa ON l.postal_area_id = pa.id WHERE pa.id IS NULL
-UNION ALL SELECT 'link_table_invalid_station_ids', CAST(l.station_id AS VARCHAR), CAST(l.postal_area_id AS VARCHAR)
-  FROM link l LEFT JOIN dim_station s ON l.station_id = s.id WHERE s.id IS NULL
-UNION ALL SELECT 'forecast_timestamps_too_far_future', wmo_station_id, CAST(timestamp_utc AS VARCHAR)
-  FROM stg_forecast_batches WHERE timestamp_utc > TIMESTAMP '2024-02-01 00:00:00' + INTERVAL 7 DAY
-UNION ALL SELECT 'observed_timestamps_too_old', wmo_station_id, CAST(timestamp_utc AS VARCHAR)
-  FROM stg_observed WHERE timestamp_utc < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 30 DAY
-UNION ALL SELECT 'aggregated_unreasonable_station_counts', plz, CAST(timestamp_utc AS VARCHAR)
-  FROM mart_forecast WHERE station_count < 1 OR station_count > 100"""
+def missing_parent(check: str, child: str, key: str, parent: str, parent_key: str, out: str) -> str:
+    return (f"SELECT '{check}' AS check_name, {out} FROM {child} WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {parent} WHERE {parent}.{parent_key} = {child}.{key})")
+
+
+def breaking(check: str, table: str, predicate: str, out: str) -> str:
+    return f"SELECT '{check}' AS check_name, {out} FROM {table} WHERE {predicate}"
+
+
+def link_suite_sql(link: str = "link") -> str:
+    out = "postal_area_id, station_id, created_at"
+    parts = [breaking(f"null_{name}", link, f"{column} IS NULL", out)
+             for name, column in (("station_ids", "station_id"), ("postal_area_ids", "postal_area_id"), ("created_at", "created_at"))]
+    parts += [missing_parent(f"invalid_{column}s", link, column, parent, "id", out)
+              for column, parent in (("station_id", "dim_station"), ("postal_area_id", "dim_postal_area"))]
+    return "\nUNION ALL ".join(parts)
+
+
+def integrity_sql(obs: str = "stg_observed", fc: str = "stg_forecast_batches", mart: str = "mart_forecast",
+                  link: str = "link") -> str:
+    def out(a: str, b: str) -> str:
+        return f"CAST({a} AS VARCHAR) AS key1, CAST({b} AS VARCHAR) AS key2"
+
+    hour, area = out("wmo_station_id", "timestamp_utc"), out("plz", "timestamp_utc")
+    now = "TIMESTAMP '2024-02-01 00:00:00'"
+    # (check, child, its key, parent, its key, reported keys)
+    orphans = (
+        ("weather_observed_invalid_station_ids", obs, "wmo_station_id", "stg_station", "wmo_station_id", hour),
+        ("weather_forecast_invalid_station_ids", fc, "wmo_station_id", "stg_station", "wmo_station_id", hour),
+        ("aggregated_invalid_postal_codes", mart, "plz", "dim_postal_area", "plz", area),
+        ("link_table_invalid_postal_area_ids", link, "postal_area_id", "dim_postal_area", "id", out("postal_area_id", "station_id")),
+        ("link_table_invalid_station_ids", link, "station_id", "dim_station", "id", out("station_id", "postal_area_id")),
+    )
+    bounds = (
+        ("forecast_timestamps_too_far_future", fc, f"epoch(timestamp_utc) - epoch({now}) > 7 * 86400", hour),
+        ("observed_timestamps_too_old", obs, f"epoch({now}) - epoch(timestamp_utc) > 30 * 86400", hour),
+        ("aggregated_unreasonable_station_counts", mart, "NOT station_count BETWEEN 1 AND 100", area),
+    )
+    return "\nUNION ALL ".join([missing_parent(*o) for o in orphans] + [breaking(*b) for b in bounds])
+
+
+LINK_SUITE_SQL, INTEGRITY_SQL = link_suite_sql(), integrity_sql()

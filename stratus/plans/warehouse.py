@@ -66,7 +66,7 @@ class Warehouse:
         return self._raw[kind]
 
     def station_raw(self) -> DataFrame:
-        return standins.station_raw_from_customers(self.table("customer"), self.table("events"))
+        return standins.station_raw_from_customers(self.table("customer"))
 
     def postal_raw(self) -> DataFrame:
         raw = standins.postal_raw_from_suppliers(self.table("supplier"))
@@ -102,9 +102,10 @@ class Warehouse:
 
     @cached_property
     def link(self) -> DataFrame:
-        # the dimensions are written tables already (see above)
-        return models.link_postcode_station(self.dim_postal_area(), self.dim_station(), as_of=self.as_of,
-                                            materialize_inputs=False)
+        # a table model too: searched once, written, and read by facts, marts and checks
+        found = models.link_postcode_station(self.dim_postal_area(), self.dim_station(), as_of=self.as_of,
+                                             materialize_inputs=False)
+        return materialize(found, "link")
 
     def fact(self, kind: str, stg: DataFrame | None = None) -> DataFrame:
         s = self.stg(kind) if stg is None else stg

@@ -1,7 +1,7 @@
 """Stand-in raw tables derived from the driver's tables (mapping documented in FIXTURES.md part B).
 
 * weather raw (observed / forecast) <- ``events``: one document per event, ``k`` from ``props``;
-* station raw <- ``customer`` rows whose key occurs as an ``events.user_id`` (two loads: a full one
+* station raw <- every ``customer`` (two loads: a full one
   and a later re-load of one market segment with a changed name, so latest-per-key has work to do);
 * postal-area raw <- ``supplier``: a square per supplier.
 
@@ -97,9 +97,8 @@ def station_coords(key: Column) -> tuple[Column, Column]:
     return lat, lon
 
 
-def station_raw_from_customers(customer: DataFrame, events: DataFrame) -> DataFrame:
+def station_raw_from_customers(customer: DataFrame) -> DataFrame:
     """station_raw: wmo_station_id, station_name, lat, lon, properties, record_source, load_dts."""
-    scoped = customer.join(events.select(F.col("user_id").alias("c_custkey")), "c_custkey", "left_semi")
     lat, lon = station_coords(F.col("c_custkey"))
     props = F.concat(F.lit('{"c_custkey":'), F.col("c_custkey").cast("string"), F.lit(',"segment":"'),
                      F.col("c_mktsegment"), F.lit('"}'))
@@ -109,8 +108,8 @@ def station_raw_from_customers(customer: DataFrame, events: DataFrame) -> DataFr
                          lat.alias("lat"), lon.alias("lon"), props.alias("properties"),
                          F.lit(RECORD_SOURCE_STATION).alias("record_source"), ntz(at).alias("load_dts"))
 
-    first = load(scoped, F.col("c_name"), STATION_LOAD_1)
-    reload = load(scoped.filter(F.col("c_mktsegment") == STATION_RELOAD_SEGMENT),
+    first = load(customer, F.col("c_name"), STATION_LOAD_1)
+    reload = load(customer.filter(F.col("c_mktsegment") == STATION_RELOAD_SEGMENT),
                   F.concat(F.col("c_name"), F.lit(" (reloaded)")), STATION_LOAD_2)
     return first.unionByName(reload)
 
