@@ -5,14 +5,12 @@
 * ``replace_by_key``: delete target rows whose key occurs in the batch, insert the batch (a batch may
   hold several rows per key, e.g. fact rows fanned out per area) — an anti-join plus a union.
 * ``append_versions``: forecast history — the batch id is part of the key, so each batch adds a version.
-* ``VersionedTable``: a table directory whose every write goes to a fresh version folder; a small
-  pointer file is swapped only after the write committed, so a failed or retried job never leaves a
-  half-written table visible, and readers never see the folder being written.
+* ``write_fresh``: a table that is rebuilt goes to a folder of its own, whose path the caller passes on; a
+  failed or retried job leaves nothing that anyone reads.
 """
 
 from __future__ import annotations
 
-import json
 import time
 import uuid
 from typing import Sequence
@@ -74,69 +72,11 @@ def evolve_schema(old: DataFrame, new_schema: T.StructType) -> DataFrame:
     return out
 
 
-class VersionedTable:
-    """Parquet table with atomic version switches.
-
-    Data goes to ``<root>/v-<n>-<id>/``; a version becomes visible when its commit marker
-    ``<root>/_commits/<n>`` is created (a single small write-once file). Readers take the highest
-    committed number, so a failed or retried write never exposes a partial folder, and no file is
-    ever overwritten in place.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
-        self.spark, self.root, self.partition_by = spark, root, list(partition_by)
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        Path = jvm.org.apache.hadoop.fs.Path
-        return Path(self.root).getFileSystem(conf), Path
-
-    def _commits(self) -> list[int]:
-        fs, Path = self._fs()
-        d = Path(self.root + "/_commits")
-        if not fs.exists(d):
-            return []
-        return sorted(int(st.getPath().getName()) for st in fs.listStatus(d) if st.getPath().getName().isdigit())
-
-    def current(self) -> str | None:
-        commits = self._commits()
-        if not commits:
-            return None
-        fs, Path = self._fs()
-        stream = fs.open(Path(f"{self.root}/_commits/{commits[-1]}"))
-        try:
-            raw = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(raw)["version"]
-
-    def read(self) -> DataFrame | None:
-        v = self.current()
-        if v is None:
-            return None
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{v}")
-
-    def write(self, df: DataFrame) -> str:
-        commits = self._commits()
-        n = (commits[-1] + 1) if commits else 1
-        version = f"v-{n:06d}-{uuid.uuid4().hex[:8]}"
-        w = df.write.mode("errorifexists")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.root}/{version}")
-        fs, Path = self._fs()
-        out = fs.create(Path(f"{self.root}/_commits/{n}"), False)  # fails if another writer took n
-        try:
-            out.write(bytearray(json.dumps({"version": version}).encode()))
-        finally:
-            out.close()
-        return version
-
-    def replace_by_key(self, batch: DataFrame, keys: Sequence[str]) -> str:
-        cur = self.read()
-        new = batch if cur is None else replace_by_key(cur, batch, keys)
-        return self.write(new)
+def write_fresh(df: DataFrame, root: str) -> str:
+    """Write ``df`` to a new folder under ``root`` and return its path."""
+    path = f"{root}/v-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
 
 
 class KeyedLog:
@@ -180,10 +120,13 @@ class KeyedLog:
             return None
         return self.spark.read.option("mergeSchema", str(self.merge_schema).lower()).parquet(self.root)
 
-    def current(self) -> DataFrame | None:
+    def current(self, only: DataFrame | None = None) -> DataFrame | None:
+        """The table; with ``only`` (a table of one or more key columns) its rows of those keys."""
         log = self.log()
         if log is None:
             return None
+        if only is not None:
+            log = log.join(only, only.columns, "left_semi")
         # the maximum is aggregated with partial sums per key, then met again with the log; a missing load
         # stamp counts as newest, as in staging
         version = F.struct(F.col("load_dts").isNull().alias("none"), "load_dts", "_run", "_attempt")

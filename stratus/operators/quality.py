@@ -12,6 +12,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratus.functions import spec
 from stratus.functions.timeutil import hour_floor, seconds_between
 from stratus.operators.dedup import duplicate_keys
 from stratus.operators.joins import anti_check
@@ -150,23 +151,27 @@ def postal_checks() -> list[Check]:
     ]
 
 
+def _bounds(measure: str) -> Column:
+    m = spec.BY_NAME[measure]
+    return outside(measure, m.lo, m.hi)
+
+
+# Check names are fixed values: they are output values.
 def observed_checks() -> list[Check]:
     return [
-        ("temperature_out_of_range", outside("temperature", -50, 50)),
+        ("temperature_out_of_range", _bounds("temperature")),
         ("negative_precipitation", negative("precipitation")),
         ("negative_wind_speed", negative("wind_speed")),
-        ("wind_direction_out_of_range", outside("wind_direction", 0, 360)),
-        ("humidity_out_of_range", outside("relative_humidity", 0, 100)),
-        ("pressure_out_of_range", outside("pressure_msl", 800, 1100)),
+        ("wind_direction_out_of_range", _bounds("wind_direction")),
+        ("humidity_out_of_range", _bounds("relative_humidity")),
+        ("pressure_out_of_range", _bounds("pressure_msl")),
         ("confidence_score_out_of_range", outside("confidence_score", 0, 1)),
     ]
 
 
 def forecast_checks() -> list[Check]:
-    return observed_checks() + [
-        ("precipitation_probability_out_of_range", outside("precipitation_probability", 0, 100)),
-        ("precipitation_probability_6h_out_of_range", outside("precipitation_probability_6h", 0, 100)),
-    ]
+    return observed_checks() + [(f"{m}_out_of_range", _bounds(m))
+                                for m in ("precipitation_probability", "precipitation_probability_6h")]
 
 
 def _min_gt_max(a: str, b: str) -> Column:
@@ -236,6 +241,81 @@ def integrity_suite(stg_obs: DataFrame, stg_fc: DataFrame, stg_st: DataFrame, ma
     return out
 
 
+# The column tests declared for each table, as table: {column: tests}. A ``range`` is 0 to 1.
+# The fact tables have no postal code of their own; its test holds their area id.
+_WEATHER_TESTS = {"wmo_station_id": ["not_null"], "timestamp_utc": ["not_null"], "load_dts": ["not_null"]}
+_RAW_TESTS = {**_WEATHER_TESTS, "raw": ["not_null"]}
+_STAGED_TESTS = {**_WEATHER_TESTS, "confidence_score": ["range"]}
+_FACT_TESTS = {**_STAGED_TESTS, "station_id": ["not_null"], "postal_area_id": ["not_null"]}
+_MART_TESTS = {"plz": ["not_null"], "timestamp_utc": ["not_null"], "station_count": ["not_null"],
+               "data_completeness": ["range"], "confidence_score_avg": ["range"]}
+DECLARED_TESTS: dict[str, dict[str, list[str]]] = {
+    "raw_observed": _RAW_TESTS,
+    "raw_forecast": _RAW_TESTS,
+    "station_raw": {"wmo_station_id": ["not_null"], "station_name": ["not_null"], "lat": ["not_null"], "lon": ["not_null"],
+                    "load_dts": ["not_null"]},
+    "postal_raw": {"plz": ["not_null"], "geometry": ["not_null"], "load_dts": ["not_null"]},
+    "dim_postal_area": {"plz": ["not_null", "unique"], "geometry": ["not_null"]},
+    "dim_station": {"id": ["not_null", "unique"], "wmo_station_id": ["not_null", "unique"], "station_name": ["not_null"],
+                    "geometry": ["not_null"]},
+    "link": {"postal_area_id": ["not_null", "unique"], "station_id": ["not_null"], "created_at": ["not_null"]},
+    "fact_observed": _FACT_TESTS,
+    "fact_forecast": _FACT_TESTS,
+    "stg_observed": _STAGED_TESTS,
+    "stg_forecast": _STAGED_TESTS,
+    "mart_observed": _MART_TESTS,
+    "mart_forecast": _MART_TESTS,
+}
+
+
+def declared_failures(df: DataFrame, tests: dict[str, list[str]], key1: str, key2: str) -> DataFrame:
+    """Failures of one table's column tests: ``check_name, key1, key2``. Null and range tests share a scan; a
+    value that is not unique is reported once, as ``key1`` with its count as ``key2``."""
+    rows = [(f"{test}_{c}", F.col(c).isNull() if test == "not_null" else outside(c, 0, 1))
+            for c, kinds in tests.items() for test in kinds if test != "unique"]
+    out = _keyed(check_suite(df, rows, list(dict.fromkeys((key1, key2)))), key1, key2)
+    for c, kinds in tests.items():
+        if "unique" in kinds:
+            repeated = check_unique(df.select(c), c).withColumn("check_name", F.lit(f"unique_{c}"))
+            out = out.unionByName(_keyed(repeated, c, "n_records"))
+    return out
+
+
+def _keyed(failures: DataFrame, key1: str, key2: str) -> DataFrame:
+    return failures.select("check_name", F.col(key1).cast("string").alias("key1"), F.col(key2).cast("string").alias("key2"))
+
+
+# the two columns that name a failing row
+KEY_COLUMNS = {"raw_observed": ("wmo_station_id", "timestamp_utc"), "raw_forecast": ("wmo_station_id", "timestamp_utc"),
+               "station_raw": ("wmo_station_id", "load_dts"), "postal_raw": ("plz", "load_dts"),
+               "stg_station": ("wmo_station_id", "station_name"), "stg_postal_area": ("plz", "load_dts"),
+               "dim_postal_area": ("id", "plz"), "dim_station": ("id", "wmo_station_id"),
+               "link": ("postal_area_id", "station_id"),
+               "fact_observed": ("wmo_station_id", "timestamp_utc"), "fact_forecast": ("wmo_station_id", "timestamp_utc"),
+               "stg_observed": ("wmo_station_id", "timestamp_utc"), "stg_forecast": ("wmo_station_id", "timestamp_utc"),
+               "mart_observed": ("plz", "timestamp_utc"), "mart_forecast": ("plz", "timestamp_utc")}
+
+
+def all_failures(t: dict[str, DataFrame], as_of: str) -> DataFrame:
+    """Failing rows of every suite and declared test over a run's tables (named as in ``KEY_COLUMNS``):
+    ``suite, check_name, key1, key2``."""
+    suites = {"station": ("stg_station", station_checks()), "postal": ("stg_postal_area", postal_checks()),
+              "observed": ("stg_observed", observed_checks()), "forecast": ("stg_forecast", forecast_checks()),
+              "mart_observed": ("mart_observed", mart_checks()), "mart_forecast": ("mart_forecast", mart_checks())}
+    parts = [(name, _keyed(check_suite(t[table], checks, KEY_COLUMNS[table]), *KEY_COLUMNS[table]))
+             for name, (table, checks) in suites.items()]
+    parts.append(("link", _keyed(link_suite(t["link"], t["dim_station"], t["dim_postal_area"]), *KEY_COLUMNS["link"])))
+    parts.append(("integrity", integrity_suite(t["stg_observed"], t["stg_forecast"], t["stg_station"], t["mart_forecast"],
+                                               t["link"], t["dim_station"], t["dim_postal_area"], as_of)))
+    parts += [(f"declared_{table}", declared_failures(t[table], tests, *KEY_COLUMNS[table]))
+              for table, tests in DECLARED_TESTS.items()]
+    out = None
+    for name, failures in parts:
+        named = failures.select(F.lit(name).alias("suite"), "check_name", "key1", "key2")
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
 def store_failures(failures: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Persist failing rows partitioned by check; the rows of all checks of an earlier write are replaced. Without
     any failure the folder holds no data file: read it with ``read_failures``."""

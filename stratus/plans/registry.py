@@ -301,7 +301,7 @@ WHERE linked.wmo_station_id IS NULL""")(
 # ------------------------------------------------------------------------------------------ incremental / streaming
 import uuid  # noqa: E402
 
-from stratus.operators.incremental import KeyedLog, VersionedTable  # noqa: E402
+from stratus.operators.incremental import KeyedLog, replace_by_key, write_fresh  # noqa: E402
 from stratus.plans import models as M  # noqa: E402
 from stratus.session import scratch_path  # noqa: E402
 from stratus.streaming import feed as FEED  # noqa: E402
@@ -338,15 +338,38 @@ def _replace_by_key(spark, d):
 @register("replace_by_key_versioned", O.with_ctes(*_STG_OBS)
           + O.final_select("stg_observed", spec.STAGED_COLUMNS, STAGED_DOUBLES))
 def _replace_by_key_versioned(spark, d):
-    """The same runs as delete+insert rewrites of a versioned table (for small tables; each run
-    rewrites the table, so large incremental tables use the keyed log above)."""
+    """The same runs as delete+insert rewrites into fresh folders (for small tables; each run rewrites the
+    table, so large incremental tables use the keyed log above)."""
     raw, runs = _runs(warehouse(spark, d).raw_weather("observed"))
-    table = VersionedTable(spark, scratch_path(spark, "stratus", f"stg_observed_v_{uuid.uuid4().hex[:8]}"))
+    root, path = scratch_path(spark, "stratus", f"stg_observed_v_{uuid.uuid4().hex[:8]}"), None
     for i in runs:
-        target = table.read()
+        target = None if path is None else spark.read.parquet(path)
         batch = M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "observed", since=target)
-        table.replace_by_key(batch, ["wmo_station_id", "timestamp_utc"])
-    return round_doubles(table.read().select(*spec.STAGED_COLUMNS))
+        path = write_fresh(batch if target is None else replace_by_key(target, batch, ["wmo_station_id", "timestamp_utc"]), root)
+    return round_doubles(spark.read.parquet(path).select(*spec.STAGED_COLUMNS))
+
+
+@register("replace_by_key_retry", O.with_ctes(*_STG_OBS) + O.final_select("stg_observed", spec.STAGED_COLUMNS, STAGED_DOUBLES))
+def _replace_by_key_retry(spark, d):
+    """Every run is appended twice, first with other measures: the later attempt holds."""
+    raw, runs = _runs(warehouse(spark, d).raw_weather("observed"))
+    table = KeyedLog(spark, scratch_path(spark, "stratus", f"stg_retry_{uuid.uuid4().hex[:8]}"), ["wmo_station_id", "timestamp_utc"])
+    for i in runs:
+        batch = materialize(M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "observed", since=table.log()), "retried")
+        table.append(batch.withColumn("temperature", -F.col("temperature")).withColumn("weather_icon", F.lit("first attempt")), i)
+        table.append(batch, i)
+    return round_doubles(table.current().select(*spec.STAGED_COLUMNS))
+
+
+@register("replace_by_key_empty_first", O.with_ctes(*_STG_OBS)
+          + O.final_select("stg_observed", spec.STAGED_COLUMNS, STAGED_DOUBLES))
+def _replace_by_key_empty_first(spark, d):
+    """The first run finds no rows; the later runs end equal to one full build."""
+    raw, runs = _runs(warehouse(spark, d).raw_weather("observed"))
+    table = KeyedLog(spark, scratch_path(spark, "stratus", f"stg_empty_{uuid.uuid4().hex[:8]}"), ["wmo_station_id", "timestamp_utc"])
+    for i in [-1, *runs]:
+        table.append(M.stg_weather(raw.filter(F.col("_run") == i).drop("_run"), "observed", since=table.log()), i)
+    return round_doubles(table.current().select(*spec.STAGED_COLUMNS))
 
 
 _RUN_SQL = f"CAST(floor(datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(load_dts AS DATE)) / {BATCH_DAYS}) AS INTEGER)"
@@ -383,6 +406,27 @@ def _hourly_feed(spark, d):
     return round_doubles(FEED.current_state(spark, f"{root}/log").select(*spec.STAGED_COLUMNS))
 
 
+@register("hourly_feed_forecast", O.with_ctes(O.raw_weather_cte("forecast"), O.stg_weather_cte("forecast", batch_key=True))
+          + O.final_select("stg_forecast_batches", spec.STAGED_COLUMNS + ("batch_id",), STAGED_DOUBLES))
+def _hourly_feed_forecast(spark, d):
+    """The forecast feed: every load date stays as a version."""
+    root = scratch_path(spark, "stratus", f"feed_{uuid.uuid4().hex[:8]}")
+    FEED.land(warehouse(spark, d).raw_weather("forecast").drop("batch_id"), f"{root}/landing")
+    q = FEED.start_hourly_feed(spark, f"{root}/landing", f"{root}/log", f"{root}/checkpoint", "forecast",
+                               max_files_per_trigger=64)
+    q.awaitTermination()
+    return round_doubles(FEED.current_state(spark, f"{root}/log", "forecast").select(*spec.STAGED_COLUMNS, "batch_id"))
+
+
+# ------------------------------------------------------------------------------------------ surrogate ids
+from stratus.operators.keys import surrogate_key  # noqa: E402
+
+register("surrogate_key_lineitem", """SELECT row_number() OVER (ORDER BY l_orderkey) AS id, l_orderkey
+FROM (SELECT DISTINCT l_orderkey FROM lineitem) t""")(
+    lambda spark, d: surrogate_key(warehouse(spark, d).table("lineitem").select("l_orderkey").distinct(), "l_orderkey")
+    .select("id", "l_orderkey"))
+
+
 # ------------------------------------------------------------------------------------------ landing readers
 from stratus.functions.geometry import geom_from_wkt, geom_to_wkt  # noqa: E402
 from stratus.sources import landing as LD  # noqa: E402
@@ -529,6 +573,33 @@ def _pipeline_mart(spark, d):
     return round_doubles(_pipeline(spark, d).tables["mart_forecast"].select(*MART_COLS))
 
 
+def _pipeline_runs(spark, d):
+    """One hourly run per ten load days and an empty one between; each run sees the raw rows of its days."""
+    wh = warehouse(spark, d)
+    root = scratch_path(spark, "stratus", f"warehouse_{uuid.uuid4().hex[:8]}")
+    obs, runs = _runs(wh.raw_weather("observed"))
+    fc, _ = _runs(wh.raw_weather("forecast").drop("batch_id"))
+    res = None
+    for n in [0, -1, *runs[1:]]:
+        res = hourly_run(spark, root, n, obs.filter(F.col("_run") == n).drop("_run"), fc.filter(F.col("_run") == n).drop("_run"),
+                         wh.station_raw(), wh.postal_raw(), wh.as_of, previous=res)
+    return res
+
+
+register("hourly_pipeline_runs_observed", ORACLES["mart_observed"])(
+    lambda spark, d: round_doubles(_pipeline_runs(spark, d).tables["mart_observed"].select(*MART_COLS)))
+
+register("hourly_pipeline_runs_forecast", O.with_ctes(O.raw_weather_cte("forecast"), f"""runs AS (
+  SELECT DISTINCT ON (wmo_station_id, timestamp_utc, run) * FROM (SELECT *, {_RUN_SQL} AS run FROM raw_forecast) t
+  WHERE temperature IS NOT NULL ORDER BY wmo_station_id, timestamp_utc, run, load_dts DESC NULLS FIRST
+),
+stg_versions AS (
+  {O.staged_select('runs')}
+)""", *_FACT_BASE, O.fact_cte("forecast", "stg_versions"), O.mart_cte("forecast"))
+         + O.final_select("mart_forecast", MART_COLS, MART_DOUBLES))(
+    lambda spark, d: round_doubles(_pipeline_runs(spark, d).tables["mart_forecast"].select(*MART_COLS)))
+
+
 @register("store_failures", O.with_ctes(*_STG_OBS, *_STG_FC, *_FACT_BASE,
                                         O.fact_cte("forecast", "stg_forecast_batches"), O.mart_cte("forecast"),
                                         f"failures AS ({O.INTEGRITY_SQL})")

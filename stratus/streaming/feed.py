@@ -31,7 +31,10 @@ RAW_SCHEMA = T.StructType([
     T.StructField("load_date", T.DateType()),
 ])
 
-KEYS = {"observed": ["wmo_station_id", "timestamp_utc"]}
+KEYS = {
+    "observed": ["wmo_station_id", "timestamp_utc"],
+    "forecast": ["wmo_station_id", "timestamp_utc", "batch_id"],  # every load date is a version
+}
 
 
 def land(raw: DataFrame, landing: str) -> None:
@@ -48,7 +51,10 @@ def start_hourly_feed(spark: SparkSession, landing: str, log_path: str, checkpoi
     log = KeyedLog(spark, log_path, KEYS[kind])
 
     def process(batch: DataFrame, epoch: int) -> None:
-        log.append(models.stg_weather(batch.drop("load_date"), kind), epoch)
+        versions = kind == "forecast"
+        if versions:
+            batch = batch.withColumn("batch_id", F.col("load_date"))
+        log.append(models.stg_weather(batch.drop("load_date"), kind, batch_key=versions), epoch)
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")

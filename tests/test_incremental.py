@@ -2,8 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from stratus.operators.incremental import (KeyedLog, VersionedTable, append_versions, evolve_schema, incremental_filter,
-                                           replace_by_key)
+from stratus.operators.incremental import (KeyedLog, append_versions, evolve_schema, incremental_filter, replace_by_key,
+                                           write_fresh)
 
 
 def _df(spark, rows):
@@ -35,15 +35,15 @@ def test_incremental_filter_empty_target_takes_all(spark):
     assert incremental_filter(raw, raw.filter(F.col("v") == 1.0)).count() == 1
 
 
-def test_versioned_table_and_schema_evolution(spark, tmp_dir):
-    t = VersionedTable(spark, tmp_dir + "/tbl")
-    assert t.read() is None
-    t.replace_by_key(_df(spark, [("a", 1, 1.0, T0)]), ["k", "h"])
-    t.replace_by_key(_df(spark, [("a", 1, 2.0, T1)]).withColumn("extra", F.lit("x")), ["k", "h"])
-    rows = t.read().collect()
-    assert [(r.v, r.extra) for r in rows] == [(2.0, "x")]
+def test_fresh_folders_and_schema_evolution(spark, tmp_dir):
+    first = write_fresh(_df(spark, [("a", 1, 1.0, T0)]), tmp_dir + "/tbl")
+    batch = _df(spark, [("a", 1, 2.0, T1)]).withColumn("extra", F.lit("x"))
+    second = write_fresh(replace_by_key(spark.read.parquet(first), batch, ["k", "h"]), tmp_dir + "/tbl")
+    assert first != second and spark.read.parquet(first).count() == 1
+    now = spark.read.parquet(second)
+    assert [(r.v, r.extra) for r in now.collect()] == [(2.0, "x")]
     old = _df(spark, [("b", 1, 1.0, T0)])
-    assert evolve_schema(old, t.read().schema).columns[-1] == "extra"
+    assert evolve_schema(old, now.schema).columns[-1] == "extra"
 
 
 def test_keyed_log_retry_and_group_replace(spark, tmp_dir):
