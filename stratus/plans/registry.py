@@ -611,6 +611,28 @@ def _store_failures(spark, d):
     return spark.read.parquet(path).select("check_name", "key1", "key2")
 
 
+# ------------------------------------------------------------------------------------------ every check fires
+from stratus.plans import dirt  # noqa: E402
+
+
+@register("check_all_summary", O.with_ctes(
+    *_STG_OBS, *_STG_FC, *_FACT_BASE, O.fact_cte("observed", "stg_observed"), O.fact_cte("forecast", "stg_forecast_batches"),
+    O.mart_cte("observed"), O.mart_cte("forecast"), *[dirt.dirty_cte(t) for t in dirt.RULES]) + dirt.summary_sql())
+def _check_all_summary(spark, d):
+    """Failures per suite and check, declared column tests included, over tables with planted faults (dirt.py)."""
+    wh = warehouse(spark, d)
+    t = {"raw_observed": wh.raw_weather("observed"), "raw_forecast": wh.raw_weather("forecast"),
+         "station_raw": wh.station_raw(), "postal_raw": wh.postal_raw(), "stg_station": wh.stg_station(),
+         "stg_postal_area": wh.stg_postal_area(), "dim_station": wh.dim_station(), "dim_postal_area": wh.dim_postal_area(),
+         "link": wh.link}
+    for kind in ("observed", "forecast"):
+        t[f"stg_{kind}"] = materialize(wh.stg(kind), "stg")
+        t[f"fact_{kind}"] = materialize(wh.fact(kind, t[f"stg_{kind}"]), "fact")
+        t[f"mart_{kind}"] = materialize(M.mart_weather(t[f"fact_{kind}"], wh.dim_postal_area(), sort=False), "mart")
+    failures = Q.all_failures({name: dirt.dirty(df, name) for name, df in t.items()}, wh.as_of)
+    return failures.groupBy("suite", "check_name").agg(F.count(F.lit(1)).alias("failures"))
+
+
 # ------------------------------------------------------------------------------------------ raw scans, schema evolution
 from stratus.sources.raw_tables import scan_raw  # noqa: E402
 
