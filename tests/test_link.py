@@ -120,12 +120,3 @@ def test_non_convex_polygons_match_brute_force(spark):
     got = {r.postal_area_id: [r.station_id] for r in nearest_link(a, s).collect()}
     want = _expected(areas, stations, 1)
     assert got == want
-
-
-def test_one_area_a_thousand_medians_wide_and_a_far_cluster(spark):
-    areas, stations = _fixture(5, n_areas=12, n_st=30)
-    areas.append((99, [[[(-20000, -20000), (20000, -20000), (20000, 20000), (-20000, 20000)]]]))
-    stations += [(100 + i, 30000.0 + i % 7, 30000.0 + i // 7) for i in range(40)]
-    a, s = _frames(spark, areas, stations)
-    got = {r.postal_area_id: [r.station_id] for r in nearest_link(a, s).collect()}
-    assert got == _expected(areas, stations, 1)
