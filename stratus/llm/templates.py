@@ -6,9 +6,11 @@ things are then taken away:
 1. What is never text: scripts, styles, comments in the markup, forms, media.
 2. What the page itself marks as surroundings: ``nav``, ``header``, ``footer``, ``aside``, ``form`` and
    the like, ARIA roles, and elements whose class or id names a menu, an advert, a notice, comments.
-3. The site's template: every element subtree is hashed (tags and text); in Spark the pages of a host that
-   hold a subtree are counted, and subtrees that stand on ``MANY`` different pages of it are deleted.
-   Pages that are copies of each other count as one, so an article that was crawled often stays.
+3. The site's template: every element subtree is hashed (tags and text); in Spark the different pages of a
+   host are counted, and those of them that hold a subtree. Subtrees of ``CUT`` elements (blocks that hold
+   others; no inline elements, headings, list items or table cells on their own) that stand on at least
+   ``SHARE`` of the host's pages, and on ``MANY`` at least, are deleted. Pages that are copies of each other
+   count as one, so an article that was crawled often stays.
 
 Subtrees are deleted outside ``article`` and ``main`` elements only: a passage that many articles of a
 site share is text. If a page has such an element, only its (their) text is the main text; else what is left of the
@@ -36,13 +38,15 @@ from pyspark.sql import functions as F
 from stratus.llm.linkgraph import host_of
 from stratus.llm.tables import written
 
-MANY, SALTS = 5, 16
+MANY, SHARE, SALTS = 5, 0.5, 16
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template svg math iframe object canvas audio video select textarea title head".split())
 AROUND = frozenset("nav header footer aside form button dialog menu fieldset".split())
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
                    "option p pre section summary table tbody td tfoot th thead tr ul".split())
+CUT = frozenset("address aside blockquote center details dialog dir div dl fieldset figure footer form header hgroup "
+                "menu nav ol p pre section table ul".split())
 MAIN = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NAMES = re.compile(
@@ -155,13 +159,13 @@ def digest(root: Element) -> None:
 
 
 def candidates(root: Element) -> set[int]:
-    """Subtrees that template removal may delete: with text, outside main elements."""
+    """Subtrees that template removal may delete: ``CUT`` elements with content, outside main elements."""
     out, todo = set(), [root]
     while todo:
         e = todo.pop()
         for k in e.kids:
             if isinstance(k, Element) and k.tag not in HIDDEN and k.tag not in MAIN:
-                if k.tag not in ("html", "body") and k.kids:
+                if k.tag in CUT and k.kids:
                     out.add(k.digest)
                 todo.append(k)
     return out
@@ -187,7 +191,7 @@ def fragments(root: Element) -> list[tuple[str, bool, list[int] | None]]:
             elif isinstance(x, str):
                 out.append((x, False, chain))
             elif x is top or not (x.tag in HIDDEN or x.around):
-                inner = (*chain, x.digest) if not mains and x.kids and x.tag not in ("", "html", "body") else chain
+                inner = (*chain, x.digest) if not mains and x.kids and x.tag in CUT else chain
                 if x.tag in BLOCKS:
                     out.append(("", True, inner))
                     walk.append((None, inner))
@@ -244,18 +248,20 @@ def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
-def template_subtrees(held: DataFrame, many: int = MANY) -> DataFrame:
-    """``host, subtree`` of the subtrees that stand on ``many`` different pages of a host."""
+def template_subtrees(held: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
+    """``host, subtree`` of the subtrees that stand on ``share`` of a host's different pages, on ``many`` at least."""
+    pages = held.groupBy("host").agg(F.count("*").alias("pages"))
     return held.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree") \
-        .agg(F.count("*").alias("n")).where(F.col("n") >= many).select("host", "subtree")
+        .agg(F.count("*").alias("n")).where(F.col("n") >= many) \
+        .join(pages, "host").where(F.col("n") >= share * F.col("pages")).select("host", "subtree")
 
 
-def extract(pages: DataFrame, many: int = MANY) -> DataFrame:
+def extract(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
     read = written(pages.mapInArrow(_read, READ), "read")
     held = read.select("host", "page", "subtrees").dropDuplicates(["host", "page"])
-    frequent = template_subtrees(held, many).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    frequent = template_subtrees(held, many, share).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     open_pages = read.where("text IS NULL")
     on_page = open_pages.select("host", "page", "subtrees").dropDuplicates(["host", "page"]) \
         .select("host", "page", F.pmod("page", F.lit(SALTS)).cast("int").alias("salt"), F.explode("subtrees").alias("subtree")) \

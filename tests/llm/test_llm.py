@@ -182,6 +182,15 @@ def test_templates(spark):
     assert got[30].text == "" and len(got) == len(rows)
 
 
+def test_templates_keep_what_some_pages_share(spark):
+    page = "<body><div>Menu of the site</div><h2>Introduction</h2><p>From <a>Berlin</a>, <em>not</em> {0}{1}<table><tr><td>0</td><td>{0}</td></table></body>"
+    quote = "<blockquote>To be or not</blockquote>"
+    rows = [(i, "http://d.org/", page.format(f"word{i}", quote if i < 12 else "")) for i in range(40)]
+    got = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        assert got[i] == f"Introduction From Berlin, not word{i}{' To be or not' if i < 12 else ''} 0 word{i}"
+
+
 def test_mix_meets_targets(spark, docs):
     rng = random.Random(8)
     rows = [(i, prose(rng, rng.randrange(5, 60)), "aa" if i % 4 else "bb", f"s{i % 3 and 1}") for i in range(3000)]
