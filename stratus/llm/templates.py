@@ -5,7 +5,9 @@ things are then taken away:
 
 1. What is never text: scripts, styles, comments in the markup, forms, media.
 2. What the page itself marks as surroundings: ``nav``, ``header``, ``footer``, ``aside``, ``form`` and
-   the like, ARIA roles, and elements whose class or id names a menu, an advert, a notice, comments.
+   the like, ARIA roles, and elements with a whole class or id that names a menu, an advert, a notice, comments.
+   A name is no ground where the element holds the page's only ``article`` or ``main``, or one and most of
+   the page's text, or, on a page without any, most of its text.
 3. The site's template: every element subtree is hashed (tags and text); in Spark the different pages of a
    host are counted, and those of them that hold a subtree. Subtrees of ``CUT`` elements (blocks that hold
    others; no inline elements, headings, list items or table cells on their own) that stand on at least
@@ -50,9 +52,9 @@ CUT = frozenset("address aside blockquote center details dialog dir div dl field
 MAIN = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|newsletter|subscribe|popup|"
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|newsletter|subscribe|popup|"
     r"modal|nav|navbar|navigation|menu|breadcrumbs?|sidebar|footer|header|masthead|comments?|disqus|replies|respond|"
-    r"share|sharing|social|related|recommended|pagination|pager|widget|toolbar|login|signup|search)(?:$|[\s_-])", re.I)
+    r"share|sharing|social|related|recommended|pagination|pager|widget|toolbar|login|signup|search", re.I)
 RAW = frozenset(("script", "style", "textarea", "title"))  # no tags inside
 P_ENDS = BLOCKS - {"br", "caption", "legend", "option", "summary", "td", "th", "tr", "tbody", "thead", "tfoot", "html", "body"}
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -63,31 +65,32 @@ SPACES = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "around", "kids", "digest")
+    __slots__ = ("tag", "around", "named", "kids", "digest")
 
-    def __init__(self, tag: str, around: bool) -> None:
-        self.tag, self.around, self.kids, self.digest = tag, around, [], 0
+    def __init__(self, tag: str, around: bool, named: bool) -> None:
+        self.tag, self.around, self.named, self.kids, self.digest = tag, around, named, [], 0
 
 
-def _around(tag: str, attributes: str) -> bool:
+def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is surroundings by its tag, role or being hidden, and whether by a class or id alone."""
     if tag in AROUND:
-        return True
+        return True, False
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    named = False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "role" and value.strip().lower() in ROLES:
-            return True
-        if name in ("class", "id") and NAMES.search(value):
-            return True
+            return True, False
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-    return False
+            return True, False
+        named = named or name in ("class", "id") and any(NAMES.fullmatch(x) for x in value.split())
+    return False, named
 
 
 def parse(html: str) -> Element:
     """The tree of a page: kids are elements and decoded strings."""
-    root = Element("", False)
+    root = Element("", False, False)
     stack = [root]
     at, n = 0, len(html)
 
@@ -122,7 +125,7 @@ def parse(html: str) -> Element:
             close({"p"}, {"td", "th", "button", "li", "div", "section", "article", "main", "blockquote", "body"})
         if tag in SAME_ENDS:
             close(SAME_ENDS[tag], SCOPES[tag])
-        element = Element(tag, _around(tag, m[3]))
+        element = Element(tag, *_marks(tag, m[3]))
         stack[-1].kids.append(element)
         if tag in VOID or m[3].endswith("/"):
             continue
@@ -131,6 +134,7 @@ def parse(html: str) -> Element:
             at = end.end() if end else n
             continue
         stack.append(element)
+    _settle(root)
     return root
 
 
@@ -146,6 +150,30 @@ def _walk(root: Element) -> Iterator[tuple[Element, list]]:
             todo.extend((k, False) for k in reversed(e.kids) if isinstance(k, Element))
 
 
+def _settle(root: Element) -> None:
+    """Names become ``around`` but for elements that hold what the page is about (see above)."""
+    sizes: dict[int, tuple[int, bool]] = {}  # text and main elements outside what is surroundings anyway
+    for e in _walk(root):
+        size, holds = 0, e.tag in MAIN
+        for k in e.kids:
+            if isinstance(k, str):
+                size += len(k.strip())
+            elif k.tag not in HIDDEN and not k.around:
+                size, holds = size + sizes[id(k)][0], holds or sizes[id(k)][1]
+        sizes[id(e)] = size, holds
+    whole, mains = sizes[id(root)]
+    todo, plain = [root], False  # is a main element outside all named ones?
+    while todo and not plain:
+        e = todo.pop()
+        plain = e.tag in MAIN
+        todo.extend(k for k in e.kids if isinstance(k, Element) and k.tag not in HIDDEN and not (k.around or k.named))
+    for e in _walk(root):
+        if e.named:
+            size, holds = sizes[id(e)]
+            most = 2 * size > whole
+            e.around = e.around or not ((holds and (most or not plain)) if mains else most)
+
+
 def digest(root: Element) -> None:
     """Hash of each element's subtree: tags and text, white space folded."""
     for e in _walk(root):

@@ -191,6 +191,15 @@ def test_templates_keep_what_some_pages_share(spark):
         assert got[i] == f"Introduction From Berlin, not word{i}{' To be or not' if i < 12 else ''} 0 word{i}"
 
 
+def test_templates_names_do_not_drop_the_page(spark):
+    pages = ["<body class=x><div class='has-sidebar'><article>own text<div class='sidebar'>s</div></article></div><div class='related'><article>t</article></div>",
+             "<div class='page sidebar'><article>own text</article></div>", "<div id=header><p>own</p> text</div><div class=menu>m</div>",
+             "<article><p class='entry-header'>own</p><p class='social-science'>text</p><div class='my comments'>c</div></article>"]
+    rows = [(i, f"http://e{i}.org/", p) for i, p in enumerate(pages)]
+    got = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == dict.fromkeys(range(4), "own text")
+
+
 def test_mix_meets_targets(spark, docs):
     rng = random.Random(8)
     rows = [(i, prose(rng, rng.randrange(5, 60)), "aa" if i % 4 else "bb", f"s{i % 3 and 1}") for i in range(3000)]
