@@ -11,16 +11,16 @@ things are then taken away:
 3. The site's template: every element subtree is hashed (tags and text); in Spark the different pages of a
    host are counted, and those of them that hold a subtree. Subtrees of ``CUT`` elements (blocks that hold
    others; no inline elements, headings, list items or table cells on their own) that stand on at least
-   ``SHARE`` of the host's pages, and on ``MANY`` at least, are deleted. Pages that are copies of each other
-   count as one, so an article that was crawled often stays.
+   ``SHARE`` of the host's pages, and on ``MANY`` at least, are deleted, inside ``article`` and ``main``
+   elements as elsewhere; a passage that fewer pages of a site share is text. Pages that are copies of each
+   other, or whose ``article`` and ``main`` elements are, count as one, so an article that was crawled often stays.
 
-Subtrees are deleted outside ``article`` and ``main`` elements only: a passage that many articles of a
-site share is text. If a page has such an element, only its (their) text is the main text; else what is left of the
-body. Block elements end a block of text; white space in a block becomes one space; blocks are joined by
-one. Character references are decoded.
+Where the ``article`` and ``main`` elements hold at least ``MAIN_PART`` of the text that is left, only theirs
+is the main text; else all that is left of the body. An ``article`` named as a comment is surroundings. Block
+elements end a block of text; white space in a block becomes one space; blocks are joined by one. Character
+references are decoded.
 
-Counting is partial before the shuffle; a host with a third of all pages is spread over its subtrees'
-hashes, and its frequent subtrees meet its pages in ``SALTS`` parts.
+A host with a third of all pages is spread over its subtrees' hashes when they are counted, and its frequent subtrees meet its pages in ``SALTS`` parts.
 
 Defined cases: null or blank html: empty text. A null url is a host of its own. Repeated rows are
 extracted each. Other columns are ignored. An empty table gives no rows.
@@ -40,14 +40,14 @@ from pyspark.sql import functions as F
 from stratus.llm.linkgraph import host_of
 from stratus.llm.tables import written
 
-MANY, SHARE, SALTS = 5, 0.5, 16
+MANY, SHARE, MAIN_PART, SALTS = 5, 0.5, 1 / 3, 16
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template svg math iframe object canvas audio video select textarea title head".split())
 AROUND = frozenset("nav header footer aside form button dialog menu fieldset".split())
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
                    "option p pre section summary table tbody td tfoot th thead tr ul".split())
-CUT = frozenset("address aside blockquote center details dialog dir div dl fieldset figure footer form header hgroup "
+CUT = frozenset("address article aside blockquote center details dialog dir div dl fieldset figure footer form header hgroup "
                 "menu nav ol p pre section table ul".split())
 MAIN = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -55,6 +55,7 @@ NAMES = re.compile(
     r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|newsletter|subscribe|popup|"
     r"modal|nav|navbar|navigation|menu|breadcrumbs?|sidebar|footer|header|masthead|comments?|disqus|replies|respond|"
     r"share|sharing|social|related|recommended|pagination|pager|widget|toolbar|login|signup|search", re.I)
+COMMENT = re.compile(r"comments?|comment-body|(?:div-)?comment-\d+|reply|replies", re.I)
 RAW = frozenset(("script", "style", "textarea", "title"))  # no tags inside
 P_ENDS = BLOCKS - {"br", "caption", "legend", "option", "summary", "td", "th", "tr", "tbody", "thead", "tfoot", "html", "body"}
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -75,9 +76,12 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
     """Whether an element is surroundings by its tag, role or being hidden, and whether by a class or id alone."""
     if tag in AROUND:
         return True, False
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return False, False
     named = False
+    if tag == "article":
+        return any(COMMENT.fullmatch(x) for name, a, b, c in ATTRIBUTE.findall(attributes)
+                   if name.lower() in ("class", "id") for x in (a or b or c).split()), False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "role" and value.strip().lower() in ROLES:
@@ -186,100 +190,97 @@ def digest(root: Element) -> None:
         e.digest = int.from_bytes(h.digest(), "little", signed=True)
 
 
-def candidates(root: Element) -> set[int]:
-    """Subtrees that template removal may delete: ``CUT`` elements with content, outside main elements."""
-    out, todo = set(), [root]
-    while todo:
-        e = todo.pop()
-        for k in e.kids:
-            if isinstance(k, Element) and k.tag not in HIDDEN and k.tag not in MAIN:
-                if k.tag in CUT and k.kids:
-                    out.add(k.digest)
-                todo.append(k)
-    return out
-
-
-def fragments(root: Element) -> list[tuple[str, bool, list[int] | None]]:
-    """The page's text without its surroundings, in page order: ``text, ends its block, the subtrees it stands
-    in``. With a main element: only the text of that, joined already, in one fragment without subtrees."""
-    mains, todo = [], [root]
-    while todo:
-        e = todo.pop()
-        if e.tag in MAIN:
-            mains.append(e)  # one inside another is part of it
+def fragments(root: Element) -> tuple[list[tuple[int, int, bool]], list[tuple[str | None, int]]]:
+    """The page's text without its surroundings. Nodes: the ``CUT`` and main elements that text may stand in, as
+    ``the node around it (-1: none), its subtree, in a main element``; an element that is not to be cut has
+    subtree 0. Parts, in page order: ``text, the node it stands in``; text null ends a block."""
+    nodes: list = []
+    parts: list = [(None, -1)]
+    walk: list = [(root, -1)]
+    while walk:
+        x, at = walk.pop()
+        if x is None or not isinstance(x, str) and x.tag in BLOCKS:
+            if parts[-1][0] is not None:
+                parts.append((None, -1))
+        if x is None:
             continue
-        todo.extend(k for k in reversed(e.kids) if isinstance(k, Element) and k.tag not in HIDDEN and not k.around)
-    out: list = []
-    for top in mains or [root]:
-        walk: list = [(top, ())]
-        while walk:
-            x, chain = walk.pop()
-            if x is None:
-                out.append(("", True, chain))
-            elif isinstance(x, str):
-                out.append((x, False, chain))
-            elif x is top or not (x.tag in HIDDEN or x.around):
-                inner = (*chain, x.digest) if not mains and x.kids and x.tag in CUT else chain
-                if x.tag in BLOCKS:
-                    out.append(("", True, inner))
-                    walk.append((None, inner))
-                walk.extend((k, inner) for k in reversed(x.kids))
-            elif x.tag in BLOCKS:
-                out.append(("", True, chain))
-        out.append(("", True, ()))
-    if mains:
-        return [(joined(out, ()), True, None)]
-    return out
-
-
-def joined(parts: list, template) -> str:
-    """The text of the fragments outside ``template``: white space folded in blocks, blocks joined by a space."""
+        if isinstance(x, str):
+            if parts[-1][0] is not None and parts[-1][1] == at:
+                parts[-1] = (parts[-1][0] + x, at)
+            elif x.strip() or parts[-1][0] is not None:
+                parts.append((x, at))
+        elif not (x.tag in HIDDEN or x.around):
+            inner = at
+            if x.kids and (x.tag in CUT or x.tag in MAIN):
+                nodes.append((at, x.digest if x.tag in CUT else 0, x.tag in MAIN or at >= 0 and nodes[at][2]))
+                inner = len(nodes) - 1
+            if x.tag in BLOCKS:
+                walk.append((None, inner))
+            walk.extend((k, inner) for k in reversed(x.kids))
+    return nodes, parts
+
+
+def main_text(nodes: list, parts: list, template: set) -> tuple[str, bool]:
+    """The main text when the subtrees of ``template`` are deleted, and whether it is that of main elements alone."""
+    gone: list[bool] = []
+    for up, subtree, _ in nodes:
+        gone.append(subtree in template or up >= 0 and gone[up])
+    left = [(text, at) for text, at in parts if text is None or at < 0 or not gone[at]]
+    whole = joined(left)
+    mains = joined([(text, at) for text, at in left if text is None or at >= 0 and nodes[at][2]])
+    return (mains, True) if mains and len(mains) >= MAIN_PART * len(whole) else (whole, False)
+
+
+def joined(parts: list) -> str:
+    """White space folded in blocks, blocks joined by a space."""
     blocks: list[str] = []
     line: list[str] = []
-    for text, ends, chain in parts:
-        if ends:
+    for text, _ in [*parts, (None, -1)]:
+        if text is not None:
+            line.append(text)
+        elif line:
             if s := SPACES.sub(" ", "".join(line)).strip():
                 blocks.append(s)
             line.clear()
-        elif not template or not any(c in template for c in chain or ()):
-            line.append(text)
     return " ".join(blocks)
 
 
-READ = ("page_id long, url string, host string, page long, subtrees array<long>, text string, "
-        "parts array<struct<text:string,ends:boolean,chain:array<long>>>")
+READ = ("page_id long, url string, host string, page long, story long, ups array<int>, subtrees array<long>, "
+        "mains array<boolean>, texts array<string>, places array<int>")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part = pa.list_(pa.struct([("text", pa.string()), ("ends", pa.bool_()), ("chain", pa.list_(pa.int64()))]))
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()),
+             pa.list_(pa.string()), pa.list_(pa.int32()))
     for batch in batches:
-        whole, subtrees, texts, parts = [], [], [], []
+        rows = []
         for html in batch.column(3).to_pylist():
             root = parse(html or "")
             digest(root)
-            found = fragments(root)
-            whole.append(root.digest)
-            subtrees.append(sorted(candidates(root)))
-            final = len(found) == 1 and found[0][2] is None
-            texts.append(found[0][0] if final else None)
-            parts.append(None if final else [{"text": t, "ends": e, "chain": list(c)} for t, e, c in found])
-        yield pa.RecordBatch.from_arrays([
-            *batch.columns[:3], pa.array(whole, pa.int64()), pa.array(subtrees, pa.list_(pa.int64())),
-            pa.array(texts, pa.string()), pa.array(parts, part)],
-            ["page_id", "url", "host", "page", "subtrees", "text", "parts"])
+            nodes, parts = fragments(root)
+            text, mains = main_text(nodes, parts, set())
+            story = int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+            ups, subtrees, inside = zip(*nodes) if nodes else ((), (), ())
+            texts, places = zip(*parts)
+            rows.append((root.digest, story if mains else root.digest, ups, subtrees, inside, texts, places))
+        columns = zip(*rows) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], *(pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True))],
+            ["page_id", "url", "host", "page", "story", "ups", "subtrees", "mains", "texts", "places"])
 
 
 def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [joined([(p["text"], p["ends"], p["chain"]) for p in parts], set(template or ()))
-                 for parts, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        rows = zip(*(batch.column(i).to_pylist() for i in range(2, 8)), strict=True)
+        texts = [main_text(list(zip(ups, subtrees, mains)), list(zip(texts, places)), set(template or ()))[0]
+                 for ups, subtrees, mains, texts, places, template in rows]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
 def template_subtrees(held: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
     """``host, subtree`` of the subtrees that stand on ``share`` of a host's different pages, on ``many`` at least."""
-    pages = held.groupBy("host").agg(F.count("*").alias("pages"))
-    return held.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree") \
+    pages = held.select("host", "story").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    return held.select("host", "story", F.explode("subtrees").alias("subtree")).distinct().groupBy("host", "subtree") \
         .agg(F.count("*").alias("n")).where(F.col("n") >= many) \
         .join(pages, "host").where(F.col("n") >= share * F.col("pages")).select("host", "subtree")
 
@@ -288,14 +289,13 @@ def extract(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFra
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
     read = written(pages.mapInArrow(_read, READ), "read")
-    held = read.select("host", "page", "subtrees").dropDuplicates(["host", "page"])
+    held = read.select("host", "page", "story", F.array_remove(F.array_distinct("subtrees"), F.lit(0).cast("long")).alias("subtrees"))
     frequent = template_subtrees(held, many, share).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    open_pages = read.where("text IS NULL")
-    on_page = open_pages.select("host", "page", "subtrees").dropDuplicates(["host", "page"]) \
-        .select("host", "page", F.pmod("page", F.lit(SALTS)).cast("int").alias("salt"), F.explode("subtrees").alias("subtree")) \
+    # written, so that few templates are known to be few before the pages' texts would be shuffled
+    on_page = written(held.select("host", "page", F.pmod("page", F.lit(SALTS)).cast("int").alias("salt"), F.explode("subtrees").alias("subtree")) \
         .join(frequent, ["host", "salt", "subtree"]) \
-        .groupBy("host", "page").agg(F.collect_set("subtree").alias("template"))
-    cleared = open_pages.join(on_page, ["host", "page"], "left").select("page_id", "url", "parts", "template") \
-        .mapInArrow(_delete, "page_id long, url string, text string")
-    done = read.where("text IS NOT NULL").select("page_id", "url", "text")
-    return done.union(cleared).withColumn("n_chars", F.char_length("text").cast("long"))
+        .groupBy("host", "page").agg(F.collect_set("subtree").alias("template")), "on_page")
+    return read.join(on_page, ["host", "page"], "left") \
+        .select("page_id", "url", "ups", "subtrees", "mains", "texts", "places", "template") \
+        .mapInArrow(_delete, "page_id long, url string, text string") \
+        .withColumn("n_chars", F.char_length("text").cast("long"))

@@ -200,6 +200,21 @@ def test_templates_names_do_not_drop_the_page(spark):
     assert got == dict.fromkeys(range(4), "own text")
 
 
+def test_templates_with_articles(spark):
+    own = "<body><div>Menu</div><article><div><p>Read our other stories</p></div><p>story {0}{1}</article><div>Side {0}</div>"
+    rows = [(i, "http://f.org/", own.format(i, "<p>shared passage</p>" if i < 12 else "")) for i in range(30)]
+    rows += [(40 + i, "http://g.org/", f"<body><div>Ticket {i}</div><article>one story</article>") for i in range(9)]
+    body = "<body><p>the long text of the page, number {0}, has no mark at all</p>{1}"
+    rows += [(60, "http://h.org/", body.format(0, "<article>Teaser</article>")),
+             (61, "http://h.org/", body.format(1, "<article class='comment odd'>First! I was here, and I have so much to say on it</article>"))]
+    got = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(30):
+        assert got[i] == f"story {i}{' shared passage' if i < 12 else ''}"
+    assert all(got[40 + i] == "one story" for i in range(9))  # nine pages, one article
+    assert got[60] == "the long text of the page, number 0, has no mark at all Teaser"
+    assert got[61] == "the long text of the page, number 1, has no mark at all"
+
+
 def test_mix_meets_targets(spark, docs):
     rng = random.Random(8)
     rows = [(i, prose(rng, rng.randrange(5, 60)), "aa" if i % 4 else "bb", f"s{i % 3 and 1}") for i in range(3000)]
