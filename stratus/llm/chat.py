@@ -65,19 +65,31 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     ).select("conv_id", F.concat_ws("", F.col("pieces.piece")).alias("formatted"), "examples")
 
 
+def _pieces() -> Column:
+    split = F.split("formatted", CLOSE)
+    return F.slice(split, 1, F.size(split) - 1)
+
+
 def prefix_target_examples(formatted: DataFrame) -> DataFrame:
-    """One row per assistant turn: ``conv_id, turn_no, context_chars, target, loss_chars``. ``target`` is the
-    reply as written in the formatted conversation, end mark included; its first ``loss_chars`` characters
-    are trainable, its end mark and the whole context are not."""
-    turn_texts = F.split("formatted", CLOSE)
-    rows = formatted.select("conv_id", turn_texts.alias("pieces"), F.explode("examples").alias("e"))
-    piece = F.get("pieces", F.col("e.turn_no"))
-    text = F.substring(piece, F.char_length(piece) - (F.col("e.loss_end") - F.col("e.context_chars")).cast("int") + 1,
-                       F.char_length(piece))
-    return rows.select(
-        "conv_id", F.col("e.turn_no").alias("turn_no"), F.col("e.context_chars").alias("context_chars"),
-        F.concat(text, F.lit(CLOSE)).alias("target"),
-        (F.col("e.loss_end") - F.col("e.context_chars")).alias("loss_chars"))
+    """One row per assistant turn: ``conv_id, turn_no, context_chars, target, loss_chars``. ``target`` is what stands
+    in the formatted conversation from the end of the context on, up to the end mark of the turn; its first
+    ``loss_chars`` characters are trainable, its end mark and the whole context are not. It is null where the
+    spans do not fit the text. The turns before an example are only counted, so the work is linear."""
+    null = lambda kind: F.lit(None).cast(kind)
+    turns = F.transform(_pieces(), lambda p, i: F.struct(
+        i.alias("turn_no"), p.alias("piece"), null("long").alias("context_chars"), null("long").alias("loss_end")))
+    examples = F.transform("examples", lambda e: F.struct(
+        e.turn_no.alias("turn_no"), null("string").alias("piece"), e.context_chars.alias("context_chars"), e.loss_end.alias("loss_end")))
+    upto = Window.partitionBy("conv_id").orderBy("turn_no", F.col("context_chars").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = formatted.select("conv_id", F.inline(F.concat(turns, examples))).select(
+        "conv_id", "turn_no", "context_chars", (F.col("loss_end") - F.col("context_chars")).alias("loss_chars"),
+        F.last("piece", ignorenulls=True).over(upto).alias("piece"),
+        F.sum(F.char_length("piece").cast("long") + len(CLOSE)).over(upto).alias("end")).where("context_chars IS NOT NULL")
+    head = F.col("context_chars") - (F.col("end") - len(CLOSE) - F.char_length("piece"))  # of the turn's piece
+    fits = (head >= 0) & (head + F.col("loss_chars") == F.char_length("piece"))
+    target = F.concat(F.substring("piece", head.cast("int") + 1, F.char_length("piece")), F.lit(CLOSE))
+    return rows.select("conv_id", "turn_no", "context_chars", F.when(fits, target).alias("target"), "loss_chars")
 
 
 def with_context(formatted: DataFrame) -> DataFrame:
@@ -92,26 +104,27 @@ def with_context(formatted: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digest of what the output holds: the turns parsed from each formatted conversation, and the text under
-    the loss mask of its examples."""
-    split = F.split("formatted", CLOSE)
-    pieces = F.slice(split, 1, F.size(split) - 1)
+    """Digest of what the output holds: the turns parsed from each formatted conversation, joined with the
+    trainable texts of its examples, one of each assistant turn (null where not all of those could be read)."""
     # role and text, each still escaped: the header ends at the first newline that is not escaped
     role = lambda p: F.regexp_extract(p, r"(?s)^<turn>((?:[^\\\n]|\\.)*)\n", 1)
     parsed = F.transform("pieces", lambda p: F.struct(
         unescape(role(p)).alias("role"),
         unescape(F.substring(p, F.char_length(role(p)) + len(OPEN) + 2, F.char_length(p))).alias("text")))
-    read = formatted.select("conv_id", "formatted", "examples", pieces.alias("pieces")) \
-                    .select("conv_id", "formatted", "examples", parsed.alias("turns"), "pieces")
-    masked = F.transform("examples", lambda e: unescape(F.substring(
-        F.get("pieces", e.turn_no),
-        F.char_length(F.get("pieces", e.turn_no)) - (e.loss_end - e.context_chars).cast("int") + 1,
-        F.char_length(F.get("pieces", e.turn_no)))))
-    read = read.select("conv_id", "formatted", "turns", F.concat_ws("", masked).alias("loss"))
+    turns = formatted.select("conv_id", "formatted", F.size("examples").alias("listed"), _pieces().alias("pieces")) \
+                     .select("conv_id", "formatted", "listed", parsed.alias("turns"))
     shown = F.concat_ws("", F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))))
-    return read.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+    turns = turns.select(
+        "conv_id", "listed", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(shown.cast("binary"), 256).alias("turns_sha256"),
-        F.char_length("loss").cast("long").alias("loss_chars"),
-        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"))
+    reply = unescape(F.substring(F.col("target"), F.lit(1), F.col("loss_chars").cast("int")))
+    losses = prefix_target_examples(formatted).groupBy("conv_id") \
+        .agg(F.sort_array(F.collect_list(F.struct("turn_no", reply.alias("reply")))).alias("replies"), F.count("target").alias("read")) \
+        .select(F.col("conv_id").alias("_conv_id"), "read", F.concat_ws("", F.col("replies.reply")).alias("loss")) \
+        .select("_conv_id", "read", F.char_length("loss").cast("long").alias("loss_chars"),
+                F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"))
+    whole = F.col("listed") == F.coalesce("read", F.lit(0))
+    return turns.join(losses, F.col("conv_id").eqNullSafe(F.col("_conv_id")), "left").select(
+        "conv_id", "n_turns", "turns_sha256", F.when(whole, F.coalesce("loss_chars", F.lit(0).cast("long"))).alias("loss_chars"),
+        F.when(whole, F.coalesce("loss_sha256", F.sha2(F.lit("").cast("binary"), 256))).alias("loss_sha256"), "formatted_chars")
