@@ -16,7 +16,8 @@ Tokens are white-space separated words. A document's topic is the class that mos
 
 Defined cases: null source or language is a value of its own. Null or empty text has no tokens; a cell without
 tokens is kept whole, as it moves no marginal. Repeated rows have the same fate. A target left out for a value shares what the
-others leave equally; without any target a marginal is flattened: the shares of its tokens to the power ``FLATTEN``.
+others leave equally; if they leave nothing, it keeps the share of its tokens and the given ones share the rest. Without any target a
+marginal is flattened: the shares of its tokens to the power ``FLATTEN``.
 An empty table gives no rows.
 """
 
@@ -34,6 +35,7 @@ from stratus.llm.textbytes import chunks
 
 TOPICS, LONG_WORD = 8, 7
 FLATTEN = 0.5
+NOTHING = 1e-9  # given shares that sum up to 1 but for rounding leave nothing
 KEEP = 0.5
 SWEEPS, SETTLED = 20, 1e-4
 MARGINS = ("source", "lang", "topic")
@@ -58,13 +60,20 @@ def _target(cells: DataFrame, name: str, given: dict | None) -> DataFrame:
     """``name, goal``: the share of all tokens that each value of a marginal is to have."""
     sums = cells.groupBy(name).agg(F.sum("tokens").alias("t"))
     if given:
-        left = max(0.0, 1.0 - sum(given.values()))
+        left = 1.0 - sum(given.values())
         goal = F.lit(None).cast("double")
         for value, share in given.items():
             goal = F.when(F.col(name).eqNullSafe(F.lit(value)), float(share)).otherwise(goal)
         sums = sums.withColumn("g", goal)
-        others = sums.agg(F.count(F.when(F.col("g").isNull(), 1)).alias("others"))
-        sums = sums.crossJoin(F.broadcast(others)).withColumn("p", F.coalesce("g", F.lit(left) / F.col("others")))  # one row
+        others = sums.agg(F.count(F.when(F.col("g").isNull(), 1)).alias("others"), F.sum("t").alias("all_t"),
+                          F.sum("g").alias("all_g"), F.sum(F.when(F.col("g").isNotNull(), F.col("t"))).alias("given_t"))
+        sums = sums.crossJoin(F.broadcast(others))  # one row
+        if left > NOTHING:
+            other = F.lit(left) / F.col("others")
+        else:  # others : given = their tokens : the given ones' tokens
+            other = F.when(F.col("given_t") > 0, F.col("t") * F.col("all_g") / F.col("given_t")).otherwise(F.col("t"))
+        given_p = F.when(F.col("given_t") > 0, F.col("g")).otherwise(0.0) if left <= NOTHING else F.col("g")
+        sums = sums.withColumn("p", F.when(F.col("g").isNull(), other).otherwise(given_p))
     else:
         sums = sums.withColumn("p", F.pow("t", F.lit(FLATTEN)))
     total = F.broadcast(sums.agg(F.sum("p").alias("all")))  # one row
