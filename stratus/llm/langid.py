@@ -1,9 +1,11 @@
 """Language identification: averaged hashed subword vectors, linear softmax, calibrated rejection (see ``subword``).
 
-Languages are the values of ``lang`` (at most ``MOST_LANGS``, the most frequent ones). Trained on a bounded
-sample: of each language the documents with the smallest hash of their id, ``SAMPLE_ROWS`` in all. A fifth
-of the sample is kept from training; on it the temperature is set, and the rejection threshold: the
-probability that all but ``REJECT_SHARE`` of its documents reach, at most ``MOST_REJECT``.
+Languages are all values of ``lang``. Trained on a bounded sample: of each language the documents with the
+smallest hash of their id, ``SAMPLE_ROWS`` in all, or ``LEAST_ROWS`` a language where that is more. A fifth of
+each language's sample is kept from training; on it the temperature is set, and the rejection threshold: the
+probability that all but ``REJECT_SHARE`` of its documents reach. Where a single language is learned, the
+same documents with their features thrown into random buckets are a second class, ``und``, so that there is
+something to tell it from; what is told as ``und`` is rejected.
 
 Defined cases: null text or text without a letter is ``und`` with score 0 and rejected. With nothing to
 learn from, every text is ``und``. Null lang is not learned. A null doc_id counts as empty text in the
@@ -12,6 +14,7 @@ hold-out rule. Repeated rows are scored each; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,21 +26,21 @@ from stratus.llm.subword import Features, Model, calibrated, learned, probabilit
 from stratus.llm.tables import held_out
 
 FOLDS, HELD_FOLD = 4, 2
-SAMPLE_ROWS, MOST_LANGS, REJECT_SHARE, MOST_REJECT = 3000, 100, 0.001, 0.4
+SAMPLE_ROWS, LEAST_ROWS, REJECT_SHARE = 3000, 20, 0.001
 UNKNOWN = "und"
 FEATURES = Features(bits=15, grams=(3,), lower=True)
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, float] | None:
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out("doc_id", FOLDS, HELD_FOLD))
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()]
+    langs = known.select("lang").distinct().count()
     if not langs:
         return None
-    each = max(20, sample_rows // len(langs))
+    each = max(LEAST_ROWS, sample_rows // langs)
     # the ids first, without texts; then the texts of ids up to each language's last one
     narrow = known.select("lang", F.xxhash64("doc_id").alias("h"))
     ranked = narrow.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("place") <= each)
-    last = F.broadcast(ranked.groupBy("lang").agg(F.max("h").alias("last")).where(F.col("lang").isin(langs)))
+    last = F.broadcast(ranked.groupBy("lang").agg(F.max("h").alias("last")))
     near = known.select("lang", "text", F.xxhash64("doc_id").alias("h")).join(last, "lang").where("h <= last")
     order = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
     rows = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
@@ -45,13 +48,27 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, float]
 
 
 def _learn(sample: list) -> tuple[Model, float]:
+    if len({label for label, _, _ in sample}) == 1:
+        sample = sample + _scattered(sample)
     classes = tuple(sorted({label for label, _, _ in sample}))
-    kept_out = [x for i, x in enumerate(sample) if i % 5 == 4]
-    model = calibrated(train([x for i, x in enumerate(sample) if i % 5 != 4], classes, FEATURES), kept_out)
-    if not kept_out:
+    place: Counter = Counter()
+    kept_out, taught = [], []
+    for x in sample:
+        (kept_out if place[x[0]] % 5 == 4 else taught).append(x)
+        place[x[0]] += 1
+    model = calibrated(train(taught, classes, FEATURES), kept_out)
+    known = [x for x in kept_out if x[0] != UNKNOWN]
+    if not known:
         return model, 0.0
-    sure = probabilities(model, kept_out, model.temperature).max(axis=1)
-    return model, min(MOST_REJECT, float(np.quantile(sure, REJECT_SHARE)))
+    sure = probabilities(model, known, model.temperature).max(axis=1)
+    return model, float(np.quantile(sure, REJECT_SHARE))
+
+
+def _scattered(sample: list) -> list:
+    """The documents with each feature in a random bucket of its kind."""
+    rng = np.random.default_rng(5)
+    return [(UNKNOWN, (bucket >> FEATURES.bits << FEATURES.bits) + rng.integers(0, 1 << FEATURES.bits, len(bucket), dtype=np.int32), count)
+            for _, bucket, count in sample]
 
 
 def predict(docs: DataFrame, fitted: tuple[Model, float] | None) -> DataFrame:
@@ -61,7 +78,7 @@ def predict(docs: DataFrame, fitted: tuple[Model, float] | None) -> DataFrame:
     docs = docs.select(*keep)
     if fitted is None:
         return docs.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)  # a fixed number of buckets and classes
+    shared = docs.sparkSession.sparkContext.broadcast(fitted)  # a fixed number of buckets, a row of ``dim`` numbers each
     at, flag = keep.index("text"), len(keep)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +91,7 @@ def predict(docs: DataFrame, fitted: tuple[Model, float] | None) -> DataFrame:
             score = np.where(letters, p.max(axis=1), 0.0)
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:flag], pa.array(np.where(letters, names[top], UNKNOWN), pa.string()), pa.array(score),
-                pa.array(~letters | (score < threshold))], [*keep, "lang_pred", "score", "rejected"])
+                pa.array(~letters | (score < threshold) | (names[top] == UNKNOWN))], [*keep, "lang_pred", "score", "rejected"])
 
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
     for f in schema:

@@ -73,20 +73,23 @@ class Features:
 
 @dataclass(frozen=True)
 class Model:
-    """Logits of each bucket (buckets, classes), the classes' bias, a temperature, and the class names."""
+    """Logits of each bucket (buckets, classes), the classes' bias, a temperature, and the class names. With more
+    classes than a vector has numbers ``logits`` holds the vectors, and ``output`` makes logits of their average."""
 
     features: Features
     logits: np.ndarray
     bias: np.ndarray
     classes: tuple
     temperature: float = 1.0
+    output: np.ndarray | None = None
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """Class probabilities of every text of the column; a text without features has the bias alone."""
-        n_classes = len(self.classes)
-        tables = [np.append(self.logits[:, c], 0.0) for c in range(n_classes)]
-        tables = [t - tables[0] for t in tables]
-        out = np.zeros((len(column), n_classes))
+        width = self.logits.shape[1]
+        tables = [np.append(self.logits[:, c], 0.0) for c in range(width)]
+        if self.output is None:
+            tables = [t - tables[0] for t in tables]
+        out = np.zeros((len(column), width))
         for chunk in chunks(column, self.features.lower):
             rows = slice(chunk.first, chunk.first + chunk.docs)
             n = np.zeros(chunk.docs)
@@ -97,9 +100,11 @@ class Model:
                     continue
                 blank = np.add.reduceat((bucket == self.features.buckets).astype(np.int64), first[live])
                 n[live] += here[live] - blank
-                for c in range(1, n_classes):
+                for c in range(self.output is None, width):
                     out[rows, c][live] += np.add.reduceat(tables[c][bucket], first[live])
             out[rows] /= np.maximum(n, 1)[:, None]
+        if self.output is not None:
+            out = out @ self.output
         return softmax((out + self.bias - self.bias[0]) / self.temperature)
 
 
@@ -158,13 +163,17 @@ def train(sample: list, classes: tuple, features: Features, dim: int = 12, epoch
             output -= r * np.outer(hidden, slope)
             bias -= 0.1 * r * slope
             vectors[bucket] = rows - (r / (weight @ weight)) * weight[:, None] * back
+    if len(classes) > dim:
+        return Model(features, vectors, bias.astype(np.float64), classes, output=output)
     logits = (vectors @ output).astype(np.float64)
     return Model(features, logits, bias.astype(np.float64), classes)
 
 
 def probabilities(model: Model, sample: list, temperature: float) -> np.ndarray:
-    z = np.array([(c @ model.logits[b]) / max(c.sum(), 1) + model.bias for _, b, c in sample])
-    return softmax(z.reshape(-1, len(model.classes)) / temperature)
+    z = np.array([(c @ model.logits[b]) / max(c.sum(), 1) for _, b, c in sample]).reshape(-1, model.logits.shape[1])
+    if model.output is not None:
+        z = z @ model.output
+    return softmax((z + model.bias) / temperature)
 
 
 def calibrated(model: Model, sample: list) -> Model:
