@@ -37,7 +37,7 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(?>.*?://)[^/?#]*(/[^?#]*)", 1)
 
 
 def _fits(host: Column, path: Column, rule_host: str, rule_path: str) -> Column:
