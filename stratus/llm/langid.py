@@ -3,7 +3,8 @@
 Languages are all values of ``lang``. Trained on a bounded sample: of each language the documents with the
 smallest hash of their id, ``SAMPLE_ROWS`` in all, or ``LEAST_ROWS`` a language where that is more. A fifth of
 each language's sample is kept from training; on it the temperature is set, and the rejection threshold: the
-probability that all but ``REJECT_SHARE`` of its documents reach. Where a single language is learned, the
+probability that all but ``REJECT_SHARE`` of its documents reach, at most halfway from chance to certainty
+(a small sample's least sure document is no measure of its share). Where a single language is learned, the
 same documents with their features thrown into random buckets are a second class, ``und``, so that there is
 something to tell it from; what is told as ``und`` is rejected.
 
@@ -61,7 +62,7 @@ def _learn(sample: list) -> tuple[Model, float]:
     if not known:
         return model, 0.0
     sure = probabilities(model, known, model.temperature).max(axis=1)
-    return model, float(np.quantile(sure, REJECT_SHARE))
+    return model, min((1 + 1 / len(classes)) / 2, float(np.quantile(sure, REJECT_SHARE)))
 
 
 def _scattered(sample: list) -> list:
