@@ -32,7 +32,8 @@ from stratus.llm.term_packing import count_terms
 
 SCALE, ADD = 1_000_000_000, 5
 CHUNK_BYTES = 4 << 20
-CELLS = 1 << 20  # of a block's matrix, and rows a task gives out, about
+CELLS, TERMS = 1 << 17, 256  # of a block's matrix, about; terms of a block where there are many sources
+SUMS = 1 << 20  # rows that a task gives out, about
 COUNTED = "lang string, source string, term string, n long, docs long"
 
 
@@ -108,8 +109,9 @@ def divergence(docs: DataFrame, least: int = 30, top: int = 50) -> DataFrame:
     zero = F.lit(0).cast("long")
     groups = every.join(totals, ["lang", "source"], "left").join(per_lang, "lang", "left").join(width, "lang") \
         .select("lang", "source", "sources", *(F.coalesce(c, zero).alias(c) for c in ("total", "v", "lang_total")))
-    groups = written(groups.withColumn("blocks", F.greatest(F.ceil(F.col("v") * F.col("sources") / CELLS), F.lit(1)))
-                     .withColumn("parts", F.ceil(F.col("sources") * F.col("sources") / CELLS)), "groups")
+    terms_each = F.greatest(F.lit(CELLS) / F.col("sources"), F.lit(float(TERMS)))
+    groups = written(groups.withColumn("blocks", F.greatest(F.ceil(F.col("v") / terms_each), F.lit(1)))
+                     .withColumn("parts", F.ceil(F.col("sources") * F.col("sources") / SUMS)), "groups")
     cells = written(kept.join(groups, ["lang", "source"]).select(
         "lang", "source", "term", "blocks", "parts", share(F.col("n"), F.col("total"), F.col("v")).alias("p"),
         share(F.col("n_lang"), F.col("lang_total"), F.col("v")).alias("q")), "cells")

@@ -196,9 +196,11 @@ def brute_divergence(rows, least, top):
     return out
 
 
-@pytest.mark.parametrize("cells", [divergence.CELLS, 7])
-def test_divergence_against_brute_force(odd, monkeypatch, cells):
-    monkeypatch.setattr(divergence, "CELLS", cells)  # 7: many blocks of terms, sources dealt out too
+@pytest.mark.parametrize("small", [False, True])
+def test_divergence_against_brute_force(odd, monkeypatch, small):
+    if small:  # many blocks of terms, sources dealt out too
+        for name in ("CELLS", "TERMS", "SUMS"):
+            monkeypatch.setattr(divergence, name, 7)
     rows = odd_rows(random.Random(6))
     got = [tuple(r) for r in divergence.divergence(odd(rows), least=3, top=4).collect()]
     assert len(got) == len(set(got)) and set(got) == brute_divergence(rows, 3, 4)
