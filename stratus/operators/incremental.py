@@ -5,6 +5,7 @@
 * ``replace_by_key``: delete target rows whose key occurs in the batch, insert the batch (a batch may
   hold several rows per key, e.g. fact rows fanned out per area) — an anti-join plus a union.
 * ``append_versions``: forecast history — the batch id is part of the key, so each batch adds a version.
+* ``KeyedLog``: the same on a written table without rewriting it: versions and delete marks per key.
 * ``write_fresh``: a table that is rebuilt goes to a folder of its own, whose path the caller passes on; a
   failed or retried job leaves nothing that anyone reads.
 """
@@ -15,7 +16,7 @@ import time
 import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,17 +84,28 @@ class KeyedLog:
     """Keyed table kept as an append-only log of runs plus a view (merge-on-read).
 
     ``append(batch, run)`` writes only the batch (O(batch) per run, never O(table)); files become visible
-    at job commit, so a failed run leaves nothing behind. ``current()`` is the table: per key, the rows
-    of its newest load; among equal loads the latest run, then the latest attempt — so a retried run
-    replaces its earlier attempt instead of duplicating it. With several rows per key (fact rows fanned
-    out per area) the whole group of the winning load is kept, which is the delete+insert semantics.
-    ``compact`` rewrites the view as a fresh log.
+    at job commit, so a failed run leaves nothing behind. ``current()`` is the table: per key, the rows of its
+    newest version. With several rows per key (fact rows fanned out per area) the whole group of the winning
+    version is kept, which is the delete+insert semantics. Keys given as ``gone`` have a newest version without
+    rows (a delete mark): they are in the table again once a later run has rows for them.
+
+    ``newest`` says which version wins:
+    * ``"load"``: the newest load, whatever run brought it (a missing stamp counts as newest, as in staging);
+      among equal loads the smallest ``tie`` column if there is one (staging's document hash), then the later run,
+      then the later attempt. Micro-batch boundaries do not change the result.
+    * ``"run"``: the later run, then the later attempt, whatever the stamps say: what ``replace_by_key`` does.
+
+    A retried run replaces its earlier attempt instead of duplicating it. The view is one read and one shuffle by key,
+    limited to the newest versions before it. ``compact`` rewrites the view as a fresh log.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition_by: Sequence[str] = ("load_date",),
-                 merge_schema: bool = True):
+                 merge_schema: bool = True, newest: str = "load", tie: str | None = None):
+        if newest not in ("load", "run"):
+            raise ValueError(newest)
         self.spark, self.root, self.keys, self.partition_by = spark, root, list(keys), list(partition_by)
         self.merge_schema = merge_schema  # columns that a later run adds stay (append_new_columns)
+        self.newest, self.tie = newest, tie
 
     def _exists(self) -> bool:
         jvm = self.spark.sparkContext._jvm
@@ -108,32 +120,57 @@ class KeyedLog:
                 return True
         return False
 
-    def append(self, batch: DataFrame, run: int) -> None:
+    def append(self, batch: DataFrame, run: int, gone: DataFrame | None = None) -> None:
+        """Add a run's rows, and delete marks for the keys in ``gone``."""
+        out = batch.withColumn("_gone", F.lit(False))
+        if gone is not None:
+            out = out.unionByName(gone.select(*self.keys).withColumn("_gone", F.lit(True)), allowMissingColumns=True)
         # attempts are ordered by their write stamp, so the latest one of a run wins
-        out = batch.withColumn("_run", F.lit(run).cast("long")).withColumn("_attempt", F.lit(time.time_ns()))
+        out = out.withColumn("_run", F.lit(run).cast("long")).withColumn("_attempt", F.lit(time.time_ns()))
         if "load_date" in self.partition_by and "load_date" not in batch.columns:
             out = out.withColumn("load_date", F.to_date("load_dts"))
-        out.write.mode("append").partitionBy(*self.partition_by).parquet(self.root)
+        if "event_date" in self.partition_by:
+            # few files a day, and a day that holds most of the batch is split by size
+            out = out.withColumn("event_date", F.to_date("timestamp_utc")).hint("rebalance", "event_date")
+        writer = out.write.mode("append")
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(self.root)
 
     def log(self) -> DataFrame | None:
         if not self._exists():
             return None
         return self.spark.read.option("mergeSchema", str(self.merge_schema).lower()).parquet(self.root)
 
-    def current(self, only: DataFrame | None = None) -> DataFrame | None:
-        """The table; with ``only`` (a table of one or more key columns) its rows of those keys."""
+    def rows(self, days: Sequence | None = None, before: int | None = None) -> DataFrame | None:
+        """The log's rows; of the given event dates (a partition filter), of runs before ``before``."""
         log = self.log()
+        if log is not None and days is not None:
+            log = log.filter(F.col("event_date").isin(list(days)))
+        if log is not None and before is not None:
+            log = log.filter(F.col("_run") < before)
+        return log
+
+    def current(self, only: DataFrame | None = None, days: Sequence | None = None,
+                before: int | None = None) -> DataFrame | None:
+        """The table; with ``only`` (a table of one or more key columns) its rows of those keys, with ``days`` those of
+        these event dates, with ``before`` as it was before that run."""
+        log = self.rows(days, before)
         if log is None:
             return None
         if only is not None:
             log = log.join(only, only.columns, "left_semi")
-        # the maximum is aggregated with partial sums per key, then met again with the log; a missing load
-        # stamp counts as newest, as in staging
-        version = F.struct(F.col("load_dts").isNull().alias("none"), "load_dts", "_run", "_attempt")
-        log = log.withColumn("_v", version)
-        newest = log.groupBy(*(F.col(k).alias(f"_key_{k}") for k in self.keys)).agg(F.max("_v").alias("_newest"))
-        same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in self.keys] + [F.col("_v").eqNullSafe(F.col("_newest"))]
-        return log.join(newest, same, "left_semi").drop("_v", "_run", "_attempt", *self.partition_by)
+        order = [F.col("_run").desc(), F.col("_attempt").desc()]
+        if self.newest == "load":
+            ties = [F.col(self.tie).asc_nulls_last()] if self.tie else []
+            order = [F.col("load_dts").desc_nulls_first(), *ties, *order]
+        version = F.rank().over(Window.partitionBy(*self.keys).orderBy(*order))
+        return log.withColumn("_version", version).filter((F.col("_version") == 1) & ~F.col("_gone")) \
+            .drop("_version", "_gone", "_run", "_attempt", *self.partition_by)
+
+    def next_run(self) -> int:
+        """A run number after all runs in the log."""
+        log = self.log()
+        last = None if log is None else log.agg(F.max("_run")).first()[0]
+        return 0 if last is None else last + 1
 
     def high_water_mark(self):
         log = self.log()
@@ -141,7 +178,7 @@ class KeyedLog:
 
     def compact(self, new_root: str) -> "KeyedLog":
         cur = self.current()
-        nxt = KeyedLog(self.spark, new_root, self.keys, self.partition_by)
+        nxt = KeyedLog(self.spark, new_root, self.keys, self.partition_by, self.merge_schema, self.newest, self.tie)
         if cur is not None:
-            nxt.append(cur, 0)
+            nxt.append(cur, self.next_run() - 1)
         return nxt

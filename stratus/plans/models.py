@@ -20,11 +20,12 @@ from stratus.operators.keys import surrogate_key
 from stratus.operators.link import nearest_link
 
 DEFAULT_AS_OF = "2024-02-01 00:00:00"
+TIE = "_h"  # hash of the raw document
 
 
 # ------------------------------------------------------------------------------------------- staging
 def stg_weather(raw: DataFrame, kind: str = "observed", *, batch_key: bool = False,
-                since: DataFrame | None = None) -> DataFrame:
+                since: DataFrame | None = None, keep_tie: bool = False) -> DataFrame:
     """Staged weather rows: newest load per (station, hour[, batch]) among rows whose document has a
     temperature, with cleaned measures, flag and confidence.
 
@@ -36,6 +37,7 @@ def stg_weather(raw: DataFrame, kind: str = "observed", *, batch_key: bool = Fal
 
     ``batch_key``: keep one version per batch (``batch_id`` column) — forecast history semantics.
     ``since``: a target table; only raw rows loaded after its high-water mark are taken (incremental run).
+    ``keep_tie``: keep the hash that broke ties (``TIE``), so a later merge of several batches breaks them alike.
     """
     df = raw
     if since is not None:
@@ -43,10 +45,10 @@ def stg_weather(raw: DataFrame, kind: str = "observed", *, batch_key: bool = Fal
         df = incremental_filter(df, since)
     keys = ["wmo_station_id", "timestamp_utc"] + (["batch_id"] if batch_key else [])
     extra = ["batch_id"] if batch_key else []
-    staged = standardize(df.withColumn("_h", F.xxhash64("raw")), extra_cols=["_present", "_h"] + extra)
-    order = [F.col("_present").desc(), desc_nulls_first("load_dts"), F.col("_h").asc()]
-    out = latest_per_key(staged, keys, order).filter(F.col("_present")).drop("_present", "_h")
-    return out
+    staged = standardize(df.withColumn(TIE, F.xxhash64("raw")), extra_cols=["_present", TIE] + extra)
+    order = [F.col("_present").desc(), desc_nulls_first("load_dts"), F.col(TIE).asc()]
+    out = latest_per_key(staged, keys, order).filter(F.col("_present")).drop("_present")
+    return out if keep_tie else out.drop(TIE)
 
 
 def stg_station(raw: DataFrame) -> DataFrame:

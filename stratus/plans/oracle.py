@@ -141,6 +141,16 @@ dim_postal_area AS (
 )"""
 
 
+def changed_stations(known: str, moved: str, by: int) -> str:
+    """The stations of the customers that ``known`` holds for, with another longitude where ``moved`` does."""
+    text = STATION_CTES.replace("FROM customer", f"FROM (SELECT * FROM customer WHERE {known}) customer")
+    return text.replace("(c_custkey * 53) % 900", f"(c_custkey * 53 + CASE WHEN {moved} THEN {by} ELSE 0 END) % 900")
+
+
+def changed_areas(known: str) -> str:
+    return POSTAL_CTES.replace("FROM supplier)", f"FROM supplier WHERE {known})")
+
+
 def link_cte(k: int = 1) -> str:
     return f"""link_ranked AS (
   SELECT a.id AS postal_area_id, s.id AS station_id,

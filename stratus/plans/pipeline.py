@@ -1,12 +1,15 @@
 """One hourly run end to end, as written tables: raw -> staging -> dims -> link -> facts -> marts -> checks.
 
 Layout under ``root`` (a folder in the shared storage):
-* ``stg_weather_observed`` / ``fact_weather_observed``: keyed logs; a run appends its batch, and facts of the
-  batch's keys and of the stations whose area link or id changed since the previous run;
-* ``stg_weather_forecast``: keyed log with the run id in the key (version history);
-* dims, link, bridge, forecast fact and both marts: rebuilt each run (as the reference rebuilds them), each in a fresh
-  folder; ``RunResult.paths`` names the folders, the next run takes the result as ``previous``;
+* staging, facts and mart states of each kind: keyed logs that a run appends what it touches to (``gold``); the
+  forecast's keys hold the run id (version history), and a later run replaces a key whatever its load stamps say;
+* dims, link and bridge: rebuilt each run (as the reference rebuilds them), each in a fresh folder;
+  ``RunResult.paths`` names the folders;
 * ``quality_failures``: failing rows of every suite and declared column test, partitioned by check name (warn only).
+  A run checks the rows it wrote, and the dimensions whole.
+
+Facts and marts after a run equal a full build from staging and the dimensions of that run, also after areas or
+stations left, were renumbered or moved.
 """
 
 from __future__ import annotations
@@ -16,14 +19,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratus.operators import mart_state
 from stratus.operators import quality as Q
-from stratus.operators.incremental import KeyedLog, write_fresh
+from stratus.operators.incremental import write_fresh
 from stratus.plans import models
+from stratus.plans.gold import HOUR_KEYS, Gold
 from stratus.session import materialize
 from stratus.sources.landing import station_scope
 from stratus.sources.raw_tables import materialize_view
 
-HOUR_KEYS = ["wmo_station_id", "timestamp_utc"]
+__all__ = ["HOUR_KEYS", "RunResult", "hourly_run"]
 
 
 @dataclass
@@ -33,40 +38,22 @@ class RunResult:
     paths: dict = field(default_factory=dict)
 
 
-def _moved_stations(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Stations whose ids or served areas differ between two bridges."""
-    return before.subtract(after).union(after.subtract(before)).select("wmo_station_id").distinct()
-
-
 def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame, raw_forecast: DataFrame,
                station_raw: DataFrame, postal_raw: DataFrame, as_of: str,
-               station_pattern: str | None = None, previous: RunResult | None = None) -> RunResult:
+               station_pattern: str | None = None, previous: RunResult | None = None, checks: bool = True) -> RunResult:
     """``station_pattern``: the run's station scope (a LIKE pattern on the lower-cased name; None = all
-    stations); raw rows of other stations are not taken into this run. ``previous``: the run before; without it
-    the observed facts of all staging are assembled anew."""
+    stations); raw rows of other stations are not taken into this run. ``previous``: no longer needed, what a run has to
+    know of the one before lies under ``root``. ``checks``: store the failures of the run's rows."""
     t, paths = {}, {}
+    raw = {"observed": raw_observed, "forecast": raw_forecast.drop("batch_id")}
     if station_pattern is not None:
         scope = station_scope(station_raw, station_pattern)
-        raw_observed = raw_observed.join(scope, "wmo_station_id", "left_semi")
-        raw_forecast = raw_forecast.join(scope, "wmo_station_id", "left_semi")
+        raw = {kind: df.join(scope, "wmo_station_id", "left_semi") for kind, df in raw.items()}
 
     def table(name: str, df: DataFrame) -> DataFrame:
         paths[name] = write_fresh(df, f"{root}/{name}")
         return spark.read.schema(df.schema).parquet(paths[name])
 
-    # staging: observed replaces by (station, hour); forecast adds the run as a version
-    stg_obs_log = KeyedLog(spark, f"{root}/stg_weather_observed", HOUR_KEYS)
-    batch = materialize(models.stg_weather(raw_observed, "observed", since=stg_obs_log.log()), "stg_batch")
-    stg_obs_log.append(batch, run)
-    stg_fc_log = KeyedLog(spark, f"{root}/stg_weather_forecast", [*HOUR_KEYS, "batch_id"])
-    fc = models.stg_weather(raw_forecast.drop("batch_id") if "batch_id" in raw_forecast.columns else raw_forecast,
-                            "forecast", since=stg_fc_log.log())
-    fc = fc.withColumn("batch_id", F.lit(run).cast("long"))
-    stg_fc_log.append(fc, run)
-    # the logs' views, written once for all that reads them below; no row yet: the batch's schema
-    stg_obs, stg_fc = (materialize(now if now is not None else first.limit(0), "stg_now")
-                       for now, first in ((stg_obs_log.current(), batch), (stg_fc_log.current(), fc)))
-
     # dimensions and the link: full rebuilds, each written once and read back by the later layers
     stg_station, stg_area = models.stg_station(station_raw), models.stg_postal_area(postal_raw)
     dim_st = table("dim_station", models.dim_station(stg_station))
@@ -74,36 +61,25 @@ def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame
     link = table("fact_link_postcode_station", models.link_postcode_station(dim_area, dim_st, as_of=as_of,
                                                                             materialize_inputs=False))
     bridge = table("bridge", models.area_bridge(dim_st, link, dim_area))
+    t.update({"raw_observed": raw["observed"], "raw_forecast": raw["forecast"], "station_raw": station_raw,
+              "postal_raw": postal_raw, "stg_station": materialize_view(stg_station, "stg_dim_station"),
+              "stg_postal_area": stg_area, "dim_station": dim_st, "dim_postal_area": dim_area, "link": link})
 
-    # facts: observed is keyed incremental, forecast rebuilt
-    fact_obs_log = KeyedLog(spark, f"{root}/fact_weather_observed", HOUR_KEYS)
-    if previous is None:
-        due = stg_obs
-    else:
-        moved = _moved_stations(spark.read.parquet(previous.paths["bridge"]), bridge)
-        keys = batch.select(*HOUR_KEYS).distinct()
-        due = stg_obs.join(keys, HOUR_KEYS, "left_semi").unionByName(
-            stg_obs.join(moved, "wmo_station_id", "left_semi").join(keys, HOUR_KEYS, "left_anti"))
-    fact_new = models.fact_weather(due, dim_st, link, dim_area, bridge)
-    fact_obs_log.append(fact_new, run)
-    fact_obs = fact_obs_log.current()
-    facts = {"observed": fact_obs if fact_obs is not None else fact_new.limit(0),
-             "forecast": table("fact_weather_forecast",
-                               models.fact_weather(stg_fc.drop("batch_id"), dim_st, link, dim_area, bridge))}
-
-    # marts: full recompute (materialised-view refresh), written without a global sort
+    own = dict(t)  # what this run wrote
     for kind in ("observed", "forecast"):
-        mart = models.mart_weather(facts[kind], dim_area, sort=False).sortWithinPartitions("plz", "timestamp_utc")
-        t[f"mart_{kind}"] = table(f"mart_weather_{kind}_hourly_aggregated", mart)
-
-    t.update({"raw_observed": raw_observed, "raw_forecast": raw_forecast, "station_raw": station_raw,
-              "postal_raw": postal_raw, "stg_station": materialize_view(stg_station, "stg_dim_station"),
-              "stg_postal_area": stg_area, "dim_station": dim_st, "dim_postal_area": dim_area, "link": link,
-              "stg_observed": stg_obs, "stg_forecast": stg_fc, "fact_observed": facts["observed"],
-              "fact_forecast": facts["forecast"]})
-    # checks: warn only, failures stored per check
-    paths["quality_failures"] = f"{root}/quality_failures/run={run}"
-    failures = Q.all_failures(t, as_of)
-    Q.store_failures(failures, paths["quality_failures"])
-    t["quality_failures"] = Q.read_failures(failures, paths["quality_failures"])
+        gold = Gold(spark, root, kind)
+        batch = models.stg_weather(raw[kind], kind, since=gold.loads(run))
+        if kind == "forecast":
+            batch = batch.withColumn("batch_id", F.lit(run).cast("long"))
+        batch = materialize(batch, "stg_batch")
+        wrote = gold.advance(batch, run, bridge)
+        own |= {f"stg_{kind}": batch, f"fact_{kind}": wrote["facts"], f"mart_{kind}": mart_state.finish(wrote["states"])}
+        for name, now, empty in (("stg", gold.staged(), batch), ("fact", gold.fact(), wrote["facts"]),
+                                 ("mart", gold.mart(), own[f"mart_{kind}"])):
+            t[f"{name}_{kind}"] = now if now is not None else empty.limit(0)
+    if checks:  # warn only, failures stored per check
+        paths["quality_failures"] = f"{root}/quality_failures/run={run}"
+        failures = Q.all_failures(own, as_of)
+        Q.store_failures(failures, paths["quality_failures"])
+        t["quality_failures"] = Q.read_failures(failures, paths["quality_failures"])
     return RunResult(run, t, paths)

@@ -68,8 +68,8 @@ class Warehouse:
     def station_raw(self) -> DataFrame:
         return standins.station_raw_from_customers(self.table("customer"))
 
-    def postal_raw(self) -> DataFrame:
-        raw = standins.postal_raw_from_suppliers(self.table("supplier"))
+    def postal_raw(self, suppliers: DataFrame | None = None) -> DataFrame:
+        raw = standins.postal_raw_from_suppliers(self.table("supplier") if suppliers is None else suppliers)
         return raw.withColumn("geometry", geom_from_wkt("wkt"))
 
     # staging (silver)

@@ -97,9 +97,12 @@ def station_coords(key: Column) -> tuple[Column, Column]:
     return lat, lon
 
 
-def station_raw_from_customers(customer: DataFrame) -> DataFrame:
-    """station_raw: wmo_station_id, station_name, lat, lon, properties, record_source, load_dts."""
+def station_raw_from_customers(customer: DataFrame, moved: Column | None = None, moved_by: int = 0) -> DataFrame:
+    """station_raw: wmo_station_id, station_name, lat, lon, properties, record_source, load_dts. Where ``moved`` holds the
+    longitude is that of a place ``moved_by`` further on (around the range)."""
     lat, lon = station_coords(F.col("c_custkey"))
+    if moved is not None:
+        lon = F.when(moved, (F.lit(600) + (F.col("c_custkey") * 53 + moved_by) % 900).cast("double")).otherwise(lon)
     props = F.concat(F.lit('{"c_custkey":'), F.col("c_custkey").cast("string"), F.lit(',"segment":"'),
                      F.col("c_mktsegment"), F.lit('"}'))
 
