@@ -69,13 +69,16 @@ def bbox_cols(geom: Column) -> dict[str, Column]:
 
 
 def explode_segments(df: DataFrame, id_col: str, geom_col: str) -> DataFrame:
-    """One row per ring edge: (id, x1, y1, x2, y2). Rings are walked cyclically, so open and closed rings
-    both give every edge (a closed ring adds one zero-length edge, which changes no result)."""
-    rings = df.select(id_col, F.explode(F.flatten(F.col(geom_col))).alias("_ring"))
-    edges = rings.select(id_col, F.explode(F.transform(
-        F.sequence(F.lit(0), F.size("_ring") - 1),
-        lambda i: F.named_struct(F.lit("a"), F.col("_ring")[i], F.lit("b"), F.col("_ring")[(i + 1) % F.size("_ring")]))).alias("_e"))
-    return edges.select(id_col, F.col("_e.a.x").alias("x1"), F.col("_e.a.y").alias("y1"),
+    """One row per ring edge: (id, no, x1, y1, x2, y2), numbered from 0 along the geometry's rings. Rings are walked
+    cyclically, so open and closed rings both give every edge (a closed ring adds one zero-length edge, which changes no
+    result)."""
+    def ring_edges(r: Column) -> Column:
+        nxt = F.concat(F.slice(r, 2, F.size(r)), F.slice(r, 1, 1))
+        return F.transform(F.arrays_zip(r.alias("a"), nxt.alias("b")), lambda e: F.struct(e["a"].alias("a"), e["b"].alias("b")))
+
+    rings = F.filter(F.flatten(F.col(geom_col)), lambda r: F.size(r) > 0)
+    edges = df.select(id_col, F.posexplode(F.flatten(F.transform(rings, ring_edges))).alias("no", "_e"))
+    return edges.select(id_col, F.col("no").cast("long").alias("no"), F.col("_e.a.x").alias("x1"), F.col("_e.a.y").alias("y1"),
                         F.col("_e.b.x").alias("x2"), F.col("_e.b.y").alias("y2"))
 
 

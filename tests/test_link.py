@@ -120,3 +120,87 @@ def test_non_convex_polygons_match_brute_force(spark):
     got = {r.postal_area_id: [r.station_id] for r in nearest_link(a, s).collect()}
     want = _expected(areas, stations, 1)
     assert got == want
+
+
+def _ring(n, cx, cy, rmin, rmax, seed):
+    """A winding outline of short edges between two radii."""
+    rnd, out = random.Random(seed), []
+    for i in range(n):
+        a = 2 * math.pi * i / n
+        r = (rmin + rmax) / 2 + (rmax - rmin) * 0.45 * math.sin((3 + seed) * a) + rnd.uniform(-0.01, 0.01)
+        out.append((cx + r * math.cos(a), cy + r * math.sin(a)))
+    return out
+
+
+def _brute_numpy(polys, stations, k):
+    import numpy as np
+    edges = np.array([(*r[i], *r[(i + 1) % len(r)]) for p in polys for r in p for i in range(len(r))], float)
+    x1, y1, x2, y2 = edges.T
+    out = []
+    for sid, px, py in stations:
+        dx, dy = x2 - x1, y2 - y1
+        t = np.clip(((px - x1) * dx + (py - y1) * dy) / (dx * dx + dy * dy), 0, 1)
+        d2 = ((px - x1 - t * dx) ** 2 + (py - y1 - t * dy) ** 2).min()
+        straddle = (y1 > py) != (y2 > py)
+        s = edges[straddle]
+        odd = (px < (s[:, 2] - s[:, 0]) * (py - s[:, 1]) / (s[:, 3] - s[:, 1]) + s[:, 0]).sum() % 2
+        out.append((0.0 if odd else d2, sid))
+    return [sid for _, sid in sorted(out)[:k]]
+
+
+def test_many_edges_and_stations_join_few_edges_per_station(spark):
+    """An area of 30,000 edges (hole, second part) with 2,000 stations in its box, and one whose ring holds none."""
+    from stratus.operators import link
+    from stratus.functions.geometry import explode_segments
+    rnd = random.Random(21)
+    outer, hole = _ring(16000, 0, 0, 80, 100, 1), _ring(8000, 0, 0, 30, 50, 2)
+    part = _ring(6000, 150, 0, 20, 30, 3)
+    big = [[outer, hole], [part]]
+    hollow = [[_ring(4000, 1000, 0, 95, 100, 4), _ring(4000, 1000, 0, 80, 85, 5)]]  # stations in its hole only
+    stations = [(s, rnd.uniform(-100, 180), rnd.uniform(-100, 100)) for s in range(2000)]
+    inside = [(5000 + s, 1000 + rnd.uniform(-50, 50), rnd.uniform(-50, 50)) for s in range(1000)]
+    a, s = _frames(spark, [(0, big), (1, hollow)], stations + inside)
+    got = {}
+    for r in nearest_link(a, s, k=3).collect():
+        got.setdefault(r.postal_area_id, {})[r.rank] = r.station_id
+    assert [got[0][i] for i in (1, 2, 3)] == _brute_numpy(big, stations, 3)
+    assert [got[1][i] for i in (1, 2, 3)] == _brute_numpy(hollow, inside, 3)
+    edges = explode_segments(a.select(F.col("id").alias("aid"), F.col("geometry").alias("g")), "aid", "g")
+    pairs = spark.createDataFrame([(0, *x) for x in stations], "aid long, sid long, x double, y double")
+    assert link._meet_bands(pairs, edges).count() < 30 * len(stations)
+
+
+def test_wide_area_and_far_cluster_hold_few_cells(spark):
+    from stratus.operators import link
+    rnd = random.Random(22)
+    wide = [(0, [[[(0, 0), (1000, 0), (1000, 1000), (0, 1000)]]])]
+    small = [(i, [[[(x, y), (x + 1, y), (x + 1, y + 1)]]]) for i, (x, y) in enumerate(
+        [(rnd.uniform(0, 1000), rnd.uniform(0, 1000)) for _ in range(60)], 1)]
+    cluster = [(s, 50000 + rnd.uniform(0, 5), 50000 + rnd.uniform(0, 5)) for s in range(3000)]
+    a, s = _frames(spark, wide + small, cluster + [(9000, -3.0, 500.0)])
+    fronts = []
+    orig = link._cells_for_areas
+
+    def spy(*args):
+        fronts.append(orig(*args))
+        return fronts[-1]
+
+    link._cells_for_areas = spy
+    try:
+        got = {r.postal_area_id: r.station_id for r in nearest_link(a, s, cell_size=1.0).collect()}
+        near = {r.postal_area_id: r.station_id for r in nearest_link(a, s.filter("id < 9000")).collect()}
+    finally:
+        link._cells_for_areas = orig
+    assert max(f.groupBy("aid").count().agg(F.max("count")).first()[0] or 0 for f in fronts) <= 64
+    assert got == {i: 9000 for i in range(61)}
+    for i, polys in wide + small:
+        assert [near[i]] == _brute_numpy(polys, cluster, 1)
+
+
+def test_stations_on_the_boundary_are_at_distance_zero(spark):
+    areas = [(0, [[[(0, 0), (10, 0), (10, 10), (0, 10)], [(4, 4), (6, 4), (6, 6), (4, 6)]]])]
+    stations = [(9, 5.0, 1.0), (3, 10.0, 10.0), (2, 5.0, 4.0), (1, 5.0, 5.0), (4, 10.0, 3.0), (5, 3.0, 10.0)]
+    a, s = _frames(spark, areas, stations)
+    rows = {r["rank"]: (r.station_id, r.distance) for r in nearest_link(a, s, k=6).collect()}
+    assert [rows[i] for i in range(1, 7)] == [(2, 0.0), (3, 0.0), (4, 0.0), (5, 0.0), (9, 0.0), (1, 1.0)]
+    assert nearest_link(a.filter("false"), s).count() == 0
