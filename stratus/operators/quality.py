@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stratus.functions import spec
 from stratus.functions.timeutil import hour_floor, seconds_between
 from stratus.operators.dedup import duplicate_keys
-from stratus.operators.joins import anti_check
+from stratus.session import materialize
 
 Check = tuple[str, Column]  # (check name, predicate that is TRUE on a failing row)
 
@@ -89,25 +89,32 @@ def check_no_duplicates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def check_timestamp_continuity(df: DataFrame, ts: str, max_gap_seconds: float = 3600.0,
-                               partition_by: Sequence[str] = (), bucket: str = "day") -> DataFrame:
+                               partition_by: Sequence[str] = (), bucket: str | None = None) -> DataFrame:
     """Timestamps whose distance to the previous distinct timestamp (per ``partition_by`` group) exceeds
     the allowed gap. Output: (partition cols..., ts, prev_timestamp, gap_seconds).
 
     Duplicate timestamps change no gap, so the work runs on distinct values. The lag is taken inside
-    (group, bucket) buckets — ``bucket`` "day" or "hour" — so no task holds a whole group's history (a
-    station with a third of all rows is spread over its days or hours); bucket boundaries are closed
-    by a lag over one summary row per (group, bucket), whose size is bounded by the time span, not by
-    the data.
+    (group, bucket) buckets, so no task holds a whole group's history, and the last value of a bucket is carried over
+    to the next one by a lag over one summary row per (group, bucket). ``bucket``:
+    * ``"range"`` (default without groups): ranges of the values themselves, sampled to be of one size, however
+      dense a day is; there are as many summary rows as ranges. The ranges are written once, as sampling twice might
+      cut them elsewhere;
+    * ``"day"`` (default with groups), ``"hour"``: calendar buckets; the summary is bounded by the time span.
     """
     keys = list(partition_by)
-    if bucket == "day":
-        b = F.to_date(F.col("_t"))
+    bucket = bucket or ("day" if keys else "range")
+    # buckets are computed on the NTZ wall clock: no time zone involved
+    d = df.select(*keys, F.col(ts).alias("_t")).filter(F.col("_t").isNotNull()).distinct()
+    if bucket == "range":
+        # more ranges than tasks, so that their hashes spread evenly
+        ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = materialize(d.repartitionByRange(ranges, *keys, "_t").withColumn("_b", F.spark_partition_id()), "ranges")
+    elif bucket == "day":
+        d = d.withColumn("_b", F.to_date("_t"))
     elif bucket == "hour":
-        b = hour_floor(F.col("_t").cast("timestamp_ntz"))
+        d = d.withColumn("_b", hour_floor(F.col("_t").cast("timestamp_ntz")))
     else:
         raise ValueError(bucket)
-    # buckets are computed on the NTZ wall clock: no time zone involved
-    d = df.select(*keys, F.col(ts).alias("_t")).filter(F.col("_t").isNotNull()).distinct().withColumn("_b", b)
     inner = d.withColumn("_p", F.lag("_t").over(Window.partitionBy(*keys, "_b").orderBy("_t")))
     edges = d.groupBy(*keys, "_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     edge_w = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
@@ -196,44 +203,58 @@ def mart_checks() -> list[Check]:
     ]
 
 
+def with_presence(child: DataFrame, parents: Iterable[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """``child`` with a flag per parent (flag name, parent, child key, parent key): is its key there? One join each on
+    the distinct keys (broadcast where they are small, split where a key is skewed), instead of an anti-join and scan a check."""
+    for flag, parent, key, parent_key in parents:
+        keys = parent.select(F.col(parent_key).alias(f"_{flag}")).filter(F.col(f"_{flag}").isNotNull()).distinct()
+        child = child.join(keys.withColumn(flag, F.lit(True)), F.col(key) == F.col(f"_{flag}"), "left").drop(f"_{flag}")
+        child = child.withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return child
+
+
 def link_suite(link: DataFrame, dim_st: DataFrame, dim_area: DataFrame) -> DataFrame:
-    rows = check_suite(link, [("null_station_ids", F.col("station_id").isNull()),
-                              ("null_postal_area_ids", F.col("postal_area_id").isNull()),
-                              ("null_created_at", F.col("created_at").isNull())])
-    cols = link.columns
-    orphans_st = anti_check(link, dim_st, "station_id", "id").select(F.lit("invalid_station_ids").alias("check_name"), *cols)
-    orphans_ar = anti_check(link, dim_area, "postal_area_id", "id").select(
-        F.lit("invalid_postal_area_ids").alias("check_name"), *cols)
-    return rows.unionByName(orphans_st).unionByName(orphans_ar)
+    flagged = with_presence(link, [("_st", dim_st, "station_id", "id"), ("_ar", dim_area, "postal_area_id", "id")])
+    return check_suite(flagged, [("null_station_ids", F.col("station_id").isNull()),
+                                 ("null_postal_area_ids", F.col("postal_area_id").isNull()),
+                                 ("null_created_at", F.col("created_at").isNull()),
+                                 ("invalid_station_ids", ~F.col("_st")), ("invalid_postal_area_ids", ~F.col("_ar"))], link.columns)
 
 
+def _tagged_keys(df: DataFrame, checks: Iterable[tuple[str, Column, str, str]]) -> DataFrame:
+    """(check_name, key1, key2) of every check (name, predicate, the two reported keys) a row fails, in one pass."""
+    found = F.array(*[F.when(pred, F.struct(F.lit(name).alias("check_name"), F.col(k1).cast("string").alias("key1"),
+                                            F.col(k2).cast("string").alias("key2"))) for name, pred, k1, k2 in checks])
+    return df.select(F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f")).select("f.*")
+
+
+# Check names are fixed values.
 def integrity_suite(stg_obs: DataFrame, stg_fc: DataFrame, stg_st: DataFrame, mart_fc: DataFrame,
                     link: DataFrame, dim_st: DataFrame, dim_area: DataFrame, as_of: str,
                     future_days: int = 7, past_days: int = 30) -> DataFrame:
     """Cross-model integrity: (check_name, key1, key2) with keys as text (the reference's union mixes
-    text and bigint keys and cannot compile; this keeps its intent)."""
+    text and bigint keys and cannot compile; this keeps its intent). Each of the four checked tables is read once: its
+    rows get the presence flags of their keys, and all its checks are asked of the row."""
     now = F.lit(as_of).cast("timestamp_ntz")
-
-    def tag(df: DataFrame, name: str, k1: str, k2: str) -> DataFrame:
-        return df.select(F.lit(name).alias("check_name"), F.col(k1).cast("string").alias("key1"),
-                         F.col(k2).cast("string").alias("key2"))
-
+    hour, area = ("wmo_station_id", "timestamp_utc"), ("plz", "timestamp_utc")
+    observed = with_presence(stg_obs.select(*hour), [("_st", stg_st, "wmo_station_id", "wmo_station_id")])
+    forecast = with_presence(stg_fc.select(*hour), [("_st", stg_st, "wmo_station_id", "wmo_station_id")])
+    mart = with_presence(mart_fc.select(*area, "station_count"), [("_ar", dim_area, "plz", "plz")])
+    linked = with_presence(link.select("postal_area_id", "station_id"),
+                           [("_ar", dim_area, "postal_area_id", "id"), ("_st", dim_st, "station_id", "id")])
     parts = [
-        tag(anti_check(stg_obs, stg_st, "wmo_station_id"), "weather_observed_invalid_station_ids",
-            "wmo_station_id", "timestamp_utc"),
-        tag(anti_check(stg_fc, stg_st, "wmo_station_id"), "weather_forecast_invalid_station_ids",
-            "wmo_station_id", "timestamp_utc"),
-        tag(anti_check(mart_fc, dim_area, "plz"), "aggregated_invalid_postal_codes", "plz", "timestamp_utc"),
-        tag(anti_check(link, dim_area, "postal_area_id", "id"), "link_table_invalid_postal_area_ids",
-            "postal_area_id", "station_id"),
-        tag(anti_check(link, dim_st, "station_id", "id"), "link_table_invalid_station_ids", "station_id",
-            "postal_area_id"),
-        tag(stg_fc.filter(F.col("timestamp_utc") > F.timestamp_add("DAY", F.lit(future_days), now)),
-            "forecast_timestamps_too_far_future", "wmo_station_id", "timestamp_utc"),
-        tag(stg_obs.filter(F.col("timestamp_utc") < F.timestamp_add("DAY", F.lit(-past_days), now)),
-            "observed_timestamps_too_old", "wmo_station_id", "timestamp_utc"),
-        tag(mart_fc.filter((F.col("station_count") < 1) | (F.col("station_count") > 100)),
-            "aggregated_unreasonable_station_counts", "plz", "timestamp_utc"),
+        _tagged_keys(observed, [
+            ("weather_observed_invalid_station_ids", ~F.col("_st"), *hour),
+            ("observed_timestamps_too_old", F.col("timestamp_utc") < F.timestamp_add("DAY", F.lit(-past_days), now), *hour)]),
+        _tagged_keys(forecast, [
+            ("weather_forecast_invalid_station_ids", ~F.col("_st"), *hour),
+            ("forecast_timestamps_too_far_future", F.col("timestamp_utc") > F.timestamp_add("DAY", F.lit(future_days), now), *hour)]),
+        _tagged_keys(mart, [
+            ("aggregated_invalid_postal_codes", ~F.col("_ar"), *area),
+            ("aggregated_unreasonable_station_counts", (F.col("station_count") < 1) | (F.col("station_count") > 100), *area)]),
+        _tagged_keys(linked, [
+            ("link_table_invalid_postal_area_ids", ~F.col("_ar"), "postal_area_id", "station_id"),
+            ("link_table_invalid_station_ids", ~F.col("_st"), "station_id", "postal_area_id")]),
     ]
     out = parts[0]
     for p in parts[1:]:

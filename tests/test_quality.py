@@ -37,3 +37,62 @@ def test_unique_and_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "k int, v string")
     assert [(r.k, r.n_records) for r in Q.check_unique(df, "k").collect()] == [(1, 2)]
     assert Q.check_no_duplicates(df, ["k", "v"]).count() == 0
+
+
+def test_integrity_reads_each_table_once_and_equals_anti_joins(spark):
+    from stratus.operators.joins import anti_check
+    hour = dt.datetime(2024, 1, 20)
+    old, far = hour - dt.timedelta(days=60), hour + dt.timedelta(days=60)
+    stg = "wmo_station_id string, timestamp_utc timestamp_ntz"
+    obs = spark.createDataFrame([("1", hour), ("2", old), (None, hour), ("9", old), ("9", None)], stg)
+    fc = spark.createDataFrame([("1", far), ("8", far), ("2", hour)], stg)
+    st = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "wmo_station_id string")
+    mart = spark.createDataFrame([("10001", hour, 1), ("10009", hour, 0), (None, hour, 500), ("10002", hour, None)],
+                                 "plz string, timestamp_utc timestamp_ntz, station_count long")
+    link = spark.createDataFrame([(1, 1), (2, 7), (5, 2), (None, None)], "postal_area_id long, station_id long")
+    dim_st = spark.createDataFrame([(1,), (2,)], "id long")
+    dim_ar = spark.createDataFrame([(1, "10001"), (2, "10002"), (2, "10002")], "id long, plz string")
+    got = sorted(map(tuple, Q.integrity_suite(obs, fc, st, mart, link, dim_st, dim_ar, "2024-01-21 00:00:00").collect()), key=str)
+    want = []
+    for name, child, parent, key, pk, other in (
+            ("weather_observed_invalid_station_ids", obs, st, "wmo_station_id", "wmo_station_id", "timestamp_utc"),
+            ("weather_forecast_invalid_station_ids", fc, st, "wmo_station_id", "wmo_station_id", "timestamp_utc"),
+            ("aggregated_invalid_postal_codes", mart, dim_ar, "plz", "plz", "timestamp_utc"),
+            ("link_table_invalid_postal_area_ids", link, dim_ar, "postal_area_id", "id", "station_id"),
+            ("link_table_invalid_station_ids", link, dim_st, "station_id", "id", "postal_area_id")):
+        want += [(name, *r) for r in anti_check(child, parent, key, pk).select(F.col(key).cast("string"), F.col(other).cast("string")).collect()]
+    for name, df, k1, k2 in (("observed_timestamps_too_old", obs.filter("timestamp_utc < timestamp_ntz'2023-12-22 00:00:00'"), "wmo_station_id", "timestamp_utc"),
+                             ("forecast_timestamps_too_far_future", fc.filter("timestamp_utc > timestamp_ntz'2024-01-28 00:00:00'"), "wmo_station_id", "timestamp_utc"),
+                             ("aggregated_unreasonable_station_counts", mart.filter("station_count < 1 OR station_count > 100"), "plz", "timestamp_utc")):
+        want += [(name, *r) for r in df.select(F.col(k1).cast("string"), F.col(k2).cast("string")).collect()]
+    assert got == sorted(want, key=str) and len({r[0] for r in got}) == 8
+
+
+def test_integrity_plan_has_one_scan_a_table(spark, tmp_dir):
+    frames = {"obs": "wmo_station_id string, timestamp_utc timestamp_ntz", "fc": "wmo_station_id string, timestamp_utc timestamp_ntz",
+              "mart": "plz string, timestamp_utc timestamp_ntz, station_count long", "link": "postal_area_id long, station_id long",
+              "st": "wmo_station_id string", "dim_st": "id long", "dim_ar": "id long, plz string"}
+    t = {}
+    for name, schema in frames.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_dir}/{name}")
+        t[name] = spark.read.schema(schema).parquet(f"{tmp_dir}/{name}")
+    plan = Q.integrity_suite(t["obs"], t["fc"], t["st"], t["mart"], t["link"], t["dim_st"], t["dim_ar"],
+                             "2024-01-21 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    for name in ("obs", "fc", "mart", "link"):
+        assert plan.count(f"{tmp_dir}/{name}]") == 1
+
+
+def test_continuity_of_one_dense_day_is_spread_over_ranges(spark):
+    rng = random.Random(9)
+    day, at = dt.datetime(2024, 3, 1), 0
+    stamps = []
+    for _ in range(20_000):
+        at += rng.choice([1, 2, 3, 3, 900])
+        stamps.append(day + dt.timedelta(milliseconds=at))
+    assert stamps[-1] < day + dt.timedelta(days=1)
+    df = spark.createDataFrame([(t,) for t in stamps + stamps[:500]] + [(None,)], "ts timestamp_ntz").repartition(3)
+    got = {(r.ts, r.prev_timestamp) for r in Q.check_timestamp_continuity(df, "ts", 0.5).collect()}
+    assert got == {(b, a) for a, b in zip(stamps, stamps[1:]) if b - a > dt.timedelta(seconds=0.5)} and len(got) > 3000
+    sizes = [r["count"] for r in df.distinct().repartitionByRange(16, "ts").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 4 * 20_000 / 16  # what the check does: ranges of one size
+    assert Q.check_timestamp_continuity(df.limit(0), "ts", 0.5).count() == 0
