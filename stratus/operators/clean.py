@@ -76,14 +76,16 @@ def standardize(df: DataFrame, raw_col: str = "raw", extra_cols=("batch_id",)) -
     return parsed.select(*out)
 
 
+def bad_measures(raw_col: str = "raw") -> Column:
+    """Names of the measures that a document has a value for that is not a number."""
+    doc = parse_doc(raw_col, spec.MEASURE_NAMES)
+    bad = [F.when(doc.getField(m).isNotNull() & to_double(doc.getField(m)).isNull(), F.lit(m)) for m in spec.MEASURE_NAMES]
+    return F.filter(F.array(*bad), lambda x: x.isNotNull())
+
+
 def quarantine_unparseable(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """Rows whose document holds a measure value that is present but not a number.
 
     The reference aborts the whole query on such text; here they are reported instead (``bad_keys``).
     """
-    parsed = with_parsed_measures(df, raw_col)
-    doc = parse_doc(raw_col, spec.MEASURE_NAMES)
-    bad = F.array(*[F.when(doc.getField(m).isNotNull() & F.col("_v_" + m).isNull(), F.lit(m))
-                    for m in spec.MEASURE_NAMES])
-    return (parsed.select(*df.columns, F.filter(bad, lambda x: x.isNotNull()).alias("bad_keys"))
-            .filter(F.size("bad_keys") > 0))
+    return df.withColumn("bad_keys", bad_measures(raw_col)).filter(F.size("bad_keys") > 0)

@@ -508,6 +508,88 @@ def _stitch(spark, d):
     return LD.stitch_topology_arcs(arcs, refs, LF.TOPO_SCALE, LF.TOPO_TRANSLATE).select("feature", "wkt")
 
 
+_FAULTY = "user_id % 17 != 0 AND CAST(floor(event_id / 16) AS BIGINT) % 40 != 39"
+_ROUTED_SQL = f"""SELECT CASE WHEN k % 50 IN (7, 8) THEN 'bad_timestamp' WHEN k % 50 = 9 THEN 'unknown_source'
+    WHEN k % 50 = 11 THEN 'bad_number' ELSE 'ok' END AS reason, lpad(CAST(user_id AS VARCHAR), 5, '0') AS station, ts
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e WHERE {_FAULTY}
+  UNION ALL SELECT CASE WHEN user_id % 17 = 0 THEN 'no_data' ELSE 'bad_document' END, NULL, NULL FROM (
+    SELECT DISTINCT user_id, CAST(floor(event_id / 16) AS BIGINT) AS chunk FROM events WHERE NOT ({_FAULTY})) d"""
+
+
+def _landed(spark, d):
+    path = LF.write_weather_responses(warehouse(spark, d).table("events"), LF.scratch(spark, "responses"), faults=True)
+    return LD.land_responses(spark.read.text(path), LF.scratch(spark, "landed"), "2024-02-01 06:01:00")
+
+
+@register("landing_accounting", f"""WITH routed AS ({_ROUTED_SQL})
+SELECT reason, count(*) AS n, count(*) AS observed, (SELECT count(*) FROM routed) AS rows_in FROM routed GROUP BY reason""")
+def _landing_accounting(spark, d):
+    """Rows of the written batch by where they went, beside the counts the write itself observed."""
+    landed = _landed(spark, d)
+    written = landed.accepted.select(F.lit("ok").alias("reason")).unionByName(landed.set_aside.select("reason"))
+    observed = F.create_map(*[x for r in LD.REASONS for x in (F.lit(r), F.lit(landed.counts[r]))])
+    return written.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(
+        "reason", "n", observed[F.col("reason")].cast("long").alias("observed"), F.lit(landed.counts["rows_in"]).cast("long").alias("rows_in"))
+
+
+@register("landing_set_aside", f"""SELECT reason, CASE WHEN reason IN ('bad_number', 'bad_timestamp') THEN station END AS wmo_station_id,
+  CASE WHEN reason IN ('bad_number', 'unknown_source') THEN ts END AS timestamp_utc FROM ({_ROUTED_SQL}) t WHERE reason <> 'ok'""")
+def _landing_set_aside(spark, d):
+    return _landed(spark, d).set_aside.select("reason", "wmo_station_id", "timestamp_utc")
+
+
+@register("landing_accepted", f"SELECT station AS wmo_station_id, ts AS timestamp_utc, TIMESTAMP '2024-02-01 06:01:00' AS load_dts FROM ({_ROUTED_SQL}) t WHERE reason = 'ok'")
+def _landing_accepted(spark, d):
+    return _landed(spark, d).accepted.select("wmo_station_id", "timestamp_utc", "load_dts")
+
+
+_TOPO_AREAS_SQL = f"""SELECT CAST(10000 + s_suppkey AS VARCHAR) AS plz, 'MULTIPOLYGON (' || {_sq_sql()} || ')' AS wkt,
+  'topojson' AS record_source, TIMESTAMP '2024-01-01 00:00:00' AS load_dts FROM {_SUPP} WHERE s_suppkey % 11 != 0 AND s_suppkey % 7 != 0"""
+
+
+@register("read_postal_topojson", _TOPO_AREAS_SQL)
+def _read_postal_topojson(spark, d):
+    """Five documents with the same arc numbers, one of them not quantised, with nested collections."""
+    path = LF.write_topology_documents(warehouse(spark, d).table("supplier"), LF.scratch(spark, "topology"))
+    return LD.read_postal_topojson(spark, path, prefix="10", load_dts="2024-01-01 00:00:00").drop("geometry")
+
+
+def _set_up(spark, d):
+    from stratus.plans.setup import set_up
+    wh = warehouse(spark, d)
+    stations = LF.write_station_list(wh.table("customer"), LF.scratch(spark, "stations"))
+    areas = LF.write_topology_documents(wh.table("supplier"), LF.scratch(spark, "topology"))
+    root = LF.scratch(spark, "set_up")
+    set_up(spark, root, stations, areas, "2023-12-31 00:00:00", prefix="10")
+    return set_up(spark, root, stations, areas, "2024-01-01 00:00:00", prefix="10")  # loaded again: the newer one counts
+
+
+register("setup_dim_station", f"""SELECT row_number() OVER (ORDER BY wmo_station_id) AS id, wmo_station_id,
+  station_name, lat, lon, TIMESTAMP '2024-01-01 00:00:00' AS load_dts FROM ({_STATION_LIST_SQL}) t WHERE trim(station_name) <> ''""")(
+    lambda spark, d: round_doubles(_set_up(spark, d)["dim_station"].select("id", "wmo_station_id", "station_name", "lat", "lon", "load_dts")))
+
+register("setup_dim_postal_area", f"SELECT row_number() OVER (ORDER BY plz) AS id, plz, wkt, load_dts FROM ({_TOPO_AREAS_SQL}) t")(
+    lambda spark, d: _set_up(spark, d)["dim_postal_area"].select("id", "plz", "wkt", "load_dts"))
+
+
+@register("station_properties", f"""SELECT wmo_station_id, country, height FROM ({_STATION_LIST_SQL}) t""")
+def _station_properties(spark, d):
+    """The whole record kept as JSON, read back."""
+    path = LF.write_station_list(warehouse(spark, d).table("customer"), LF.scratch(spark, "stations"))
+    raw = LD.station_raw(LD.read_station_list(spark, path), "2024-01-01 00:00:00")
+    return round_doubles(raw.select("wmo_station_id", F.get_json_object("properties", "$.country").alias("country"),
+                                    F.get_json_object("properties", "$.height").cast("double").alias("height")))
+
+
+@register("materialize_view", O.with_ctes(O.STATION_CTES) + "SELECT wmo_station_id, station_name, load_dts FROM stg_station")
+def _materialize_view(spark, d):
+    """A view model, asked through SQL: recomputed when it is read."""
+    from stratus.sources.raw_tables import materialize_view
+    name = f"stg_dim_station_{uuid.uuid4().hex[:8]}"
+    materialize_view(warehouse(spark, d).stg_station(), name)
+    return spark.sql(f"SELECT wmo_station_id, station_name, load_dts FROM {name}")
+
+
 register("geom_wkt_roundtrip", O.with_ctes(O.POSTAL_CTES)
          + "SELECT plz, replace(wkt, 'MULTIPOLYGON(((', 'MULTIPOLYGON (((') AS wkt FROM dim_postal_area")(
     lambda spark, d: warehouse(spark, d).dim_postal_area().select("plz", geom_to_wkt(geom_from_wkt("wkt")).alias("wkt")))

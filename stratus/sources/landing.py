@@ -7,12 +7,17 @@ is one document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus.functions.geometry import geom_from_wkt, geom_to_wkt
 from stratus.functions.timeutil import hour_floor
+from stratus.operators.clean import bad_measures
+from stratus.session import materialize
 
 # A number as Python's float() accepts it in these files (plain decimal / exponent, nan, inf).
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i)nan|(?i)inf(inity)?)$"
@@ -151,6 +156,71 @@ def explode_weather_response(docs: DataFrame, record_source: str = "weather_api"
     return out if keep_unknown_sources else out.filter(F.col("wmo_station_id").isNotNull())
 
 
+# Why an observation, or a document, is set aside (in the order they are asked).
+REASONS = ("ok", "bad_document", "no_data", "bad_timestamp", "unknown_source", "bad_number")
+
+
+def route_responses(docs: DataFrame, record_source: str = "weather_api", doc_col: str = "value") -> DataFrame:
+    """Every observation of every response document, and every document that has none to give, with where it goes:
+    ``reason, wmo_station_id, timestamp_utc, raw, bright_sky_source_mapping, record_source``.
+
+    * ``ok``: a raw weather row;
+    * ``bad_document``: the text is not JSON (the document itself is ``raw``);
+    * ``no_data``: a "no data" marker document;
+    * ``bad_timestamp``: missing, or not ISO-8601 (the reference skips it without a word);
+    * ``unknown_source``: a ``source_id`` that no source of the document has (it fails the reference's whole batch);
+    * ``bad_number``: a measure that is there but is no number (it aborts the reference's staging).
+
+    A valid document without observations gives no row. NULL documents count as not JSON.
+    """
+    doc = F.col(doc_col)
+    parsed = docs.select(doc.alias("doc"), F.from_json(doc, RESPONSE_SCHEMA).alias("r"))
+    nothing = F.col("r.weather").isNull() & F.col("r.sources").isNull() & F.col("r._no_data").isNull()
+    whole = (F.when(nothing & F.try_parse_json("doc").isNull(), F.lit("bad_document"))
+             .when(F.coalesce("r._no_data", F.lit(False)), F.lit("no_data")))
+    no_rows = F.array().cast("array<string>")
+    elements = F.when(F.col("whole").isNotNull(), F.array("doc")).otherwise(F.coalesce("r.weather", no_rows))
+    rows = parsed.withColumn("whole", whole).select(
+        "whole", F.explode(elements).alias("w"), F.coalesce("r.sources", no_rows).alias("sources"))
+    source_id = F.get_json_object("w", "$.source_id")
+    of_id = F.filter("sources", lambda x: F.get_json_object(x, "$.id") == source_id)
+    rows = rows.select("whole", "w", F.try_element_at(of_id, F.lit(-1)).alias("src"),  # the last of equal ids wins
+                       iso_to_utc_ntz(F.get_json_object("w", "$.timestamp")).alias("ts"))
+    station = F.get_json_object("src", "$.wmo_station_id")
+    reason = (F.when(F.col("whole").isNotNull(), F.col("whole")).when(F.col("ts").isNull(), F.lit("bad_timestamp"))
+              .when(station.isNull(), F.lit("unknown_source")).when(F.size(bad_measures("w")) > 0, F.lit("bad_number"))
+              .otherwise(F.lit("ok")))
+    return rows.select(reason.alias("reason"), station.alias("wmo_station_id"), F.col("ts").alias("timestamp_utc"),
+                       F.col("w").alias("raw"), F.col("src").alias("bright_sky_source_mapping"),
+                       F.lit(record_source).alias("record_source"))
+
+
+@dataclass(frozen=True)
+class Landed:
+    """One written batch: its raw rows, the rows set aside (with their ``reason``), and the number of rows that went
+    each way, as counted by the write itself."""
+
+    accepted: DataFrame
+    set_aside: DataFrame
+    counts: dict[str, int]
+    path: str
+
+
+def land_responses(docs: DataFrame, path: str, load_dts: str, record_source: str = "weather_api") -> Landed:
+    """Route a batch of response documents and write all of it in one pass to a folder of its own under ``path``,
+    partitioned by reason, one load stamp for the batch. Rows in are rows out plus rows set aside, or it raises."""
+    routed = route_responses(docs, record_source).withColumn("load_dts", F.lit(load_dts).cast("timestamp_ntz"))
+    seen = Observation()
+    counted = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+    own = f"{path}/batch-{uuid.uuid4().hex}"
+    routed.observe(seen, F.count(F.lit(1)).alias("rows_in"), *counted).write.partitionBy("reason").parquet(own)
+    counts = dict(seen.get)
+    if counts["rows_in"] != sum(counts[r] for r in REASONS):
+        raise RuntimeError(f"rows in and out differ: {counts}")
+    written = docs.sparkSession.read.schema(routed.schema).parquet(own)
+    return Landed(written.filter(F.col("reason") == "ok").drop("reason"), written.filter(F.col("reason") != "ok"), counts, own)
+
+
 def append_raw(df: DataFrame, path: str, load_dts: str) -> None:
     """Bulk append with one load stamp for the whole batch, partitioned by load date."""
     (df.withColumn("load_dts", F.lit(load_dts).cast("timestamp_ntz"))
@@ -263,47 +333,112 @@ def stitch_topology_arcs(arc_points: DataFrame, ring_refs: DataFrame, scale=(1.0
                          translate=(0.0, 0.0)) -> DataFrame:
     """Decode shared, delta-encoded arcs and stitch them into rings and multipolygons.
 
-    ``arc_points``: (arc_id, pos, dx, dy) — quantised deltas, first point absolute.
+    ``arc_points``: (arc_id, pos, dx, dy) — quantised deltas, first point absolute. With ``sx, sy, tx, ty`` columns these
+    are the arc's scale and translation instead of the arguments; NULL there: the positions are absolute.
     ``ring_refs``: (feature, poly, ring, ref_pos, ref) — ``ref >= 0`` is arc ``ref``; ``ref < 0`` is arc
-    ``~ref`` walked backwards. Consecutive arcs share their joint point, which is kept once.
-    Returns (feature, geometry, wkt).
+    ``~ref`` walked backwards. Consecutive arcs share their joint point, which is kept once. Arc ids are numbers of a
+    document: with a ``doc`` column in both tables, references mean arcs of their own document. Only arcs that
+    are referred to are decoded. Returns ([doc,] feature, geometry, wkt).
     """
-    w = Window.partitionBy("arc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    pts = arc_points.select("arc_id", "pos",
-                            (F.sum("dx").over(w) * F.lit(float(scale[0])) + F.lit(float(translate[0]))).alias("x"),
-                            (F.sum("dy").over(w) * F.lit(float(scale[1])) + F.lit(float(translate[1]))).alias("y"))
-    n = pts.groupBy("arc_id").agg(F.max("pos").alias("last"))
-    refs = ring_refs.select("feature", "poly", "ring", "ref_pos",
+    key = ["doc"] if "doc" in arc_points.columns else []
+    refs = ring_refs.select(*key, "feature", "poly", "ring", "ref_pos",
                             F.when(F.col("ref") >= 0, F.col("ref")).otherwise(-F.col("ref") - 1).alias("arc_id"),
                             (F.col("ref") < 0).alias("rev"))
-    joined = (refs.join(n, "arc_id").join(pts, "arc_id")
+    used = arc_points.join(refs.select(*key, "arc_id").distinct(), [*key, "arc_id"], "left_semi")
+    w = Window.partitionBy(*key, "arc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+
+    def position(delta: str, axis: int, s: str, t: str) -> Column:
+        if s not in arc_points.columns:
+            return F.sum(delta).over(w) * F.lit(float(scale[axis])) + F.lit(float(translate[axis]))
+        return F.when(F.col(s).isNull(), F.col(delta)).otherwise(F.sum(delta).over(w) * F.col(s) + F.col(t))
+
+    pts = used.select(*key, "arc_id", "pos", position("dx", 0, "sx", "tx").alias("x"), position("dy", 1, "sy", "ty").alias("y"))
+    n = used.groupBy(*key, "arc_id").agg(F.max("pos").alias("last"))
+    joined = (refs.join(n, [*key, "arc_id"]).join(pts, [*key, "arc_id"])
               .withColumn("k", F.when(F.col("rev"), F.col("last") - F.col("pos")).otherwise(F.col("pos")))
               .filter((F.col("ref_pos") == 0) | (F.col("k") > 0)))
-    rings = (joined.groupBy("feature", "poly", "ring")
+    rings = (joined.groupBy(*key, "feature", "poly", "ring")
              .agg(F.array_sort(F.collect_list(F.struct("ref_pos", "k", "x", "y"))).alias("p"))
-             .select("feature", "poly", "ring", F.transform("p", lambda q: F.named_struct(F.lit("x"), q.x, F.lit("y"), q.y)).alias("pts")))
-    polys = (rings.groupBy("feature", "poly").agg(F.array_sort(F.collect_list(F.struct("ring", "pts"))).alias("r"))
-             .select("feature", "poly", F.transform("r", lambda q: q.pts).alias("rings")))
-    geoms = (polys.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("poly", "rings"))).alias("g"))
-             .select("feature", F.transform("g", lambda q: q.rings).alias("geometry")))
-    return geoms.select("feature", "geometry", geom_to_wkt("geometry").alias("wkt"))
+             .select(*key, "feature", "poly", "ring", F.transform("p", lambda q: F.named_struct(F.lit("x"), q.x, F.lit("y"), q.y)).alias("pts")))
+    polys = (rings.groupBy(*key, "feature", "poly").agg(F.array_sort(F.collect_list(F.struct("ring", "pts"))).alias("r"))
+             .select(*key, "feature", "poly", F.transform("r", lambda q: q.pts).alias("rings")))
+    geoms = (polys.groupBy(*key, "feature").agg(F.array_sort(F.collect_list(F.struct("poly", "rings"))).alias("g"))
+             .select(*key, "feature", F.transform("g", lambda q: q.rings).alias("geometry")))
+    return geoms.select(*key, "feature", "geometry", geom_to_wkt("geometry").alias("wkt"))
+
+
+_TOPOLOGY = "struct<arcs:array<array<array<double>>>, objects:map<string,string>, transform:struct<scale:array<double>,translate:array<double>>>"
+
+
+def _documents(docs: DataFrame, doc_col: str) -> DataFrame:
+    """``doc`` (the text's SHA-256) and the parsed topology ``t``; equal documents once."""
+    return docs.filter(F.col(doc_col).isNotNull()).select(F.sha2(F.col(doc_col), 256).alias("doc"), F.col(doc_col).alias("_text")) \
+        .dropDuplicates(["doc"]).select("doc", F.from_json("_text", _TOPOLOGY).alias("t"))
+
+
+def _arcs(parsed: DataFrame, *cols) -> DataFrame:
+    arcs = parsed.select("doc", *cols, F.posexplode("t.arcs").alias("arc_id", "pts"))
+    keep = [c for c in arcs.columns if c != "pts"]
+    arcs = arcs.select(*keep, F.posexplode("pts").alias("pos", "p"))
+    return arcs.select(*[F.col(c).cast("long").alias(c) if c == "arc_id" else c for c in keep], "pos",
+                       F.col("p")[0].alias("dx"), F.col("p")[1].alias("dy"))
 
 
 def topology_tables(doc: DataFrame, object_name: str, doc_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """A TopoJSON document column -> (arc_points, ring_refs) for ``stitch_topology_arcs``; the feature
-    key is ``properties.postcode``."""
-    t = doc.select(F.from_json(F.col(doc_col), "struct<arcs:array<array<array<double>>>, objects:map<string,string>>").alias("t"))
-    arcs = t.select(F.posexplode("t.arcs").alias("arc_id", "pts")).select(
-        "arc_id", F.posexplode("pts").alias("pos", "p")).select(
-        F.col("arc_id").cast("long"), "pos", F.col("p")[0].alias("dx"), F.col("p")[1].alias("dy"))
-    geoms = t.select(F.explode(F.from_json(F.get_json_object(F.col("t.objects")[object_name], "$.geometries"),
-                                           "array<string>")).alias("g"))
-    geoms = geoms.select(F.trim(F.get_json_object("g", "$.properties.postcode")).alias("feature"),
-                         F.get_json_object("g", "$.type").alias("type"), F.get_json_object("g", "$.arcs").alias("a"))
-    polys = geoms.select("feature", F.when(F.col("type") == "Polygon",
-                                           F.array(F.from_json("a", "array<array<long>>")))
-                         .otherwise(F.from_json("a", "array<array<array<long>>>")).alias("polys"))
-    refs = (polys.select("feature", F.posexplode("polys").alias("poly", "rings"))
-            .select("feature", "poly", F.posexplode("rings").alias("ring", "arcs"))
-            .select("feature", "poly", "ring", F.posexplode("arcs").alias("ref_pos", "ref")))
-    return arcs, refs
+    """TopoJSON documents -> (arc_points, ring_refs) for ``stitch_topology_arcs``, keyed by document; the feature
+    key is ``properties.postcode``. Arcs are taken as deltas."""
+    t = _documents(doc, doc_col)
+    geoms = t.select("doc", F.explode(F.from_json(F.get_json_object(F.col("t.objects")[object_name], "$.geometries"),
+                                                  "array<string>")).alias("g"))
+    geoms = geoms.select("doc", F.trim(F.get_json_object("g", "$.properties.postcode")).alias("feature"), "g")
+    return _arcs(t), _ring_refs(geoms.withColumn("path", F.array(F.lit(0))), "doc", "feature").drop("path") \
+        .select("doc", "feature", F.col("poly")[1].alias("poly"), "ring", "ref_pos", "ref")
+
+
+def _ring_refs(geoms: DataFrame, *keys: str) -> DataFrame:
+    """Ring references of the geometries ``g`` that are polygons; a polygon is numbered by its geometry's ``path``
+    and its place there."""
+    a, t = F.get_json_object("g", "$.arcs"), F.get_json_object("g", "$.type")
+    polys = F.when(t == "Polygon", F.array(F.from_json(a, "array<array<long>>"))) \
+        .when(t == "MultiPolygon", F.from_json(a, "array<array<array<long>>>"))
+    return (geoms.select(*keys, "path", F.posexplode(polys).alias("p", "rings"))
+            .select(*keys, F.concat("path", F.array("p")).alias("poly"), F.posexplode("rings").alias("ring", "arcs"))
+            .select(*keys, "poly", "ring", F.posexplode("arcs").alias("ref_pos", "ref")).withColumn("path", F.lit(None)))
+
+
+def postal_from_topology(docs: DataFrame, prefix: str | None = None, load_dts: str | None = None, doc_col: str = "value",
+                         record_source: str = "topojson") -> DataFrame:
+    """TopoJSON documents -> postal_area_raw rows, as the GeoJSON reader gives them.
+
+    A feature is a geometry with ``properties.postcode`` in any object of a document, or inside collections there, however deep;
+    the polygons of a collection belong to the nearest feature around them. Codes are trimmed, features without one, outside the
+    prefix or without a polygon dropped. Arcs are deltas where the document has a ``transform``, else absolute.
+    The loop runs over the depth of nesting, not over data.
+    """
+    t = _documents(docs, doc_col)
+    level = t.select("doc", F.posexplode(F.map_values("t.objects")).alias("i", "g")) \
+        .withColumn("path", F.array("i")).withColumns({"plz": F.lit(None).cast("string"), "of": F.lit(None).cast("array<int>")})
+    found = None
+    while True:
+        own = F.trim(F.get_json_object("g", "$.properties.postcode"))
+        level = materialize(level.select("doc", "path", "g", F.coalesce(own, "plz").alias("plz"),
+                                         F.when(own.isNotNull(), F.col("path")).otherwise(F.col("of")).alias("of")), "topology")
+        found = level if found is None else found.unionByName(level)
+        collections = level.filter(F.get_json_object("g", "$.type") == "GeometryCollection")
+        if collections.isEmpty():
+            break
+        members = F.from_json(F.get_json_object("g", "$.geometries"), "array<string>")
+        level = collections.select("doc", "plz", "of", "path", F.posexplode(members).alias("i", "member")) \
+            .select("doc", "plz", "of", F.concat("path", F.array("i")).alias("path"), F.col("member").alias("g"))
+    scoped = prefix_scope(found.filter(F.col("plz").isNotNull()), prefix)
+    refs = _ring_refs(scoped.withColumn("feature", F.struct("of", "plz")), "doc", "feature").drop("path")
+    scale = {s: F.col(f"t.transform.{part}")[axis].alias(s) for s, part, axis in
+             (("sx", "scale", 0), ("sy", "scale", 1), ("tx", "translate", 0), ("ty", "translate", 1))}
+    out = stitch_topology_arcs(_arcs(t, *scale.values()), refs)
+    out = out.select(F.col("feature.plz").alias("plz"), "wkt", "geometry", F.lit(record_source).alias("record_source"))
+    return out if load_dts is None else out.withColumn("load_dts", F.lit(load_dts).cast("timestamp_ntz"))
+
+
+def read_postal_topojson(spark: SparkSession, path: str, prefix: str | None = None, load_dts: str | None = None) -> DataFrame:
+    """TopoJSON files, one document each."""
+    return postal_from_topology(spark.read.text(path, wholetext=True), prefix, load_dts)

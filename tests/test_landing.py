@@ -105,3 +105,46 @@ def test_readers_feed_the_models(spark):
     feats = _docs(spark, {"properties": {"postcode": "10115"}, "geometry": {"type": "Polygon", "coordinates": sq}})
     dim = models.dim_postal_area(models.stg_postal_area(L.read_postal_features(feats, load_dts="2024-01-01 00:00:00")))
     assert [(r.id, r.plz) for r in dim.collect()] == [(1, "10115")]
+
+
+def test_every_element_goes_one_way(spark, tmp_dir):
+    w = [dict(OBS), dict(OBS, timestamp="bad"), dict(OBS, timestamp=None), dict(OBS, source_id=1), dict(OBS, solar="much"),
+         dict(OBS, timestamp="bad", source_id=1, solar="x"), dict(OBS, source_id=1, solar="x")]
+    marker = {"weather": [OBS], "sources": [], "_no_data": True}
+    whole = [{"weather": w, "sources": [dict(SRC, wmo_station_id="0"), SRC]}, marker, {}, {"weather": [], "sources": []}]
+    docs = spark.createDataFrame([(json.dumps(d),) for d in whole] + [('{"weather": [{"a"',), (None,), ("",)], "value string")
+    landed = L.land_responses(docs, tmp_dir + "/landed", "2024-01-01 00:00:00")
+    ways = {"ok": 1, "bad_timestamp": 3, "unknown_source": 2, "bad_number": 1, "no_data": 1, "bad_document": 3}
+    assert landed.counts == {**ways, "rows_in": sum(ways.values())}
+    assert [(r.wmo_station_id, r.timestamp_utc, r.load_dts) for r in landed.accepted.collect()] == [
+        ("40777", dt.datetime(2021, 3, 14, 9, 20), dt.datetime(2024, 1, 1))]
+    aside = landed.set_aside.groupBy("reason").count().collect()
+    assert {r.reason: r["count"] for r in aside} == {k: v for k, v in ways.items() if k != "ok"}
+    assert landed.accepted.columns == L.explode_weather_response(docs, load_dts="2024-01-01 00:00:00").columns
+    none = L.land_responses(docs.limit(0), tmp_dir + "/landed", "2024-01-01 00:00:00")
+    assert none.counts["rows_in"] == 0 and none.accepted.count() == none.set_aside.count() == 0
+
+
+def test_topology_documents_keep_their_own_arcs(spark):
+    def square(x, y, code, absolute=False):
+        pts = [[x, y], [x + 1, y], [x + 1, y + 1], [x, y + 1], [x, y]]
+        deltas = pts[:1] + [[b[0] - a[0], b[1] - a[1]] for a, b in zip(pts, pts[1:])]
+        geometry = {"type": "Polygon", "arcs": [[0]], "properties": {"postcode": code}}
+        doc = {"arcs": [pts if absolute else deltas, [[0, 0]]], "objects": {"x": {"type": "GeometryCollection", "geometries": [geometry]}}}
+        return doc if absolute else {**doc, "transform": {"scale": [2, 2], "translate": [10, 0]}}
+
+    nested = square(0, 0, None, True)
+    nested["objects"]["x"]["geometries"] = [
+        {"type": "GeometryCollection", "properties": {"postcode": "10003"}, "geometries": [
+            {"type": "GeometryCollection", "geometries": [{"type": "Polygon", "arcs": [[0]]}, {"type": "Point", "coordinates": [0, 0]}]},
+            {"type": "MultiPolygon", "arcs": [[[0]], [[-1]]]}, {"type": "Polygon", "arcs": [[0]], "properties": {"postcode": "10004"}}]},
+        {"type": "LineString", "arcs": [0], "properties": {"postcode": "10005"}}, {"type": None, "properties": {"postcode": "10006"}}]
+    docs = _docs(spark, square(0, 0, " 10001 "), square(5, 5, "10002", True), square(0, 0, "20001"), square(0, 0, None), nested, nested)
+    got = {}
+    for r in L.postal_from_topology(docs, prefix="10", load_dts="2024-01-01 00:00:00").collect():
+        assert r.plz not in got and r.load_dts == dt.datetime(2024, 1, 1) and r.record_source == "topojson"
+        got[r.plz] = r.wkt
+    unit, back = "((0 0, 1 0, 1 1, 0 1, 0 0))", "((0 0, 0 1, 1 1, 1 0, 0 0))"
+    assert got == {"10001": "MULTIPOLYGON (((10 0, 12 0, 12 2, 10 2, 10 0)))", "10002": "MULTIPOLYGON (((5 5, 6 5, 6 6, 5 6, 5 5)))",
+                   "10003": f"MULTIPOLYGON ({unit}, {unit}, {back})", "10004": f"MULTIPOLYGON ({unit})"}
+    assert L.postal_from_topology(docs.limit(0)).count() == 0
