@@ -1,8 +1,9 @@
 """Connected components of an undirected edge table: union-find inside partitions, then star contraction.
 
 Edges are long pairs ``(a, b)``. Each task first runs union-find over its own edges and passes on only a
-spanning forest. Then large-star and small-star rounds (every node hands its neighbours to the smallest
-one) run as grouped joins until nothing changes. No group is gathered: the minima are aggregated with
+spanning forest. A forest of ``FEW_EDGES`` edges or fewer is finished by union-find in one task. A larger one
+goes through large-star and small-star rounds (every node hands its neighbours to the smallest
+one), grouped joins that run until nothing changes. No group is gathered: the minima are aggregated with
 partial sums before the shuffle, and a node with very many edges is a skewed join side, which AQE splits.
 """
 
@@ -38,6 +39,7 @@ class UnionFind:
 
 
 MOST_NODES = 1_000_000  # of one task's forest; it is passed on and begun anew beyond
+FEW_EDGES = 400_000  # they have fewer nodes than MOST_NODES
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,6 +62,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, component`` (smallest reachable node) for every node of an edge; raises if not done in ``rounds``."""
     links = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long"))
                     .where("a <> b").mapInArrow(_forest, "a long, b long").distinct(), "forest")
+    if links.count() <= FEW_EDGES:
+        roots = links.coalesce(1).mapInArrow(_forest, "a long, b long")
+        return written(roots.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("component")),
+                                                      F.struct(F.col("b").alias("node"), F.col("b").alias("component")))).alias("x"))
+                       .select("x.*"), "roots").distinct()
     before = None
     for _ in range(rounds):
         both = links.union(links.select("b", "a"))

@@ -8,7 +8,7 @@
    popular member (most meetings over all bands: the likely original) is paired with each other member,
    and these pairs are verified on the full sets and grouped. Where a bucket's members are then still in
    different components, its members outside the bucket's largest component are compared with all
-   members of other components, block against block inside tasks: blocks are bounded in bytes, the
+   members of other components, block against block inside tasks: blocks are bounded in bytes and rows, the
    signatures rule out pairs five standard errors below the threshold, the rest are decided on the full
    sets, a pair in the first band it shares only, and a task passes on a spanning forest of the links.
    So every two members of a bucket are compared or known to be connected; none is dropped.
@@ -67,7 +67,7 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray,
 
 
 SIGNED = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>, signature binary"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES, ROW_BYTES = 4 << 20, 1 << 10  # a row counts as its set and so many bytes: 4,096 rows a block at most
 
 
 def _signer(size: int, n_bands: int, rows: int):
@@ -140,12 +140,13 @@ def _block_comparer(percent: int, positions: int):
             alike = (signature[right] == signature[u]).sum(axis=1)
             near = (alike >= least) & (component[right] != component[u]) & (
                 100 * np.minimum(size[right], size[u]) >= percent * np.maximum(size[right], size[u]))
+            near = np.flatnonzero(near)
+            first = (shared[right[near]] == shared[u]).argmax(axis=1)
+            near = near[shared[u][first] == band]  # the others meet in an earlier band
             for x in right[near][np.argsort(-alike[near], kind="stable")]:
                 a, b = int(doc[u]), int(doc[x])
                 if forest.find(-1 - a) == forest.find(-1 - b):
                     continue
-                if shared[u][np.argmax(shared[u] == shared[x])] != band:
-                    continue  # they meet in an earlier band
                 if _linked(sets[u], sets[x], percent):
                     forest.union(-1 - a, -1 - b)
                     links.append((min(a, b), max(a, b)))
@@ -212,7 +213,7 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
 def _blocks(left: DataFrame, signed: DataFrame, payload: DataFrame) -> DataFrame:
     """Each bucket's outside members (blocks i) against all its members (blocks j); a block holds
     ``BLOCK_BYTES`` of sets and one document more at most."""
-    bytes_of = payload.select("doc_id", F.length("shingles").alias("bytes")).groupBy("doc_id").agg(F.max("bytes").alias("bytes"))
+    bytes_of = payload.select("doc_id", (F.length("shingles") + ROW_BYTES).alias("bytes")).groupBy("doc_id").agg(F.max("bytes").alias("bytes"))
     sized = left.join(bytes_of, "doc_id")
     u = sized.where("outside")
     both = u.union(sized.withColumn("outside", F.lit(False)))
