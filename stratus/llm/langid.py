@@ -5,11 +5,11 @@ smallest hash of their id, ``SAMPLE_ROWS`` in all, or ``LEAST_ROWS`` a language
 each language's sample is kept from training; on it the temperature is set, and the rejection threshold: the
 probability that all but ``REJECT_SHARE`` of its documents reach, at most halfway from chance to certainty
 (a small sample's least sure document is no measure of its share). Where a single language is learned, the
-same documents with their features thrown into random buckets are a second class, ``und``, so that there is
-something to tell it from; what is told as ``und`` is rejected.
+same documents with their features thrown into random buckets are a second class, so that there is
+something to tell it from; what is told as that class gets the learned language, with its probability, and is rejected.
 
-Defined cases: null text or text without a letter is ``und`` with score 0 and rejected. With nothing to
-learn from, every text is ``und``. Null lang is not learned. A null doc_id counts as empty text in the
+Defined cases: null text or text without a letter is ``und`` with score 0 and rejected. ``und`` may be a learned
+language as any other. With nothing to learn from (an empty table too), every text is ``und``. Very long texts are scored whole. Null lang is not learned. A null doc_id counts as empty text in the
 hold-out rule. Repeated rows are scored each; other columns are ignored.
 """
 
@@ -29,6 +29,7 @@ from stratus.llm.tables import held_out
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_ROWS, LEAST_ROWS, REJECT_SHARE = 3000, 20, 0.001
 UNKNOWN = "und"
+LANG, STRANGE = "=", "?"  # class names: a language behind LANG, so that none is the strange class
 FEATURES = Features(bits=15, grams=(3,), lower=True)
 
 
@@ -45,7 +46,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, float]
     near = known.select("lang", "text", F.xxhash64("doc_id").alias("h")).join(last, "lang").where("h <= last")
     order = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
     rows = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
-    return learned(rows.select(F.col("lang").alias("label"), "text"), FEATURES, _learn)
+    return learned(rows.select(F.concat(F.lit(LANG), F.col("lang").cast("string")).alias("label"), "text"), FEATURES, _learn)
 
 
 def _learn(sample: list) -> tuple[Model, float]:
@@ -58,7 +59,7 @@ def _learn(sample: list) -> tuple[Model, float]:
         (kept_out if place[x[0]] % 5 == 4 else taught).append(x)
         place[x[0]] += 1
     model = calibrated(train(taught, classes, FEATURES), kept_out)
-    known = [x for x in kept_out if x[0] != UNKNOWN]
+    known = [x for x in kept_out if x[0] != STRANGE]
     if not known:
         return model, 0.0
     sure = probabilities(model, known, model.temperature).max(axis=1)
@@ -68,7 +69,7 @@ def _learn(sample: list) -> tuple[Model, float]:
 def _scattered(sample: list) -> list:
     """The documents with each feature in a random bucket of its kind."""
     rng = np.random.default_rng(5)
-    return [(UNKNOWN, (bucket >> FEATURES.bits << FEATURES.bits) + rng.integers(0, 1 << FEATURES.bits, len(bucket), dtype=np.int32), count)
+    return [(STRANGE, (bucket >> FEATURES.bits << FEATURES.bits) + rng.integers(0, 1 << FEATURES.bits, len(bucket), dtype=np.int32), count)
             for _, bucket, count in sample]
 
 
@@ -84,15 +85,18 @@ def predict(docs: DataFrame, fitted: tuple[Model, float] | None) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, threshold = shared.value
-        names = np.array(model.classes, dtype=object)
+        names = np.array([c.removeprefix(LANG) for c in model.classes], dtype=object)
+        strange = np.array([c == STRANGE for c in model.classes])
         for batch in batches:
             letters = batch.column(flag).to_numpy(zero_copy_only=False)
             p = model.scores(batch.column(at))
+            odd = strange[p.argmax(axis=1)]
+            p = np.where(strange, -1.0, p)
             top = p.argmax(axis=1)
             score = np.where(letters, p.max(axis=1), 0.0)
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:flag], pa.array(np.where(letters, names[top], UNKNOWN), pa.string()), pa.array(score),
-                pa.array(~letters | (score < threshold) | (names[top] == UNKNOWN))], [*keep, "lang_pred", "score", "rejected"])
+                pa.array(~letters | (score < threshold) | odd)], [*keep, "lang_pred", "score", "rejected"])
 
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
     for f in schema:

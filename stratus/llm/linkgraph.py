@@ -15,18 +15,20 @@ round is one join on the source host and one sum by target, cut by a written tab
 many links is a skewed join side, which AQE splits; the sums are partial before the shuffle.
 
 Defined cases: a null url or one without ``://`` has empty host and path, no rule fits, verdict allow. Null
-html has no links. Repeated rows are judged each; repeated rules count once; of equally long rules block
+html has no links. Very long texts are searched whole. Repeated rows are judged each; repeated rules count once; of equally long rules block
 wins. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm.tables import written
 
-DAMPING, ROUNDS, SETTLED, LEAST = 0.85, 30, 1e-6, 0.05
+DAMPING, SETTLED, LEAST = 0.85, 1e-6, 0.05
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HREF = r"""(?i)<[a-z][^<>]*?\shref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -64,9 +66,11 @@ def host_edges(pages: DataFrame) -> DataFrame:
         .where("src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:
     """Personalised PageRank for each ``kind``: ``edges(kind, src, dst, n)``, ``seeds(kind, host, strength)`` ->
-    ``kind, host, score``. Stops when no kind's scores move by more than ``settled`` per seed in all."""
+    ``kind, host, score``. Goes on until the scores move by no more than ``settled`` per seed in all. A round moves them by
+    at most ``damping`` of what the round before did, so that takes log(settled) / log(damping) rounds at most; more would mean
+    a fault, and raise."""
     total = edges.groupBy("kind", "src").agg(F.sum("n").alias("total"))
     edges = written(edges.join(total, ["kind", "src"]).select(
         "kind", F.col("src").alias("host"), "dst", (F.col("n") / F.col("total")).alias("share")), "host_edges")
@@ -75,7 +79,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     scores = written(base.withColumnRenamed("part", "score"), "host_scores")
     if edges.isEmpty():
         return scores
-    for _ in range(rounds):
+    for _ in range(math.ceil(math.log(settled) / math.log(damping)) + 2):
         moved = scores.join(edges, ["kind", "host"]).select(
             "kind", F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("part"))
         new = written(moved.union(base).groupBy("kind", "host").agg(F.sum("part").alias("score")), "host_scores")
@@ -83,8 +87,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
             .agg(F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0] or 0.0
         scores = new
         if change <= settled * n_seeds:
-            break
-    return scores
+            return scores
+    raise RuntimeError(f"scores of the link graph did not settle: they still move by {change}")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], least: float = LEAST) -> DataFrame:

@@ -15,7 +15,8 @@ Tokens are white-space separated words. A document's topic is the class that mos
 (seven bytes or more) hash to, of ``TOPICS`` classes; without long words it is class 0.
 
 Defined cases: null source or language is a value of its own. Null or empty text has no tokens; a cell without
-tokens is kept whole, as it moves no marginal. Repeated rows have the same fate. A target left out for a value shares what the
+tokens is kept whole, as it moves no marginal. Targets that the cells that exist cannot all meet (a source with one language only)
+are raked until the largest marginal error stays what it is; each row's ``unmet`` says how large that is. Repeated rows have the same fate. A target left out for a value shares what the
 others leave equally; if they leave nothing, it keeps the share of its tokens and the given ones share the rest. Without any target a
 marginal is flattened: the shares of its tokens to the power ``FLATTEN``.
 An empty table gives no rows.
@@ -37,7 +38,7 @@ TOPICS, LONG_WORD = 8, 7
 FLATTEN = 0.5
 NOTHING = 1e-9  # given shares that sum up to 1 but for rounding leave nothing
 KEEP = 0.5
-SWEEPS, SETTLED = 20, 1e-4
+SWEEPS, SETTLED, STALLED = 1000, 1e-4, 0.999  # an error above STALLED times that of two sweeps before stays
 MARGINS = ("source", "lang", "topic")
 
 
@@ -82,13 +83,15 @@ def _target(cells: DataFrame, name: str, given: dict | None) -> DataFrame:
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, settled: float = SETTLED) -> DataFrame:
     """``cells(source, lang, topic, tokens)`` with ``weight``: tokens scaled so that every marginal's share is
-    its goal, as far as the cells that exist allow."""
+    its goal, as far as the cells that exist allow, and ``unmet``, the largest error left. Sweeps go on until the error is
+    settled or stays; without either it raises."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     cells = cells.withColumn("weight", F.col("tokens") / F.lit(float(max(total, 1))))
     for name in MARGINS:
         cells = cells.join(targets[name].select(F.col(name).alias(f"_{name}"), F.col("goal").alias(f"goal_{name}")),
                            F.col(name).eqNullSafe(F.col(f"_{name}"))).drop(f"_{name}")
     cells = written(cells, "cells")
+    errors: list[float] = []
     for _ in range(sweeps):
         new = cells
         for name in MARGINS:
@@ -101,9 +104,10 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         new = written(new.observe(seen, F.greatest(*(F.max(f"off_{name}") for name in MARGINS)).alias("off")), "cells")
         off = seen.get.get("off") or 0.0
         cells = new.drop(*(f"off_{name}" for name in MARGINS))
-        if off <= settled:
-            break
-    return cells
+        errors.append(off)
+        if off <= settled or len(errors) > 2 and off > STALLED * errors[-3]:
+            return cells.withColumn("unmet", F.lit(float(off)))
+    raise RuntimeError(f"raking did not settle in {sweeps} sweeps: a marginal is off by {errors[-1]}")
 
 
 def calibrate(cells: DataFrame, keep: float = KEEP) -> DataFrame:
@@ -130,17 +134,17 @@ def _draw(seed: int):
 
 def mix(docs: DataFrame, targets: dict[str, dict] | None = None, keep: float = KEEP, seed: int = 11) -> DataFrame:
     """``doc_id, source, lang, topic, tokens, weight`` (raked share of the document's cell), ``probability,
-    draw, selected`` for every row of ``docs(doc_id, text, source, lang)``."""
+    draw, selected, unmet`` for every row of ``docs(doc_id, text, source, lang)``."""
     rows = written(docs.select("doc_id", F.col("text").cast("string").alias("text"), "source", "lang", _draw(seed).alias("draw"))
                    .mapInArrow(_describe, "doc_id long, source string, lang string, draw double, topic int, tokens long"), "described")
     cells = written(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
     goals = {name: _target(cells, name, (targets or {}).get(name)) for name in MARGINS}
     drawn = calibrate(rake(cells, goals), keep).select(
-        *(F.col(name).alias(f"_{name}") for name in MARGINS), "weight", "probability")
+        *(F.col(name).alias(f"_{name}") for name in MARGINS), "weight", "probability", "unmet")
     same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in MARGINS]
     return rows.join(drawn, same, "left").select(
         "doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "draw",
-        (F.col("draw") < F.col("probability")).alias("selected"))
+        (F.col("draw") < F.col("probability")).alias("selected"), "unmet")
 
 
 def selected(docs: DataFrame, targets: dict[str, dict] | None = None, keep: float = KEEP, seed: int = 11) -> DataFrame:

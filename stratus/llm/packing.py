@@ -2,7 +2,8 @@
 
 Every task tokenizes its documents and packs them in groups of a few thousand pieces, so nothing is
 shuffled and a group's memory is bounded. In a group a document's full windows are split off; what is
-left is cut into pieces of at most a quarter window. Differencing starts with each piece as a partial
+left is cut into pieces of at most a quarter window, and pieces smaller than a sixteenth are bundled to that size, so that many
+short texts fill windows as long ones do. Differencing starts with each piece as a partial
 partition into k windows (the piece, and k - 1 empty ones) and always merges the two partial partitions
 with the largest imbalance, the largest windows of one with the smallest of the other, until one
 partition is left: k near-equal windows. k begins at the least number that can hold the tokens and rises
@@ -30,7 +31,7 @@ from stratus.llm.tokens import word_ids
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, n_chars long")
 GROUP_TOKENS = 1 << 20  # a group is packed when it holds as many ids
-GROUP_PIECES = 2048
+GROUP_DOCS = 1 << 18  # or as many documents: 64 windows even of texts that are one id
 
 
 def difference(sizes: list[int], k: int) -> list[list[int]]:
@@ -75,6 +76,21 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
     return windows
 
 
+def bundled(sizes: list[int], small: int) -> list[list[int]]:
+    """The items, those under ``small`` joined in order until they reach it."""
+    out, held, total = [], [], 0
+    for i, size in enumerate(sizes):
+        if size >= small:
+            out.append([i])
+            continue
+        held.append(i)
+        total += size
+        if total >= small:
+            out.append(held)
+            held, total = [], 0
+    return out + [held] if held else out
+
+
 def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
     """Near-equal windows within ``capacity``; their number rises until each fits."""
     k = max(1, -(-sum(sizes) // capacity))
@@ -86,12 +102,12 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 def _packer(path: str, capacity: int, end_id: int):
-    quarter = max(1, capacity // 4)
+    quarter, small = max(1, capacity // 4), max(1, capacity // 16)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(path)
         base = TaskContext.get().partitionId() << 40
-        used, group, held, pieces = 0, [], 0, 0
+        used, group, held = 0, [], 0
 
         def packed() -> pa.RecordBatch:
             nonlocal used
@@ -108,9 +124,10 @@ def _packer(path: str, capacity: int, end_id: int):
                     items.append((doc_id, ids, at, size, chars))
                     at += size
             if items:
-                for window in windows_of([x[3] for x in items], capacity):
+                bundles = bundled([x[3] for x in items], small)
+                for window in windows_of([sum(items[i][3] for i in b) for b in bundles], capacity):
                     offset = 0
-                    for i in window:
+                    for i in (i for b in window for i in bundles[b]):
                         doc_id, ids, at, size, chars = items[i]
                         out.append((doc_id, ids, at, size, used, offset, chars))
                         offset += size
@@ -131,10 +148,9 @@ def _packer(path: str, capacity: int, end_id: int):
                 for d, (e, n) in enumerate(zip(ends.tolist(), sizes.tolist(), strict=True)):
                     group.append((doc_ids[first + d], np.append(ids[e - n: e], np.uint32(end_id)), chars[first + d]))
                     held += n + 1
-                    pieces += -(-((n + 1) % capacity) // quarter)
-                    if held >= GROUP_TOKENS or pieces >= GROUP_PIECES:
+                    if held >= GROUP_TOKENS or len(group) >= GROUP_DOCS:
                         yield packed()
-                        group, held, pieces = [], 0, 0
+                        group, held = [], 0
         if group:
             yield packed()
     return pack
