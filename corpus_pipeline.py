@@ -16,23 +16,35 @@ from stratus.llm.registry import LANGUAGE_SHARES, tokenizer_path
 from stratus.llm.tables import table, written
 
 
+def _apart(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` with all but the needed columns in one, so that none has a name that a stage uses."""
+    return docs.select(*needed, F.struct(*(c for c in docs.columns if c not in needed)).alias("_others"))
+
+
+def _together(rows: DataFrame, docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(*(F.col(c) if c in needed else F.col("_others").getField(c).alias(c) for c in docs.columns))
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts to be good."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+    scored = quality.score(_apart(docs, "text"), model).where("predicted = 1")
+    return _together(scored, docs, "text")
 
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier tells with enough certainty."""
-    return langid.predict(docs, langid.fit(docs)).where("NOT rejected").select(*docs.columns)
+    told = langid.predict(_apart(docs, "text"), langid.fit(docs)).where("NOT rejected")
+    return _together(told, docs, "text")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
     kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    stays = docs.join(kept, "doc_id", "left_semi").withColumn("_place", F.row_number().over(one)).where("_place = 1")
-    return stays.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    stays = _apart(docs, "doc_id", "text").join(kept, "doc_id", "left_semi").withColumn("_place", F.row_number().over(one))
+    return _together(stays.where("_place = 1"), docs, "doc_id", "text").union(docs.where("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
