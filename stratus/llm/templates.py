@@ -6,6 +6,7 @@ things are then taken away:
 1. What is never text: scripts, styles, comments in the markup, forms, media.
 2. What the page itself marks as surroundings: ``nav``, ``header``, ``footer``, ``aside``, ``form`` and
    the like, ARIA roles, and elements with a whole class or id that names a menu, an advert, a notice, comments.
+   Inside an ``article`` or ``main`` ids are anchors, and only those of comments count.
    A name is no ground where the element holds the page's only ``article`` or ``main``, or one and most of
    the page's text, or, on a page without any, most of its text.
 3. The site's template: every element subtree is hashed (tags and text); in Spark the different pages of a
@@ -22,13 +23,14 @@ references are decoded.
 
 A host with a third of all pages is spread over its subtrees' hashes when they are counted, and its frequent subtrees meet its pages in ``SALTS`` parts.
 
-Defined cases: null or blank html: empty text. A null url is a host of its own. Repeated rows are
+Defined cases: null or blank html: empty text. Very long pages are read whole, in time linear in their length but for unbalanced quotes. A null url is a host of its own. Repeated rows are
 extracted each. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
@@ -60,7 +62,8 @@ RAW = frozenset(("script", "style", "textarea", "title"))  # no tags inside
 P_ENDS = BLOCKS - {"br", "caption", "legend", "option", "summary", "td", "th", "tr", "tbody", "thead", "tfoot", "html", "body"}
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+TALK = re.compile(r"comments?|disqus|replies|respond", re.I)  # ids that count inside an article or main: others are anchors there
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
 SPACES = re.compile(r"\s+")
 
@@ -72,8 +75,9 @@ class Element:
         self.tag, self.around, self.named, self.kids, self.digest = tag, around, named, [], 0
 
 
-def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is surroundings by its tag, role or being hidden, and whether by a class or id alone."""
+def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is surroundings by its tag, role or being hidden, and whether by a class or id alone. ``inside``:
+    it stands in an article or main."""
     if tag in AROUND:
         return True, False
     if not attributes or tag in ("html", "body", "main"):
@@ -88,7 +92,8 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
             return True, False
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True, False
-        named = named or name in ("class", "id") and any(NAMES.fullmatch(x) for x in value.split())
+        telling = NAMES if name == "class" or not inside else TALK
+        named = named or name in ("class", "id") and any(telling.fullmatch(x) for x in value.split())
     return False, named
 
 
@@ -96,40 +101,51 @@ def parse(html: str) -> Element:
     """The tree of a page: kids are elements and decoded strings."""
     root = Element("", False, False)
     stack = [root]
+    opened: Counter = Counter()  # tags on the stack
     at, n = 0, len(html)
+    last = html.rfind(">") + 1  # no tag ends behind it
 
     def text(s: str) -> None:
         if s:
             stack[-1].kids.append(unescape(s))
 
+    def cut(depth: int) -> None:
+        opened.subtract(e.tag for e in stack[depth:])
+        del stack[depth:]
+
     def close(tags: set, until: set) -> None:
+        if not any(opened[t] for t in tags):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in tags:
-                del stack[depth:]
-                return
+                return cut(depth)
             if stack[depth].tag in until:
                 return
 
     while at < n:
-        m = TOKEN.search(html, at)
+        m = TOKEN.search(html, at, last) if at < last else None
+        if not m and (comment := html.find("<!--", max(at, last))) >= 0:  # one that is never closed
+            text(html[at:comment])
+            break
         if not m:
             text(html[at:])
             break
         text(html[at: m.start()])
         at = m.end()
         if not m[2]:
+            if m[0].startswith("<!--") and (len(m[0]) < 7 or not m[0].endswith("-->")):
+                break  # a comment that is never closed
             continue
         tag = m[2].lower()
         if m[1]:
-            if any(e.tag == tag for e in stack):
-                while len(stack) > 1 and stack.pop().tag != tag:
-                    pass
+            if opened[tag]:
+                cut(next(d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag))
             continue
         if tag in P_ENDS:
             close({"p"}, {"td", "th", "button", "li", "div", "section", "article", "main", "blockquote", "body"})
         if tag in SAME_ENDS:
             close(SAME_ENDS[tag], SCOPES[tag])
-        element = Element(tag, *_marks(tag, m[3]))
+        element = Element(tag, *_marks(tag, m[3], bool(opened["article"] or opened["main"])))
         stack[-1].kids.append(element)
         if tag in VOID or m[3].endswith("/"):
             continue
@@ -138,6 +154,7 @@ def parse(html: str) -> Element:
             at = end.end() if end else n
             continue
         stack.append(element)
+        opened[tag] += 1
     _settle(root)
     return root
 
