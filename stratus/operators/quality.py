@@ -177,8 +177,9 @@ def observed_checks() -> list[Check]:
 
 
 def forecast_checks() -> list[Check]:
-    return observed_checks() + [(f"{m}_out_of_range", _bounds(m))
-                                for m in ("precipitation_probability", "precipitation_probability_6h")]
+    return [*observed_checks(),
+            ("precipitation_probability_out_of_range", _bounds("precipitation_probability")),
+            ("precipitation_probability_6h_out_of_range", _bounds("precipitation_probability_6h"))]
 
 
 def _min_gt_max(a: str, b: str) -> Column:

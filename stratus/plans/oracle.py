@@ -304,13 +304,15 @@ def breaking(check: str, table: str, predicate: str, out: str) -> str:
     return f"SELECT '{check}' AS check_name, {out} FROM {table} WHERE {predicate}"
 
 
+# Check names are fixed values.
 def link_suite_sql(link: str = "link") -> str:
     out = "postal_area_id, station_id, created_at"
-    parts = [breaking(f"null_{name}", link, f"{column} IS NULL", out)
-             for name, column in (("station_ids", "station_id"), ("postal_area_ids", "postal_area_id"), ("created_at", "created_at"))]
-    parts += [missing_parent(f"invalid_{column}s", link, column, parent, "id", out)
-              for column, parent in (("station_id", "dim_station"), ("postal_area_id", "dim_postal_area"))]
-    return "\nUNION ALL ".join(parts)
+    return "\nUNION ALL ".join([
+        breaking("null_station_ids", link, "station_id IS NULL", out),
+        breaking("null_postal_area_ids", link, "postal_area_id IS NULL", out),
+        breaking("null_created_at", link, "created_at IS NULL", out),
+        missing_parent("invalid_station_ids", link, "station_id", "dim_station", "id", out),
+        missing_parent("invalid_postal_area_ids", link, "postal_area_id", "dim_postal_area", "id", out)])
 
 
 def integrity_sql(obs: str = "stg_observed", fc: str = "stg_forecast_batches", mart: str = "mart_forecast",

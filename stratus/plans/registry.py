@@ -876,6 +876,27 @@ def _evolve_schema(spark, d):
     return round_doubles(table.current().select("wmo_station_id", "timestamp_utc", "load_dts", "confidence_score"))
 
 
+_NEXT_RUN_SQL = O.with_ctes(O.raw_weather_cte("observed"), f"""first_run AS (
+  SELECT DISTINCT ON (wmo_station_id, timestamp_utc) * FROM raw_observed
+  WHERE temperature IS NOT NULL AND {_RUN_SQL} = 0
+  ORDER BY wmo_station_id, timestamp_utc, load_dts DESC NULLS FIRST
+)""") + """SELECT wmo_station_id, timestamp_utc, load_dts FROM raw_observed
+WHERE load_dts > (SELECT max(load_dts) FROM first_run)"""
+
+
+@register("incremental_filter_partitioned", _NEXT_RUN_SQL)
+def _incremental_filter_partitioned(spark, d):
+    """The same rows from a raw layer and a target that are partitioned by load date: only newer days are read."""
+    from stratus.operators.incremental import incremental_filter
+    raw, _ = _runs(warehouse(spark, d).raw_weather("observed"))
+    root = scratch_path(spark, "stratus", f"raw_by_date_{uuid.uuid4().hex[:8]}")
+    FEED.land(raw.drop("_run"), f"{root}/raw")
+    target = KeyedLog(spark, f"{root}/stg", ["wmo_station_id", "timestamp_utc"])
+    target.append(M.stg_weather(raw.filter(F.col("_run") == 0).drop("_run"), "observed"), 0)
+    return incremental_filter(spark.read.schema(FEED.RAW_SCHEMA).parquet(f"{root}/raw"), target.log()).select(
+        "wmo_station_id", "timestamp_utc", "load_dts")
+
+
 @register("incremental_filter", O.with_ctes(O.raw_weather_cte("observed"), f"""first_run AS (
   SELECT DISTINCT ON (wmo_station_id, timestamp_utc) * FROM raw_observed
   WHERE temperature IS NOT NULL AND {_RUN_SQL} = 0

@@ -47,3 +47,10 @@ def test_scan_prunes_columns(spark):
     wh = Warehouse(spark, SF)
     p = _plan(wh.table("lineitem").select("l_orderkey", "l_linenumber").distinct())
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in p
+
+
+def test_high_water_filter_prunes_load_dates(spark):
+    from stratus.plans.registry import QUERIES
+    plan = _plan(QUERIES["incremental_filter_partitioned"](spark, SF))
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "load_date" in filters and ">=" in filters
