@@ -9,12 +9,13 @@ from __future__ import annotations
 import os
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratus.functions import spec
 from stratus.functions.timeutil import hour_floor, seconds_between
 from stratus.operators.dedup import duplicate_keys
+from stratus.operators.incremental import KeyedLog
 from stratus.session import materialize
 
 Check = tuple[str, Column]  # (check name, predicate that is TRUE on a failing row)
@@ -126,6 +127,49 @@ def check_timestamp_continuity(df: DataFrame, ts: str, max_gap_seconds: float =
             .select(*keys, F.col("_t").alias(ts), F.col("_p").alias("prev_timestamp"), gap.alias("gap_seconds")))
 
 
+class KeptCounts:
+    """Rows per key of a table that runs append to, kept beside it, so that the duplicate, unique and completeness
+    checks after a run cost what the run brought and not what the table holds.
+
+    ``columns``: their non-null values are counted too. Without keys the whole table is one key. Keys with a
+    ``timestamp_utc`` are kept by event date, and a run reads the counts of its dates only. A retried run counts once.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (), columns: Sequence[str] = ()):
+        self.keys, self.columns = list(keys) or ["_all"], list(columns)
+        self.by_day = "timestamp_utc" in self.keys
+        self.log = KeyedLog(spark, root, self.keys, ("event_date",) if self.by_day else (), merge_schema=False, newest="run")
+
+    def add(self, rows: DataFrame, run: int) -> None:
+        if self.keys == ["_all"]:
+            rows = rows.withColumn("_all", F.lit(True))
+        named = {"_n": F.count(F.lit(1)), **{f"_n_{c}": F.count(F.col(c)) for c in self.columns}}
+        new = materialize(rows.groupBy(*self.keys).agg(*[c.alias(n) for n, c in named.items()]), "counts")
+        days = None
+        if self.by_day:
+            days = [r.d for r in new.filter(F.col("timestamp_utc").isNotNull()).select(F.to_date("timestamp_utc").alias("d")).distinct().collect()]
+        old = self.log.current(days=days, before=run)
+        if old is not None:
+            same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in self.keys]
+            new = new.alias("new").join(old.alias("old"), same, "left").select(
+                *(F.col(f"new.{k}").alias(k) for k in self.keys),
+                *((F.col(f"new.{n}") + F.coalesce(F.col(f"old.{n}"), F.lit(0))).alias(n) for n in named))
+        self.log.append(new, run)
+
+    def duplicates(self, count_col: str = "record_count") -> DataFrame | None:
+        """Keys with more than one row."""
+        now = self.log.current()
+        return None if now is None else now.filter(F.col("_n") > 1).select(*self.keys, F.col("_n").alias(count_col))
+
+    def incomplete(self, col: str, threshold: float = 0.8) -> DataFrame | None:
+        """As ``check_completeness`` over all rows so far."""
+        now = self.log.current()
+        if now is None:
+            return None
+        ratio = F.try_divide(F.sum(f"_n_{col}").cast("double"), F.sum("_n").cast("double"))
+        return now.agg(ratio.alias("completeness_ratio")).filter(F.col("completeness_ratio") < F.lit(threshold))
+
+
 # ------------------------------------------------------------------------------------------ suites
 def check_suite(df: DataFrame, checks: Iterable[Check], cols: Sequence[str] | None = None) -> DataFrame:
     """Tagged failing rows of many row-level checks, one scan: (check_name, cols...)."""

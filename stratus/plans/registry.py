@@ -846,6 +846,28 @@ def _check_all_summary(spark, d):
     return failures.groupBy("suite", "check_name").agg(F.count(F.lit(1)).alias("failures"))
 
 
+def _kept_counts(spark, d, keys, columns=()):
+    """Raw observed rows counted run by run."""
+    raw, runs = _runs(warehouse(spark, d).raw_weather("observed"))
+    rows = raw.withColumn("temperature", F.get_json_object("raw", "$.temperature"))
+    kept = Q.KeptCounts(spark, scratch_path(spark, "stratus", f"counts_{uuid.uuid4().hex[:8]}"), keys, columns)
+    for i in runs:
+        for _ in range(2 if i == 0 else 1):  # the first run is retried
+            kept.add(rows.filter(F.col("_run") == i), i)
+    return kept
+
+
+register("kept_counts_duplicates", O.with_ctes(O.raw_weather_cte("observed"))
+         + """SELECT wmo_station_id, timestamp_utc, count(*) AS record_count FROM raw_observed
+GROUP BY wmo_station_id, timestamp_utc HAVING count(*) > 1""")(
+    lambda spark, d: _kept_counts(spark, d, ["wmo_station_id", "timestamp_utc"]).duplicates())
+
+register("kept_counts_completeness", O.with_ctes(O.raw_weather_cte("observed"))
+         + """SELECT ROUND(CAST(count(temperature) AS DOUBLE) / count(*), 6) + 0.0 AS completeness_ratio FROM raw_observed
+HAVING CAST(count(temperature) AS DOUBLE) / count(*) < 0.99""")(
+    lambda spark, d: round_doubles(_kept_counts(spark, d, [], ["temperature"]).incomplete("temperature", 0.99)))
+
+
 # ------------------------------------------------------------------------------------------ raw scans, schema evolution
 from stratus.sources.raw_tables import scan_raw  # noqa: E402
 

@@ -96,3 +96,21 @@ def test_continuity_of_one_dense_day_is_spread_over_ranges(spark):
     sizes = [r["count"] for r in df.distinct().repartitionByRange(16, "ts").groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 16 and max(sizes) < 4 * 20_000 / 16  # what the check does: ranges of one size
     assert Q.check_timestamp_continuity(df.limit(0), "ts", 0.5).count() == 0
+
+
+def test_kept_counts_equal_a_full_scan_after_each_run(spark, tmp_dir):
+    rng = random.Random(4)
+    day = dt.datetime(2024, 3, 1)
+    schema = "station string, timestamp_utc timestamp_ntz, v double"
+    kept, totals, seen = Q.KeptCounts(spark, tmp_dir + "/c", ["station", "timestamp_utc"]), Q.KeptCounts(spark, tmp_dir + "/t", (), ["v"]), []
+    assert kept.duplicates() is None
+    for run in range(3):
+        rows = [(rng.choice(["a", "b", None]), day + dt.timedelta(hours=rng.randrange(20, 30)), rng.choice([None, 1.0])) for _ in range(25)]
+        for _ in range(2):  # retried
+            kept.add(spark.createDataFrame(rows, schema), run)
+            totals.add(spark.createDataFrame(rows, schema), run)
+        seen += rows
+        full = spark.createDataFrame(seen, schema)
+        want = sorted(map(tuple, Q.check_no_duplicates(full, ["station", "timestamp_utc"]).collect()), key=str)
+        assert sorted(map(tuple, kept.duplicates().collect()), key=str) == want and want
+        assert totals.incomplete("v", 0.99).collect() == Q.check_completeness(full, "v", 0.99).collect()
