@@ -144,7 +144,8 @@ class KeyedLog:
         """The log's rows; of the given event dates (a partition filter), of runs before ``before``."""
         log = self.log()
         if log is not None and days is not None:
-            log = log.filter(F.col("event_date").isin(list(days)))
+            found = F.col("event_date").isin([d for d in days if d is not None])
+            log = log.filter(found | F.col("event_date").isNull() if None in days else found)
         if log is not None and before is not None:
             log = log.filter(F.col("_run") < before)
         return log

@@ -147,7 +147,7 @@ class KeptCounts:
         new = materialize(rows.groupBy(*self.keys).agg(*[c.alias(n) for n, c in named.items()]), "counts")
         days = None
         if self.by_day:
-            days = [r.d for r in new.filter(F.col("timestamp_utc").isNotNull()).select(F.to_date("timestamp_utc").alias("d")).distinct().collect()]
+            days = [r.d for r in new.select(F.to_date("timestamp_utc").alias("d")).distinct().collect()]
         old = self.log.current(days=days, before=run)
         if old is not None:
             same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in self.keys]

@@ -105,7 +105,7 @@ def test_kept_counts_equal_a_full_scan_after_each_run(spark, tmp_dir):
     kept, totals, seen = Q.KeptCounts(spark, tmp_dir + "/c", ["station", "timestamp_utc"]), Q.KeptCounts(spark, tmp_dir + "/t", (), ["v"]), []
     assert kept.duplicates() is None
     for run in range(3):
-        rows = [(rng.choice(["a", "b", None]), day + dt.timedelta(hours=rng.randrange(20, 30)), rng.choice([None, 1.0])) for _ in range(25)]
+        rows = [(rng.choice(["a", "b", None]), rng.choice([None, *(day + dt.timedelta(hours=h) for h in range(20, 30))]), rng.choice([None, 1.0])) for _ in range(25)]
         for _ in range(2):  # retried
             kept.add(spark.createDataFrame(rows, schema), run)
             totals.add(spark.createDataFrame(rows, schema), run)
