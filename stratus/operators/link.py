@@ -6,7 +6,7 @@ Exact search in three steps, each a chain of equi-joins:
 1. **Station cells.** Stations are counted in a pyramid of grid cells (8 x 8, then 4 x 4 children a cell), each
    with the box its stations span. Areas descend from the top: a cell stays with an area unless its box is farther
    from the area's box than the k-th station can be (the farthest corner of the cells nearest to a vertex
-   of the area). An area stops at the level whose cells are as wide as half its own box, or at the finest, so
+   of the area). An area stops at the level whose cells are as wide as a quarter of its own box, or at the finest, so
    it holds a bounded number of cells around its box whatever its size, and a far cluster of stations is one cell
    to it. Only then are the stations of the cells met, and pruned the same way.
 2. **Inside or not.** The edges of an area are placed in bands of y, as many as keep two entries an edge on average.
@@ -97,7 +97,8 @@ def _candidates(areas: DataFrame, stations: DataFrame, levels: int, k: int, prun
     cells = materialize(_station_cells(stations, levels), "link_cells")
     front = areas.withColumns({"px": F.lit(0).cast("long"), "py": F.lit(0).cast("long")})
     leaves = None
-    for level in range(levels + 1):
+    deepest = areas.agg(F.max("leaf")).first()[0]
+    for level in range((deepest or 0) + 1):
         front = materialize(_cells_for_areas(front, cells, level, k), "link_front")
         own = front.filter(F.col("leaf") == level)
         leaves = own if leaves is None else leaves.unionByName(own)
@@ -213,8 +214,8 @@ def nearest_link(areas: DataFrame, stations: DataFrame, *, area_id: str = "id",
     S = S.withColumns({i: F.least(F.floor((F.col(c) - F.lit(span[c0])) * F.lit(side / extent)), F.lit(side - 1)).cast("long")
                        for i, c, c0 in (("ix", "x", "x0"), ("iy", "y", "y0"))})
     width = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    # the finest level with cells at least half as wide as the area
-    leaf = F.floor(F.log2(F.lit(2 * extent / ROOT) / width) / FAN_BITS)
+    # the finest level with cells at least a quarter as wide as the area
+    leaf = F.floor(F.log2(F.lit(4 * extent / ROOT) / width) / FAN_BITS)
     leaf = F.when(width > 0, F.greatest(F.least(leaf, F.lit(levels)), F.lit(0))).otherwise(F.lit(levels)).cast("int")
     boxes = materialize(boxes.withColumn("leaf", leaf), "link_boxes")
     edges = materialize(explode_segments(G, "aid", "g"), "link_edges")
