@@ -25,10 +25,10 @@ from stratus.operators.incremental import write_fresh
 from stratus.plans import models
 from stratus.plans.gold import HOUR_KEYS, Gold
 from stratus.session import materialize
-from stratus.sources.landing import station_scope
+from stratus.sources.landing import land_responses, station_scope
 from stratus.sources.raw_tables import materialize_view
 
-__all__ = ["HOUR_KEYS", "RunResult", "hourly_run"]
+__all__ = ["HOUR_KEYS", "RunResult", "hourly_ingest", "hourly_run"]
 
 
 @dataclass
@@ -36,6 +36,7 @@ class RunResult:
     run: int
     tables: dict
     paths: dict = field(default_factory=dict)
+    counts: dict = field(default_factory=dict)  # of a run from documents: kind -> rows by where they went
 
 
 def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame, raw_forecast: DataFrame,
@@ -83,3 +84,17 @@ def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame
         Q.store_failures(failures, paths["quality_failures"])
         t["quality_failures"] = Q.read_failures(failures, paths["quality_failures"])
     return RunResult(run, t, paths)
+
+
+def hourly_ingest(spark: SparkSession, root: str, run: int, observed_docs: DataFrame, forecast_docs: DataFrame,
+                  station_raw: DataFrame, postal_raw: DataFrame, as_of: str, load_dts: str, **options) -> RunResult:
+    """An hourly run from response documents (a ``value`` column each). Every element of a document becomes a raw row or lands in the
+    side table ``set_aside_<kind>`` with its reason; ``counts`` has the rows of each way, as the landing write counted them.
+    ``options`` are those of ``hourly_run``."""
+    landed = {kind: land_responses(docs, f"{root}/landed_{kind}", load_dts)
+              for kind, docs in (("observed", observed_docs), ("forecast", forecast_docs))}
+    res = hourly_run(spark, root, run, landed["observed"].accepted, landed["forecast"].accepted, station_raw, postal_raw,
+                     as_of, **options)
+    for kind, batch in landed.items():
+        res.tables[f"set_aside_{kind}"], res.paths[f"landed_{kind}"], res.counts[kind] = batch.set_aside, batch.path, batch.counts
+    return res

@@ -87,3 +87,21 @@ def test_facts_of_a_run_follow_its_batch(spark, tmp_dir):
     assert staged.where("_run = 2").join(facts.where("_run = 2"), HOUR_KEYS, "left_semi").count() == \
         facts.where("_run = 2").select(*HOUR_KEYS).distinct().count()
     assert last.tables["fact_observed"].count() == wh.fact("observed").count()
+
+
+def test_hourly_ingest_accounts_for_every_row(spark, tmp_dir):
+    from stratus.plans.pipeline import hourly_ingest
+    from stratus.plans.warehouse import Warehouse
+    from stratus.sources import landing_fixtures as LF
+    wh = Warehouse(spark, SF)
+    docs = spark.read.text(LF.write_weather_responses(wh.table("events"), tmp_dir + "/responses", faults=True))
+    res = hourly_ingest(spark, tmp_dir + "/wh", 0, docs, docs.limit(0), wh.station_raw(), wh.postal_raw(), wh.as_of,
+                        "2024-02-01 06:01:00", checks=False)
+    counts, aside = res.counts["observed"], res.tables["set_aside_observed"]
+    assert counts["ok"] and {r.reason: r["count"] for r in aside.groupBy("reason").count().collect()} == {
+        k: n for k, n in counts.items() if k not in ("ok", "rows_in") and n}
+    assert all(counts[k] for k in ("bad_number", "bad_timestamp", "unknown_source", "no_data", "bad_document"))
+    assert counts["rows_in"] == counts["ok"] + aside.count() and res.counts["forecast"]["rows_in"] == 0
+    staged = res.tables["stg_observed"]
+    assert 0 < staged.count() <= counts["ok"] and staged.where("temperature IS NOT NULL").count()
+    assert res.tables["mart_observed"].count() and res.tables["mart_forecast"].count() == 0
