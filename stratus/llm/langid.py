@@ -101,5 +101,6 @@ def predict(docs: DataFrame, fitted: tuple[Model, float] | None) -> DataFrame:
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
     for f in schema:
         f.nullable = True
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters")
+    fresh = "_letters" + "_" * max(map(len, keep))  # longer than any other name
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(fresh)
     return docs.select("*", letters).mapInArrow(apply, schema)
