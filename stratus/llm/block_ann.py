@@ -6,11 +6,11 @@ bound that follows from the quantisation: with q = s*a + e and d = t*b + f,
     |q.d - s*t*a.b| <= |e| |d| + |f| |q| + |e| |f|  (lengths of the errors, measured, not assumed).
 The k-th largest lower bound of a query so far is a floor; pairs whose upper bound is below it are
 dropped, the others are recomputed in double precision from the original vectors and merged into the
-query's k best. So no neighbour is lost to quantisation: the search is exact.
+query's heap of its k best, which starts with what earlier waves found (see ``vectors``). So no neighbour is lost to quantisation: the search is exact.
 
 Defined cases: vectors null, empty, zero, or with null or non-finite components take no part. Repeated ids
 are rows each; a query's own row is every row of its id. Vectors of another dimension are not candidates.
-Ties go to the smaller id; equal vectors get equal scores.
+Ties go to the smaller id; equal vectors get equal scores. An empty table has no rows.
 """
 
 from __future__ import annotations
@@ -21,9 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm.tables import written
-from stratus.llm.vectors import Best, blocks, grid, matrices, merged, usable
+from stratus.llm.vectors import Best, best_of_all, blocks, found_table, matrices, query_blocks, usable
 
-FOUND = "query_id long, vec_id long, score double"
 ROUNDING = 1e-6  # added to every bound: far above the rounding of float sums, far below a tile's error
 
 
@@ -47,10 +46,10 @@ def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def _searcher(k: int):
     def search(key: tuple, queries: pa.Table, documents: pa.Table) -> pa.Table:
         index = [(ids, data, *quantise(data)) for ids, data in matrices(documents)]
-        q_out, v_out, s_out = [], [], []
-        for q_ids, q_data in matrices(queries):
+        out = []
+        for block, known, q_ids, q_data in query_blocks(queries):
             q_codes, q_step, q_error = quantise(q_data)
-            best = Best(len(q_ids), k, np.float64)
+            best = Best(q_ids, k, known)
             for ids, data, codes, step, error in index:
                 if data.shape[1] != q_data.shape[1]:
                     continue
@@ -69,12 +68,8 @@ def _searcher(k: int):
                     near = np.flatnonzero((upper[q] >= floor) & ~own[q])
                     if len(near):
                         best.offer(q, cosines(q_data[q], data[near]), ids[near])
-            for q in range(len(q_ids)):
-                q_out += [q_ids[q]] * len(best.ids[q])
-                v_out += best.ids[q].tolist()
-                s_out += best.scores[q].tolist()
-        return pa.table({"query_id": pa.array(q_out, pa.int64()), "vec_id": pa.array(v_out, pa.int64()),
-                         "score": pa.array(s_out, pa.float64())})
+            out += best.found(block, q_ids)
+        return found_table(out, pa.float64())
     return search
 
 
@@ -82,4 +77,4 @@ def nearest(table: DataFrame, is_query, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows of ``table(vec_id, embedding)`` where ``is_query`` holds."""
     vectors = usable(table).where(F.exists("embedding", lambda x: x != 0))
     documents, queries = written(blocks(vectors), "blocks"), written(blocks(vectors.where(is_query)), "queries")
-    return merged(grid(queries, documents, _searcher(k), FOUND, queries.count(), documents.count()), k)
+    return best_of_all(queries, documents, _searcher(k), "double", k)
