@@ -22,12 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratus.llm.subword import Features, Model, calibrated, learned, probabilities, train
 from stratus.llm.tables import held_out
 
 FOLDS, HELD_FOLD = 4, 2
-SAMPLE_ROWS, LEAST_ROWS, REJECT_SHARE = 3000, 20, 0.001
+SAMPLE_ROWS, LEAST_ROWS, SPARE_ROWS, REJECT_SHARE = 3000, 20, 100, 0.001
+HASHES = 1 << 40
 UNKNOWN = "und"
 LANG, STRANGE = "=", "?"  # class names: a language behind LANG, so that none is the strange class
 FEATURES = Features(bits=15, grams=(3,), lower=True)
@@ -35,15 +37,15 @@ FEATURES = Features(bits=15, grams=(3,), lower=True)
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, float] | None:
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out("doc_id", FOLDS, HELD_FOLD))
-    langs = known.select("lang").distinct().count()
-    if not langs:
+    known = known.select("lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)).alias("h"))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("ids"), F.min("h").alias("least")).collect()
+    if not counts:  # one row a language, as in the model
         return None
-    each = max(LEAST_ROWS, sample_rows // langs)
-    # the ids first, without texts; then the texts of ids up to each language's last one
-    narrow = known.select("lang", F.xxhash64("doc_id").alias("h"))
-    ranked = narrow.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("place") <= each)
-    last = F.broadcast(ranked.groupBy("lang").agg(F.max("h").alias("last")))
-    near = known.select("lang", "text", F.xxhash64("doc_id").alias("h")).join(last, "lang").where("h <= last")
+    each = max(LEAST_ROWS, sample_rows // len(counts))
+    # hashes are even: up to this one a language has twice ``each`` ids and some more; only their rows are ranked
+    cuts = [(r["lang"], max(r["least"], int(HASHES * min(1.0, (2 * each + SPARE_ROWS) / r["ids"])))) for r in counts]
+    schema = T.StructType([T.StructField("lang", docs.schema["lang"].dataType), T.StructField("cut", T.LongType())])
+    near = known.join(F.broadcast(docs.sparkSession.createDataFrame(cuts, schema)), "lang").where("h <= cut")
     order = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
     rows = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
     return learned(rows.select(F.concat(F.lit(LANG), F.col("lang").cast("string")).alias("label"), "text"), FEATURES, _learn)

@@ -1,7 +1,6 @@
 """Averaged subword embeddings with a softmax output, trained by stochastic gradient descent in numpy.
 
-A document's features are its white-space separated words and its byte n-grams (n-grams of the UTF-8
-text, blanks included), each hashed to one of 2**bits buckets of its own kind, and (if asked
+A document's features are its white-space separated words and its character n-grams (blanks included), each hashed to one of 2**bits buckets of its own kind, and (if asked
 for) for each word whether it repeats the word before it, a word pair with two buckets. The document vector is the
 average of the learned vectors of all its features; a linear layer and a softmax give the classes.
 
@@ -26,7 +25,7 @@ from stratus.llm.textbytes import Chunk, chunks
 
 @dataclass(frozen=True)
 class Features:
-    """Words, and byte n-grams of each length in ``grams``; ``lower`` folds A-Z first; ``repeats`` adds the
+    """Words, and character n-grams of each length in ``grams``; ``lower`` folds A-Z first; ``repeats`` adds the
     repeated words."""
 
     bits: int = 15
@@ -50,16 +49,16 @@ class Features:
             same[1:] = word[1:] == word[:-1]
             same[first[:-1][first[:-1] < len(word)]] = 0
             yield same + (self.buckets - 2), first
+        at = chunk.characters()
+        first = np.searchsorted(at, chunk.offsets)  # of each document, its first character
         for kind, n in enumerate(self.grams, 1):
-            m = max(len(chunk.data) - n + 1, 0)
-            span = chunk.prefix[n: n + m] - chunk.prefix[:m]
-            span *= chunk.down[:m]
-            bucket = (span >> shift).astype(np.int32)
+            m = max(len(at) - n, 0)  # ``at`` ends with the end of the chunk
+            bucket = (chunk.spans(at[:m], at[n: n + m]) >> shift).astype(np.int32)
             bucket += kind << self.bits
             for back in range(1, n):  # spans that cross the end of a document
-                at = chunk.offsets[1:] - back
-                bucket[at[(at >= 0) & (at < m)]] = self.buckets
-            yield bucket, np.minimum(chunk.offsets, m)
+                over = first[1:] - back
+                bucket[over[(over >= 0) & (over < m)]] = self.buckets
+            yield bucket, np.minimum(first, m)
 
     def counts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """``row, buckets, counts`` of each document."""

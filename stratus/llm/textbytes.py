@@ -81,6 +81,10 @@ class Chunk:
         """Hash of each byte span (equal bytes, equal hash)."""
         return mix((self.prefix[ends] - self.prefix[starts]) * self.down[starts])
 
+    def characters(self) -> np.ndarray:
+        """Where each character starts (any byte but a continuation of UTF-8), and the end of the chunk."""
+        return np.append(np.flatnonzero((self.data & 0xC0) != 0x80), len(self.data))
+
     def words(self, split_punct: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the white-space separated words, and for each document the index of its
         first word (one more entry than documents). ``split_punct`` also ends a word between an ASCII
