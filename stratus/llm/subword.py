@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame
 from stratus.llm.textbytes import Chunk, chunks
 
 
+CHUNK_BYTES = 1 << 18  # bytes of texts at a time: some twenty arrays of eight times that lie in memory
+
+
 @dataclass(frozen=True)
 class Features:
     """Words, and character n-grams of each length in ``grams``; ``lower`` folds A-Z first; ``repeats`` adds the
@@ -51,9 +54,14 @@ class Features:
             yield same + (self.buckets - 2), first
         at = chunk.characters()
         first = np.searchsorted(at, chunk.offsets)  # of each document, its first character
+        ascii_only = len(at) == len(chunk.prefix)  # no copies where characters are bytes
+        prefix, down = (chunk.prefix, chunk.down) if ascii_only else (chunk.prefix[at], chunk.down[at])
         for kind, n in enumerate(self.grams, 1):
             m = max(len(at) - n, 0)  # ``at`` ends with the end of the chunk
-            bucket = (chunk.spans(at[:m], at[n: n + m]) >> shift).astype(np.int32)
+            span = prefix[n: n + m] - prefix[:m]
+            span *= down[:m]
+            span >>= shift
+            bucket = span.astype(np.int32)
             bucket += kind << self.bits
             for back in range(1, n):  # spans that cross the end of a document
                 over = first[1:] - back
@@ -62,7 +70,7 @@ class Features:
 
     def counts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """``row, buckets, counts`` of each document."""
-        for chunk in chunks(column, self.lower):
+        for chunk in chunks(column, self.lower, CHUNK_BYTES):
             kinds = list(self.of(chunk))
             for d in range(chunk.docs):
                 found = np.concatenate([b[f[d]: f[d + 1]] for b, f in kinds])
@@ -89,7 +97,7 @@ class Model:
         if self.output is None:
             tables = [t - tables[0] for t in tables]
         out = np.zeros((len(column), width))
-        for chunk in chunks(column, self.features.lower):
+        for chunk in chunks(column, self.features.lower, CHUNK_BYTES):
             rows = slice(chunk.first, chunk.first + chunk.docs)
             n = np.zeros(chunk.docs)
             for bucket, first in self.features.of(chunk):
