@@ -167,6 +167,16 @@ class KeyedLog:
         return log.withColumn("_version", version).filter((F.col("_version") == 1) & ~F.col("_gone")) \
             .drop("_version", "_gone", "_run", "_attempt", *self.partition_by)
 
+    def written_by(self, run: int) -> DataFrame | None:
+        """Rows and delete marks (``_gone``) that the newest attempt of ``run`` wrote; files of other runs are skipped by
+        their statistics."""
+        log = self.log()
+        if log is None:
+            return None
+        log = log.filter(F.col("_run") == run)
+        last = log.agg(F.max("_attempt")).first()[0]
+        return None if last is None else log.filter(F.col("_attempt") == last).drop("_run", "_attempt", *self.partition_by)
+
     def next_run(self) -> int:
         """A run number after all runs in the log."""
         log = self.log()

@@ -170,6 +170,45 @@ class KeptCounts:
         return now.agg(ratio.alias("completeness_ratio")).filter(F.col("completeness_ratio") < F.lit(threshold))
 
 
+class KeptFailures:
+    """Rows of a keyed log that fail checks now, kept beside it: a run costs what it wrote, reading costs what fails.
+
+    ``log``: a table with hours whose later runs win. ``checks``: (suite, check name, predicate that is TRUE on a failing
+    row). ``view`` makes the checked rows of the log's rows (the mart of its states); they keep the log's keys. After each
+    run, retried or not, ``follow`` asks the checks of what its newest attempt wrote. A key recorded before that fails
+    no more, or left the table, gets a delete mark.
+    """
+
+    def __init__(self, log: KeyedLog, root: str, checks: Iterable[tuple[str, str, Column]], view=None):
+        if log.newest != "run":
+            raise ValueError("a load may lose to an earlier run's: its failures would replace those of the rows that stay")
+        self.table, self.checks, self.view = log, list(checks), view
+        self.log = KeyedLog(log.spark, root, log.keys, ("event_date",), merge_schema=False, newest="run")
+
+    def follow(self, run: int) -> None:
+        wrote = self.table.written_by(run)
+        if wrote is None:
+            return
+        keys, live = self.table.keys, wrote.filter(~F.col("_gone")).drop("_gone")
+        found = F.array(*[F.when(pred, F.struct(F.lit(suite).alias("suite"), F.lit(name).alias("check_name")))
+                          for suite, name, pred in self.checks])
+        live = (live if self.view is None else self.view(live)).select(*keys, F.filter(found, lambda x: x.isNotNull()).alias("failed"))
+        marks = wrote.filter("_gone").select(*keys, F.array().cast(live.schema["failed"].dataType).alias("failed"))
+        rows = materialize(live.unionByName(marks), "failed")
+        days = [r.d for r in rows.select(F.to_date("timestamp_utc").alias("d")).distinct().collect()]
+        known, gone = self.log.rows(days), None
+        if known is not None:
+            cleared = rows.filter(F.size("failed") == 0).select(*keys).distinct().alias("cleared")
+            same = [F.col(f"cleared.{k}").eqNullSafe(F.col(f"known.{k}")) for k in keys]
+            gone = cleared.join(known.select(*keys).distinct().alias("known"), same, "left_semi")
+        self.log.append(rows.filter(F.size("failed") > 0), run, gone=gone)
+
+    def failures(self) -> DataFrame | None:
+        """``suite, check_name`` and the keys, a row for each failing row and check; None before any failed."""
+        now = self.log.current()
+        return None if now is None else now.select(F.explode("failed").alias("f"), *self.table.keys).select("f.*", *self.table.keys)
+
+
 # ------------------------------------------------------------------------------------------ suites
 def check_suite(df: DataFrame, checks: Iterable[Check], cols: Sequence[str] | None = None) -> DataFrame:
     """Tagged failing rows of many row-level checks, one scan: (check_name, cols...)."""
@@ -334,12 +373,24 @@ DECLARED_TESTS: dict[str, dict[str, list[str]]] = {
 }
 
 
+def _row_tests(tests: dict[str, list[str]]) -> list[Check]:
+    return [(f"{test}_{c}", F.col(c).isNull() if test == "not_null" else outside(c, 0, 1))
+            for c, kinds in tests.items() for test in kinds if test != "unique"]
+
+
+def row_checks(table: str) -> list[tuple[str, str, Column]]:
+    """(suite, check name, predicate) of all checks that ask one row of a staged, fact or mart table."""
+    suites = {"stg_observed": ("observed", observed_checks()), "stg_forecast": ("forecast", forecast_checks()),
+              "mart_observed": ("mart_observed", mart_checks()), "mart_forecast": ("mart_forecast", mart_checks())}
+    suite, checks = suites.get(table, ("", []))
+    return [*((suite, name, pred) for name, pred in checks),
+            *((f"declared_{table}", name, pred) for name, pred in _row_tests(DECLARED_TESTS[table]))]
+
+
 def declared_failures(df: DataFrame, tests: dict[str, list[str]], key1: str, key2: str) -> DataFrame:
     """Failures of one table's column tests: ``check_name, key1, key2``. Null and range tests share a scan; a
     value that is not unique is reported once, as ``key1`` with its count as ``key2``."""
-    rows = [(f"{test}_{c}", F.col(c).isNull() if test == "not_null" else outside(c, 0, 1))
-            for c, kinds in tests.items() for test in kinds if test != "unique"]
-    out = _keyed(check_suite(df, rows, list(dict.fromkeys((key1, key2)))), key1, key2)
+    out = _keyed(check_suite(df, _row_tests(tests), list(dict.fromkeys((key1, key2)))), key1, key2)
     for c, kinds in tests.items():
         if "unique" in kinds:
             repeated = check_unique(df.select(c), c).withColumn("check_name", F.lit(f"unique_{c}"))
@@ -362,6 +413,25 @@ KEY_COLUMNS = {"raw_observed": ("wmo_station_id", "timestamp_utc"), "raw_forecas
                "mart_observed": ("plz", "timestamp_utc"), "mart_forecast": ("plz", "timestamp_utc")}
 
 
+def dimension_failures(t: dict[str, DataFrame]) -> DataFrame:
+    """As ``all_failures``, of the tables that a run rebuilds: stations, areas and their link."""
+    suites = {"station": ("stg_station", station_checks()), "postal": ("stg_postal_area", postal_checks())}
+    parts = [(name, _keyed(check_suite(t[table], checks, KEY_COLUMNS[table]), *KEY_COLUMNS[table]))
+             for name, (table, checks) in suites.items()]
+    parts.append(("link", _keyed(link_suite(t["link"], t["dim_station"], t["dim_postal_area"]), *KEY_COLUMNS["link"])))
+    parts += [(f"declared_{table}", declared_failures(t[table], DECLARED_TESTS[table], *KEY_COLUMNS[table]))
+              for table in ("dim_postal_area", "dim_station", "link")]
+    return _named(parts)
+
+
+def _named(parts: list[tuple[str, DataFrame]]) -> DataFrame:
+    out = None
+    for name, failures in parts:
+        named = failures.select(F.lit(name).alias("suite"), "check_name", "key1", "key2")
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
 def all_failures(t: dict[str, DataFrame], as_of: str) -> DataFrame:
     """Failing rows of every suite and declared test over a run's tables (named as in ``KEY_COLUMNS``):
     ``suite, check_name, key1, key2``."""
@@ -375,11 +445,7 @@ def all_failures(t: dict[str, DataFrame], as_of: str) -> DataFrame:
                                                t["link"], t["dim_station"], t["dim_postal_area"], as_of)))
     parts += [(f"declared_{table}", declared_failures(t[table], tests, *KEY_COLUMNS[table]))
               for table, tests in DECLARED_TESTS.items()]
-    out = None
-    for name, failures in parts:
-        named = failures.select(F.lit(name).alias("suite"), "check_name", "key1", "key2")
-        out = named if out is None else out.unionByName(named)
-    return out
+    return _named(parts)
 
 
 def store_failures(failures: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -69,20 +69,22 @@ SOURCE = {"stg_forecast": "stg_forecast_batches"}
 STAND_IN = {"raw": "'{}'", "geometry": "'shape'"}
 
 
-def _replaced(table: str, stand_in: dict[str, str]) -> dict[str, str]:
+def _replaced(table: str, stand_in: dict[str, str], keep: tuple[str, ...] = ()) -> dict[str, str]:
     number, modulus, rules = RULES[table]
+    rules = [r for r in rules if r[0] not in keep]
     return {c: "CASE " + " ".join(f"WHEN {number} % {modulus} = {at} THEN {value}" for name, at, value in rules if name == c)
             + f" ELSE {stand_in.get(c, c)} END" for c in dict.fromkeys(r[0] for r in rules)}
 
 
-def dirty(df: DataFrame, table: str) -> DataFrame:
-    new = _replaced(table, {})
+def dirty(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep``: columns that stay as they are."""
+    new = _replaced(table, {}, keep)
     return df.select(*[F.expr(new[f.name]).cast(f.dataType).alias(f.name) if f.name in new else F.col(f.name)
                        for f in df.schema.fields])
 
 
-def dirty_cte(table: str) -> str:
-    new = _replaced(table, STAND_IN)
+def dirty_cte(table: str, keep: tuple[str, ...] = ()) -> str:
+    new = _replaced(table, STAND_IN, keep)
     inside = ", ".join(f"{e} AS {c}" for c, e in new.items() if c not in STAND_IN)
     added = "".join(f", {e} AS {c}" for c, e in new.items() if c in STAND_IN)
     return f"dirty_{table} AS (SELECT * REPLACE ({inside}){added} FROM {SOURCE.get(table, table)})"

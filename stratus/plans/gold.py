@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.operators import mart_state as S
+from stratus.operators import quality as Q
 from stratus.operators.incremental import KeyedLog
 from stratus.functions import spec
 from stratus.plans import models
@@ -69,7 +70,7 @@ class Gold:
 
     def __init__(self, spark: SparkSession, root: str, kind: str, newest: str = "run", tie: str | None = None):
         keys, day = KEYS[kind], ("event_date",)
-        self.spark, self.kind, self.keys = spark, kind, keys
+        self.spark, self.root, self.kind, self.keys = spark, root, kind, keys
         self.staging = KeyedLog(spark, f"{root}/stg_weather_{kind}", keys, day, newest=newest, tie=tie)
         self.facts = KeyedLog(spark, f"{root}/fact_weather_{kind}", keys, day, newest="run")
         self.mart_states = KeyedLog(spark, f"{root}/mart_state_{kind}", S.GROUP, day, merge_schema=False, newest="run")
@@ -137,6 +138,13 @@ class Gold:
         self.mart_states.append(new, run, gone=anew.join(new.select(*S.GROUP), S.GROUP, "left_anti"))
         return new
 
+    def kept_failures(self) -> dict[str, Q.KeptFailures]:
+        """What fails now in staging, facts and mart: ``follow`` each after a run's ``advance``."""
+        logs = {f"stg_{self.kind}": (self.staging, None), f"fact_{self.kind}": (self.facts, None),
+                f"mart_{self.kind}": (self.mart_states, S.finish)}
+        return {table: Q.KeptFailures(log, f"{self.root}/failures_{table}", Q.row_checks(table), view)
+                for table, (log, view) in logs.items()}
+
     def loads(self, run: int) -> DataFrame | None:
         """``load_dts``, the newest of each run before ``run``: what its high-water filter reads."""
         return self._loads.rows(before=run)

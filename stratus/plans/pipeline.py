@@ -28,7 +28,7 @@ from stratus.session import materialize
 from stratus.sources.landing import land_responses, station_scope
 from stratus.sources.raw_tables import materialize_view
 
-__all__ = ["HOUR_KEYS", "RunResult", "hourly_ingest", "hourly_run"]
+__all__ = ["HOUR_KEYS", "RunResult", "failures_now", "hourly_ingest", "hourly_run"]
 
 
 @dataclass
@@ -41,10 +41,12 @@ class RunResult:
 
 def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame, raw_forecast: DataFrame,
                station_raw: DataFrame, postal_raw: DataFrame, as_of: str,
-               station_pattern: str | None = None, previous: RunResult | None = None, checks: bool = True) -> RunResult:
+               station_pattern: str | None = None, previous: RunResult | None = None, checks: bool = True,
+               keep_failures: bool = False) -> RunResult:
     """``station_pattern``: the run's station scope (a LIKE pattern on the lower-cased name; None = all
     stations); raw rows of other stations are not taken into this run. ``previous``: no longer needed, what a run has to
-    know of the one before lies under ``root``. ``checks``: store the failures of the run's rows."""
+    know of the one before lies under ``root``. ``checks``: store the failures of the run's rows. ``keep_failures``: keep
+    what fails now in staging, facts and marts too (in every run, or in none), for ``failures_now``."""
     t, paths = {}, {}
     raw = {"observed": raw_observed, "forecast": raw_forecast.drop("batch_id")}
     if station_pattern is not None:
@@ -74,6 +76,9 @@ def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame
             batch = batch.withColumn("batch_id", F.lit(run).cast("long"))
         batch = materialize(batch, "stg_batch")
         wrote = gold.advance(batch, run, bridge)
+        if keep_failures:
+            for kept in gold.kept_failures().values():
+                kept.follow(run)
         own |= {f"stg_{kind}": batch, f"fact_{kind}": wrote["facts"], f"mart_{kind}": mart_state.finish(wrote["states"])}
         for name, now, empty in (("stg", gold.staged(), batch), ("fact", gold.fact(), wrote["facts"]),
                                  ("mart", gold.mart(), own[f"mart_{kind}"])):
@@ -86,6 +91,21 @@ def hourly_run(spark: SparkSession, root: str, run: int, raw_observed: DataFrame
     return RunResult(run, t, paths)
 
 
+def failures_now(spark: SparkSession, root: str, t: dict[str, DataFrame]) -> DataFrame:
+    """``suite, check_name, key1, key2``: all rows of staging, facts and marts that fail a check after the last run, as
+    the runs kept them, and those of the dimensions and the link of its tables ``t``, which are asked whole. Equal to
+    a scan of all tables. The integrity suite, which moves with the clock, is asked by ``quality.integrity_suite``."""
+    out = Q.dimension_failures(t)
+    for kind in ("observed", "forecast"):
+        for table, kept in Gold(spark, root, kind).kept_failures().items():
+            found = kept.failures()
+            if found is not None:
+                k1, k2 = Q.KEY_COLUMNS[table]
+                out = out.unionByName(found.select("suite", "check_name", F.col(k1).cast("string").alias("key1"),
+                                                   F.col(k2).cast("string").alias("key2")))
+    return out
+
+
 def hourly_ingest(spark: SparkSession, root: str, run: int, observed_docs: DataFrame, forecast_docs: DataFrame,
                   station_raw: DataFrame, postal_raw: DataFrame, as_of: str, load_dts: str, **options) -> RunResult:
     """An hourly run from response documents (a ``value`` column each). Every element of a document becomes a raw row or lands in the

@@ -868,6 +868,32 @@ HAVING CAST(count(temperature) AS DOUBLE) / count(*) < 0.99""")(
     lambda spark, d: round_doubles(_kept_counts(spark, d, [], ["temperature"]).incomplete("temperature", 0.99)))
 
 
+_WHOLE = ("wmo_station_id", "timestamp_utc", "load_dts")
+
+
+@register("kept_failures", O.with_ctes(*_STG_OBS, dirt.dirty_cte("stg_observed", _WHOLE), """held AS (
+  SELECT * FROM dirty_stg_observed WHERE hour(timestamp_utc) % 4 <> 2 AND hour(timestamp_utc) <> 4
+  UNION ALL BY NAME SELECT * FROM stg_observed WHERE hour(timestamp_utc) % 4 = 2)""")
+          + O.union_checks("held", O.OBSERVED_CHECKS_SQL, "wmo_station_id, timestamp_utc"))
+def _kept_failures(spark, d):
+    """What fails after four runs, as they kept it: faulty rows, mended ones of the even hours, faulty ones again of every
+    fourth hour (retried), and an hour that leaves."""
+    from stratus.operators.incremental import KeyedLog
+    root = scratch_path(spark, "stratus", f"failing_{uuid.uuid4().hex[:8]}")
+    clean = warehouse(spark, d).stg("observed")
+    faulty, hour = dirt.dirty(clean, "stg_observed", _WHOLE), F.hour("timestamp_utc")
+    log = KeyedLog(spark, f"{root}/table", ["wmo_station_id", "timestamp_utc"], ("event_date",), newest="run")
+    kept = Q.KeptFailures(log, f"{root}/failures", [("observed", *check) for check in Q.observed_checks()])
+    batches = [(0, faulty), (1, clean.filter(hour % 2 == 0)), (2, clean.filter(hour % 4 == 0)), (2, faulty.filter(hour % 4 == 0)), (3, None)]
+    for run, batch in batches:
+        if batch is None:
+            log.append(clean.limit(0), run, gone=clean.filter(hour == 4))
+        else:
+            log.append(batch, run)
+        kept.follow(run)
+    return kept.failures().drop("suite")
+
+
 # ------------------------------------------------------------------------------------------ raw scans, schema evolution
 from stratus.sources.raw_tables import scan_raw  # noqa: E402
 
