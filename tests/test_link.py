@@ -204,3 +204,23 @@ def test_stations_on_the_boundary_are_at_distance_zero(spark):
     rows = {r["rank"]: (r.station_id, r.distance) for r in nearest_link(a, s, k=6).collect()}
     assert [rows[i] for i in range(1, 7)] == [(2, 0.0), (3, 0.0), (4, 0.0), (5, 0.0), (9, 0.0), (1, 1.0)]
     assert nearest_link(a.filter("false"), s).count() == 0
+
+
+def test_co_located_stations_are_met_k_a_place(spark, monkeypatch):
+    """Of very many stations at one place only the k lowest ids meet the areas."""
+    from stratus.operators import link
+    met, candidates = [], link._candidates
+
+    def counted(areas, stations, levels, k, prune):
+        met.append(stations.count())
+        return candidates(areas, stations, levels, k, prune)
+
+    monkeypatch.setattr(link, "_candidates", counted)
+    places = [(10.0, 10.0), (12.0, 10.0), (80.0, 80.0)]
+    st = spark.createDataFrame([(300 - n, *places[n % 3]) for n in range(300)], "id long, x double, y double")
+    st = st.select("id", make_point("x", "y").alias("geometry"))
+    ar = spark.createDataFrame([(1, _wkt([[[(9, 9), (11, 9), (11, 11), (9, 11)]]])), (2, _wkt([[[(70, 70), (75, 70), (75, 75)]]]))],
+                               "id long, wkt string").select("id", geom_from_wkt("wkt").alias("geometry"))
+    got = nearest_link(ar, st, k=2).orderBy("postal_area_id", "rank").collect()
+    assert [(r.postal_area_id, r.station_id) for r in got] == [(1, 3), (1, 6), (2, 1), (2, 4)]
+    assert met == [6]
