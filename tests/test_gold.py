@@ -134,3 +134,47 @@ def test_identical_values_merge_to_no_deviation(spark):
     got = S.finish(S.merge(S.merge(S.states(full), S.states(full)), S.states(full.limit(0)))).collect()
     assert len(got) == 1 and got[0].pressure_msl_std == 0.0 and got[0].station_count == 6
     assert got[0].weather_condition_mode == "x" and got[0].weather_icon_mode is None
+
+
+def test_states_are_made_per_station_not_per_area(spark, monkeypatch):
+    """Rows of a station that serves many areas are aggregated once; areas of several stations still meet all their rows."""
+    rng, made, states = random.Random(5), [], S.states
+
+    def counted(found, by=S.GROUP):
+        made.append(found.count())
+        return states(found, by)
+
+    staged = materialize(models.stg_weather(spark.createDataFrame(raw_rows(rng, 120, T0), RAW), "observed"), "staged")
+    served = [("00000", f"2{n:04d}") for n in range(40)] + [("00001", "30000"), ("00002", "30000"), ("00003", "30001"), (None, "30002")]
+    zones = materialize(spark.createDataFrame(served, "wmo_station_id string, plz string"), "zones")
+    groups = materialize(staged.join(zones, "wmo_station_id").select(*S.GROUP).distinct(), "groups")
+    wanted = S.finish(states(staged.join(zones, "wmo_station_id")))
+    monkeypatch.setattr(S, "states", counted)
+    got = S.finish(S.area_states(staged, *S.split_zones(zones), groups))
+    cols = spec.mart_columns()
+    assert rows(got, cols) == rows(wanted, cols) and wanted.count() > 0
+    assert sum(made) <= staged.count()
+
+
+def test_facts_and_states_of_both_kinds_are_written_at_once(spark, tmp_dir, monkeypatch):
+    import threading
+    from stratus.session import side_by_side
+    met = threading.Barrier(2, timeout=60)
+
+    def waiting(made):
+        def step(*args):
+            met.wait()
+            return made(*args)
+        return step
+
+    monkeypatch.setattr(Gold, "_facts", waiting(Gold._facts))
+    monkeypatch.setattr(Gold, "_states", waiting(Gold._states))
+    bridge = bridge_of(spark, BRIDGES[0])
+    batch = materialize(models.stg_weather(spark.createDataFrame(raw_rows(random.Random(3), 60, T0), RAW), "observed"), "batch")
+    gold = Gold(spark, tmp_dir + "/gold", "observed")
+    gold.advance(batch, 0, bridge)
+    fact, mart = full_mart(spark, batch, bridge)
+    assert rows(gold.mart(), spec.mart_columns()) == rows(mart, spec.mart_columns())
+    assert rows(gold.fact(), spec.FACT_COLUMNS) == rows(fact, spec.FACT_COLUMNS)
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, lambda: 1, lambda: 1 / 0)
