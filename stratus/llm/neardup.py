@@ -128,7 +128,7 @@ def _block_comparer(percent: int, positions: int):
         n = block.num_rows
         doc, component, outside = (block[c].to_numpy() for c in ("doc_id", "component", "outside"))
         signature = np.frombuffer(b"".join(block["signature"].to_pylist()), np.uint8).reshape(n, positions)
-        shared = np.stack(block["bands"].to_pylist()).astype(np.int64)
+        shared = block["bands"].combine_chunks().flatten().to_numpy().reshape(n, -1)
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in block["shingles"].chunks for x in c]
         size = np.array([len(x) for x in sets])
         forest = UnionFind()
